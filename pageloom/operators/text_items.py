@@ -4,9 +4,9 @@ Input is ``text_items(source, page_no, item_seq, str, y)`` in reading order of
 ``item_seq`` within a page; a missing ``y`` makes the page unreadable.
 
 A page or a file may hold a large share of all items. Items are therefore cut
-into chunks by their number, each chunk becomes one short row where it lands,
-and only chunk rows are brought together per page or per file. What then meets
-in one task is the one string it has to become.
+into chunks by their number and pages into parts; each chunk and each part
+becomes one row where it lands, and only those rows are brought together. What
+meets in one task is the one string it has to become.
 """
 
 from __future__ import annotations
@@ -85,22 +85,27 @@ def text_chunks(items: DataFrame, chunk_items: int = CHUNK_ITEMS) -> DataFrame:
     )
 
 
+def _with_pieces(chunks: DataFrame, page_key: list[str]) -> DataFrame:
+    """Chunk bodies led by a line break where a line does not run on into them."""
+    order = Window.partitionBy(*page_key).orderBy("chunk")
+    opens = F.coalesce(F.lag("chunk").over(order) < 0, F.lit(True))
+    runs_on = _same_line(F.col("first_y"), F.lag("last_y").over(order))
+    lead = F.when(opens | runs_on, F.lit("")).otherwise(LINE_BREAK)
+    return chunks.withColumn("piece", F.concat(lead, F.col("body")))
+
+
+def _page_body() -> Column:
+    joined = F.coalesce(_listagg("piece", "chunk"), F.lit(""))
+    return F.when(F.max("broken"), F.lit("")).otherwise(joined)
+
+
 def chunks_to_pages(chunks: DataFrame) -> DataFrame:
     """``(source, page_no, text)``: chunks joined where a line runs on or breaks.
 
-    A chunk without a body only says that its page exists. A page whose items
-    cannot all be placed has the empty text.
+    A page whose items cannot all be placed has the empty text.
     """
-    order = Window.partitionBy("source", "page_no").orderBy("chunk")
-    opens = F.lag("body").over(order).isNull()
-    runs_on = _same_line(F.col("first_y"), F.lag("last_y").over(order))
-    lead = F.when(opens | runs_on, F.lit("")).otherwise(LINE_BREAK)
-    return (
-        chunks.withColumn("piece", F.when(F.col("body").isNull(), F.lit("")).otherwise(F.concat(lead, F.col("body"))))
-        .groupBy("source", "page_no")
-        .agg(_listagg("piece", "chunk").alias("text"), F.max("broken").alias("broken"))
-        .select("source", "page_no", F.when(F.col("broken"), F.lit("")).otherwise(F.col("text")).alias("text"))
-    )
+    key = ["source", "page_no"]
+    return _with_pieces(chunks, key).groupBy(*key).agg(_page_body().alias("text"))
 
 
 def text_lines(items: DataFrame, chunk_items: int = CHUNK_ITEMS) -> DataFrame:
@@ -122,12 +127,6 @@ def custom_renderer(pages: DataFrame, renderer: Renderer) -> DataFrame:
     return pages.withColumn("text", renderer(page)).filter(F.col("text").isNotNull())
 
 
-def page_rows(pdf_info: DataFrame, max_pages: int = 0) -> DataFrame:
-    """``(source, page_no)`` of the pages to render, also those without items."""
-    count = page_limit("num_pages", max_pages)
-    return pdf_info.select("source", F.explode(F.when(count >= 1, F.sequence(F.lit(1), count))).alias("page_no"))
-
-
 def limit_pages(rows: DataFrame, max_pages: int) -> DataFrame:
     """Rows of the first pages only; 0 or less keeps all."""
     return rows if max_pages <= 0 else rows.filter(F.col("page_no") <= max_pages)
@@ -139,6 +138,10 @@ def page_counts(pages: DataFrame, max_pages: int = 0) -> DataFrame:
     return counted.withColumn("numrender", page_limit("numpages", max_pages))
 
 
+def _part(part_pages: int) -> Column:
+    return F.floor((F.coalesce(F.col("page_no"), F.lit(1)) - 1) / part_pages)
+
+
 def document_parts(pages: DataFrame, part_pages: int = PART_PAGES) -> DataFrame:
     """``(source, part, text)``: a file's text in runs of pages.
 
@@ -148,7 +151,7 @@ def document_parts(pages: DataFrame, part_pages: int = PART_PAGES) -> DataFrame:
     return (
         pages.select(
             "source",
-            F.floor((F.col("page_no") - 1) / part_pages).alias("part"),
+            _part(part_pages).alias("part"),
             "page_no",
             F.concat(F.lit(PAGE_LEAD), F.col("text")).alias("piece"),
         )
@@ -173,42 +176,83 @@ def combine_page_table(pages: DataFrame, part_pages: int = PART_PAGES) -> DataFr
     return joined.withColumn("text", F.substring("text", F.lit(len(PAGE_LEAD) + 1), F.length("text")))
 
 
-def parse_pdf(
+def parse_pdf_parts(
     items: DataFrame,
     pdf_info: DataFrame,
     max_pages: int = 0,
     renderer: Renderer | None = None,
     chunk_items: int = CHUNK_ITEMS,
+    part_pages: int = PART_PAGES,
 ) -> DataFrame:
-    """One row per file: ``source, numpages, numrender, info, metadata, text, version``.
+    """``(source, part, text, header)``: parsed files in runs of pages.
 
-    Text moves twice: items by chunk, then chunks by file. Pages without items
-    join the chunks as empty rows before that second exchange, and pages are
-    put together under it, so neither needs one of its own.
+    Text moves twice: items by chunk, then chunks by part. Every page is also
+    a row without a body in that second exchange, the first one with the
+    file's info; so pages without items are kept and nothing is joined.
+    ``header`` is set on a file's part 0 and nowhere if it has no info.
     """
     info = doc_info(pdf_info)
     chunks = text_chunks(limit_pages(items, max_pages), chunk_items)
-    blank = page_rows(info, max_pages).select(
+    count = page_limit("num_pages", max_pages)
+    numbers = F.explode_outer(F.when(count >= 1, F.sequence(F.lit(1), count)))
+    header = F.struct("version", "info", "metadata", "num_pages")
+    blank = info.select("source", header.alias("header"), numbers.alias("page_no")).select(
         "source",
         F.col("page_no").cast(chunks.schema["page_no"].dataType).alias("page_no"),
         F.lit(-1).cast("bigint").alias("chunk"),
+        # On the first page's row, or the only one of a file without pages.
+        F.when(F.coalesce(F.col("page_no"), F.lit(1)) == 1, F.col("header")).alias("header"),
+    )
+    together = (
+        chunks.unionByName(blank, allowMissingColumns=True)
+        .withColumn("part", _part(part_pages))
+        .repartition("source", "part")
+    )
+    page_key = ["source", "part", "page_no"]
+    pages = (
+        _with_pieces(together, page_key)
+        .groupBy(*page_key)
+        .agg(_page_body().alias("text"), F.first("header", ignorenulls=True).alias("header"))
     )
-    laid_out = chunks.unionByName(blank, allowMissingColumns=True).repartition("source")
-    pages = chunks_to_pages(laid_out)
     if renderer is not None:
-        pages = custom_renderer(pages, renderer)
-    texts = (
-        pages.withColumn("piece", F.concat(F.lit(PAGE_LEAD), F.col("text")))
-        .groupBy("source")
-        .agg(_listagg("piece", "page_no").alias("text"))
+        page = Page(F.col("source"), F.col("page_no"), F.col("text"))
+        pages = pages.withColumn("text", renderer(page))
+    # A page whose rendering failed has no piece, which leaves out its lead too.
+    piece = F.when(F.col("page_no").isNotNull(), F.concat(F.lit(PAGE_LEAD), F.col("text")))
+    return (
+        pages.withColumn("piece", piece)
+        .groupBy("source", "part")
+        .agg(
+            F.coalesce(_listagg("piece", "page_no"), F.lit("")).alias("text"),
+            F.first("header", ignorenulls=True).alias("header"),
+        )
     )
-    return info.join(texts, "source", "left").select(
+
+
+def parse_pdf(
+    items: DataFrame,
+    pdf_info: DataFrame,
+    max_pages: int = 0,
+    renderer: Renderer | None = None,
+    chunk_items: int = CHUNK_ITEMS,
+    part_pages: int = PART_PAGES,
+) -> DataFrame:
+    """One row per file: ``source, numpages, numrender, info, metadata, text, version``.
+
+    Puts the parts of each file together; all the work per item and per page
+    is done before, spread over parts.
+    """
+    parts = parse_pdf_parts(items, pdf_info, max_pages, renderer, chunk_items, part_pages)
+    texts = parts.groupBy("source").agg(
+        _listagg("text", "part").alias("text"), F.first("header", ignorenulls=True).alias("header")
+    )
+    num_pages = F.col("header.num_pages")
+    return texts.filter(F.col("header").isNotNull()).select(
         "source",
-        F.col("num_pages").alias("numpages"),
-        page_limit("num_pages", max_pages).alias("numrender"),
-        "info",
-        "metadata",
-        F.coalesce("text", F.lit("")).alias("text"),
-        "version",
+        num_pages.alias("numpages"),
+        page_limit(num_pages, max_pages).alias("numrender"),
+        "header.info",
+        "header.metadata",
+        "text",
+        "header.version",
     )
-

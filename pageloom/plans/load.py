@@ -7,13 +7,16 @@ from typing import Literal
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pageloom.columns import column_or_null
 from pageloom.functions.media import Transcoder
-from pageloom.operators.admission import admit, fail_on_error, ingest_table, rejected
+from pageloom.functions.paths import file_ext
+from pageloom.operators.admission import admit, fail_on_error, ingest_table, rejected, route_kind
 from pageloom.operators.ocr import BackendFactory, apply_ocr, stored_responses
 from pageloom.operators.pdf_info import attach_pdf_info
 from pageloom.operators.request import build_requests
 from pageloom.operators.response import response_rejects, to_documents
 from pageloom.options import LoadOptions
+from pageloom.schemas import PDF
 from pageloom.session import materialize
 from pageloom.sources.files import read_sources, scan_files, type_glob
 
@@ -95,8 +98,16 @@ def load_requested(
     transcoder: Transcoder | None = None,
     on_error: OnError = "collect",
 ) -> LoadResult:
-    """Documents and rejects for a table of paths; missing files are rejects."""
-    return load_table(read_sources(paths), backend, options, pdf_info, transcoder, on_error)
+    """Documents and rejects for a table of paths ``(source[, extra, loc, pdf])``.
+
+    Missing files are rejects. PDF info is joined to the short path rows,
+    before any bytes are read.
+    """
+    if pdf_info is not None:
+        paths = paths.withColumn("pdf", column_or_null(paths, "pdf", PDF))
+        routed = paths.withColumn("kind", route_kind(file_ext("source"), options.types))
+        paths = attach_pdf_info(routed, pdf_info).drop("kind")
+    return load_table(read_sources(paths), backend, options, None, transcoder, on_error)
 
 
 def load_path(

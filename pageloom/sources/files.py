@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pageloom.functions.paths import plain_path
 from pageloom.operators.admission import FILE_NOT_FOUND
@@ -50,15 +50,18 @@ def scan_files(
 
 
 def read_sources(paths: DataFrame, partitions: int | None = None) -> DataFrame:
-    """``(source, content, error)`` for a table of paths ``(source)``.
+    """Add ``content`` and ``error`` to a table of paths ``(source[, ...])``.
 
     Files are opened where the paths are, so no listing passes the driver and
-    no bytes are shuffled; the short path rows are spread first. A path that
-    cannot be opened is a row with an error. Paths may be URIs of any file
-    system pyarrow knows.
+    no bytes are shuffled; with ``partitions`` the short path rows are spread
+    first. A path that cannot be opened is a row with an error. Paths may be
+    URIs of any file system pyarrow knows.
     """
-    spread = paths.select("source")
-    spread = spread.repartition(partitions, "source") if partitions else spread
+    spread = paths.repartition(partitions, "source") if partitions else paths
+    names = spread.columns
+    schema = T.StructType(
+        [*spread.schema.fields, T.StructField("content", T.BinaryType()), T.StructField("error", T.StringType())]
+    )
     not_found, batch_bytes = FILE_NOT_FOUND, BATCH_BYTES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,19 +77,19 @@ def read_sources(paths: DataFrame, partitions: int | None = None) -> DataFrame:
                 host = f"{scheme}://{rest.split('/', 1)[0]}"
                 if host not in systems:
                     systems[host] = fs.FileSystem.from_uri(path)[0]
-                system, inner = systems[host], systems[host].normalize_path(fs.FileSystem.from_uri(path)[1])
-            with system.open_input_stream(inner) as stream:
+                system, inner = systems[host], fs.FileSystem.from_uri(path)[1]
+            with system.open_input_stream(inner, compression=None) as stream:
                 return stream.read()
 
-        def batch_of(rows):
-            sources, contents, errors = zip(*rows)
+        def read_rows(batch, start, contents, errors):
+            columns = [batch.column(name).slice(start, len(contents)) for name in names]
             return pa.RecordBatch.from_arrays(
-                [pa.array(sources, pa.string()), pa.array(contents, pa.binary()), pa.array(errors, pa.string())],
-                names=["source", "content", "error"],
+                [*columns, pa.array(contents, pa.binary()), pa.array(errors, pa.string())],
+                names=[*names, "content", "error"],
             )
 
         for batch in batches:
-            rows, size = [], 0
+            start, size, contents, errors = 0, 0, [], []
             for source in batch.column("source").to_pylist():
                 content, error = None, None
                 if source is not None:
@@ -94,12 +97,13 @@ def read_sources(paths: DataFrame, partitions: int | None = None) -> DataFrame:
                         content = read(source)
                     except (OSError, pa.ArrowInvalid):
                         error = not_found + source
-                rows.append((source, content, error))
+                contents.append(content)
+                errors.append(error)
                 size += len(content or b"")
                 if size >= batch_bytes:
-                    yield batch_of(rows)
-                    rows, size = [], 0
-            if rows:
-                yield batch_of(rows)
+                    yield read_rows(batch, start, contents, errors)
+                    start, size, contents, errors = start + len(contents), 0, [], []
+            if contents:
+                yield read_rows(batch, start, contents, errors)
 
-    return spread.mapInArrow(run, "source string, content binary, error string")
+    return spread.mapInArrow(run, schema)
