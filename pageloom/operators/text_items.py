@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pageloom.functions.render import page_limit
@@ -52,51 +52,54 @@ def _listagg(column: str, order: str) -> Column:
     return F.expr(f"listagg({column}, '') within group (order by {order})")
 
 
+def _joined(rows: Column, text: str, start_y: str, end_y: str) -> Column:
+    """Texts of ordered rows, with a line break wherever a line does not run on."""
+    return F.array_join(
+        F.transform(
+            rows,
+            lambda row, i: F.when(
+                (i == 0) | _same_line(row[start_y], F.get(rows, i - 1)[end_y]), row[text]
+            ).otherwise(F.concat(F.lit(LINE_BREAK), row[text])),
+        ),
+        "",
+    )
+
+
 def text_chunks(items: DataFrame, chunk_items: int = CHUNK_ITEMS) -> DataFrame:
     """``(source, page_no, chunk, body, first_y, last_y, broken)``.
 
-    The window and the aggregation share one exchange on the chunk key.
+    Items are gathered per chunk before the exchange already, so what moves is
+    one row per chunk and task. A chunk is bounded by its item numbers.
     """
-    key = ["source", "page_no", "chunk"]
-    order = Window.partitionBy(*key).orderBy("item_seq")
-    piece = F.concat(
-        F.when(F.col("opens") | _same_line(F.col("y"), F.col("previous_y")), F.lit("")).otherwise(LINE_BREAK),
-        F.coalesce(F.col("str"), F.lit("")),
+    item = F.struct("item_seq", F.coalesce("str", F.lit("")).alias("str"), F.col("y").cast("double").alias("y"))
+    gathered = (
+        items.withColumn("chunk", F.floor(F.col("item_seq") / chunk_items))
+        .groupBy("source", "page_no", "chunk")
+        .agg(F.sort_array(F.collect_list(item)).alias("items"))
     )
-    return (
-        items.select(
-            "source",
-            "page_no",
-            F.floor(F.col("item_seq") / chunk_items).alias("chunk"),
-            "item_seq",
-            "str",
-            F.col("y").cast("double").alias("y"),
-        )
-        .withColumn("previous_y", F.lag("y").over(order))
-        .withColumn("opens", F.lag("item_seq").over(order).isNull())
-        .withColumn("piece", piece)
-        .groupBy(*key)
-        .agg(
-            _listagg("piece", "item_seq").alias("body"),
-            F.min_by("y", "item_seq").alias("first_y"),
-            F.max_by("y", "item_seq").alias("last_y"),
-            F.max(F.col("y").isNull()).alias("broken"),
-        )
+    return gathered.select(
+        "source",
+        "page_no",
+        "chunk",
+        _joined(F.col("items"), "str", "y", "y").alias("body"),
+        F.get("items", F.lit(0))["y"].alias("first_y"),
+        F.element_at("items", -1)["y"].alias("last_y"),
+        F.exists("items", lambda placed: placed["y"].isNull()).alias("broken"),
     )
 
 
-def _with_pieces(chunks: DataFrame, page_key: list[str]) -> DataFrame:
-    """Chunk bodies led by a line break where a line does not run on into them."""
-    order = Window.partitionBy(*page_key).orderBy("chunk")
-    opens = F.coalesce(F.lag("chunk").over(order) < 0, F.lit(True))
-    runs_on = _same_line(F.col("first_y"), F.lag("last_y").over(order))
-    lead = F.when(opens | runs_on, F.lit("")).otherwise(LINE_BREAK)
-    return chunks.withColumn("piece", F.concat(lead, F.col("body")))
+def _page_aggregates() -> list[Column]:
+    """Of chunk rows: the ordered chunks with a body, and whether one is broken."""
+    chunk = F.struct("chunk", "body", "first_y", "last_y")
+    return [
+        F.sort_array(F.collect_list(F.when(F.col("body").isNotNull(), chunk))).alias("chunks"),
+        F.max("broken").alias("broken"),
+    ]
 
 
 def _page_body() -> Column:
-    joined = F.coalesce(_listagg("piece", "chunk"), F.lit(""))
-    return F.when(F.max("broken"), F.lit("")).otherwise(joined)
+    joined = _joined(F.col("chunks"), "body", "first_y", "last_y")
+    return F.when(F.col("broken"), F.lit("")).otherwise(joined)
 
 
 def chunks_to_pages(chunks: DataFrame) -> DataFrame:
@@ -104,8 +107,8 @@ def chunks_to_pages(chunks: DataFrame) -> DataFrame:
 
     A page whose items cannot all be placed has the empty text.
     """
-    key = ["source", "page_no"]
-    return _with_pieces(chunks, key).groupBy(*key).agg(_page_body().alias("text"))
+    pages = chunks.groupBy("source", "page_no").agg(*_page_aggregates())
+    return pages.select("source", "page_no", _page_body().alias("text"))
 
 
 def text_lines(items: DataFrame, chunk_items: int = CHUNK_ITEMS) -> DataFrame:
@@ -208,11 +211,10 @@ def parse_pdf_parts(
         .withColumn("part", _part(part_pages))
         .repartition("source", "part")
     )
-    page_key = ["source", "part", "page_no"]
     pages = (
-        _with_pieces(together, page_key)
-        .groupBy(*page_key)
-        .agg(_page_body().alias("text"), F.first("header", ignorenulls=True).alias("header"))
+        together.groupBy("source", "part", "page_no")
+        .agg(*_page_aggregates(), F.first("header", ignorenulls=True).alias("header"))
+        .select("source", "part", "page_no", _page_body().alias("text"), "header")
     )
     if renderer is not None:
         page = Page(F.col("source"), F.col("page_no"), F.col("text"))

@@ -15,12 +15,22 @@ EXTENSIONS = (
 )
 MAGIC = ("FFD8FF", "52494646", "49492A00", "4D4D002A", "89504E47", "")
 
+# A scan of fewer splits than this counts as small.
+SMALL_SPLITS = 16
+
 PAGE_WORDS = 200
 LINE_WORDS = 10
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; a scan of a few splits is spread over the cores.
+
+    Only small tables are moved by this; larger ones, as on a cluster, are
+    left as they are scanned.
+    """
+    scan = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < min(cores, SMALL_SPLITS) else scan
 
 
 def _pick(values: tuple[str, ...], number: str) -> Column:
