@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pageloom.functions.render import IMAGE_PROCESSING_FAILED, conversion_error, page_bounds_error, render_options
+from pageloom.session import spread
 
 # Image bytes, format and quality to encoded bytes; NULL where it fails.
 Encoder = Callable[[Column, Column, Column], Column]
@@ -35,16 +36,15 @@ def page_blocks(files: DataFrame, block_pages: int = BLOCK_PAGES) -> DataFrame:
     """Add ``first_page`` and ``last_page``: one row per run of pages.
 
     A block is the unit a rendering hook opens a file for. Blocks are spread
-    by key while they are still single short rows, so a file with very many
-    pages is not rendered by one task.
+    while they are still single short rows, so a file with very many pages is
+    not rendered by one task.
     """
     pages = F.col("num_pages").cast("int")
     starts = F.when(pages >= 1, F.sequence(F.lit(1), pages, F.lit(block_pages)))
-    return (
-        files.withColumn("first_page", F.explode(starts))
-        .withColumn("last_page", F.least(F.col("first_page") + (block_pages - 1), pages))
-        .repartition("source", "first_page")
+    blocks = files.withColumn("first_page", F.explode(starts)).withColumn(
+        "last_page", F.least(F.col("first_page") + (block_pages - 1), pages)
     )
+    return spread(blocks)
 
 
 def page_fanout(files: DataFrame, block_pages: int = BLOCK_PAGES) -> DataFrame:

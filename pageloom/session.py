@@ -38,3 +38,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = run_dir(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Deal short rows evenly over tasks before they turn into heavy work.
+
+    Rows are dealt in turn and not by key, so copies of one key do not meet,
+    and the number is given, so that adaptive execution does not put the short
+    rows back together.
+    """
+    return df.repartition(partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))

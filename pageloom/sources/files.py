@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from pageloom.functions.paths import plain_path
 from pageloom.operators.admission import FILE_NOT_FOUND
 from pageloom.options import LoadOptions
+from pageloom.session import spread
 
 # Bytes of file content per Arrow batch handed back to Spark.
 BATCH_BYTES = 32 << 20
@@ -53,14 +54,13 @@ def read_sources(paths: DataFrame, partitions: int | None = None) -> DataFrame:
     """Add ``content`` and ``error`` to a table of paths ``(source[, ...])``.
 
     Files are opened where the paths are, so no listing passes the driver and
-    no bytes are shuffled; with ``partitions`` the short path rows are spread
-    first. A path that cannot be opened is a row with an error. Paths may be
-    URIs of any file system pyarrow knows.
+    no bytes are shuffled; the short path rows are spread first. A path that
+    cannot be opened is a row with an error. Paths may be URIs of any file
+    system pyarrow knows.
     """
-    spread = paths.repartition(partitions, "source") if partitions else paths
-    names = spread.columns
+    names = paths.columns
     schema = T.StructType(
-        [*spread.schema.fields, T.StructField("content", T.BinaryType()), T.StructField("error", T.StringType())]
+        [*paths.schema.fields, T.StructField("content", T.BinaryType()), T.StructField("error", T.StringType())]
     )
     not_found, batch_bytes = FILE_NOT_FOUND, BATCH_BYTES
 
@@ -106,4 +106,4 @@ def read_sources(paths: DataFrame, partitions: int | None = None) -> DataFrame:
             if contents:
                 yield read_rows(batch, start, contents, errors)
 
-    return spread.mapInArrow(run, schema)
+    return spread(paths, partitions).mapInArrow(run, schema)

@@ -17,11 +17,15 @@ from pageloom.operators.request import build_requests
 from pageloom.operators.response import response_rejects, to_documents
 from pageloom.options import LoadOptions
 
+# Columns of Spark's binary file source.
+BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def stream_files(spark: SparkSession, root: str, max_files_per_trigger: int = 1000) -> DataFrame:
     """``(source, content)`` of files appearing below ``root``."""
     return (
         spark.readStream.format("binaryFile")
+        .schema(BINARY_FILE)
         .option("maxFilesPerTrigger", max_files_per_trigger)
         .option("recursiveFileLookup", True)
         .load(root)
