@@ -32,11 +32,17 @@ LINE_BREAK = "\n"
 
 @dataclass(frozen=True)
 class Page:
-    """What a custom renderer sees of a page."""
+    """What a custom renderer sees of a page.
+
+    ``text`` is the default rendering. ``items``, the ordered
+    ``array<struct<item_seq, str, y>>``, is there only if asked for with
+    ``with_items``, as it makes every page carry its items.
+    """
 
     source: Column
     page_no: Column
     text: Column
+    items: Column | None = None
 
 
 # Page to text; NULL means that rendering the page failed.
@@ -65,8 +71,8 @@ def _joined(rows: Column, text: str, start_y: str, end_y: str) -> Column:
     )
 
 
-def text_chunks(items: DataFrame, chunk_items: int = CHUNK_ITEMS) -> DataFrame:
-    """``(source, page_no, chunk, body, first_y, last_y, broken)``.
+def text_chunks(items: DataFrame, chunk_items: int = CHUNK_ITEMS, with_items: bool = False) -> DataFrame:
+    """``(source, page_no, chunk, body, first_y, last_y, broken[, items])``.
 
     Items are gathered per chunk before the exchange already, so what moves is
     one row per chunk and task. A chunk is bounded by its item numbers.
@@ -85,12 +91,13 @@ def text_chunks(items: DataFrame, chunk_items: int = CHUNK_ITEMS) -> DataFrame:
         F.get("items", F.lit(0))["y"].alias("first_y"),
         F.element_at("items", -1)["y"].alias("last_y"),
         F.exists("items", lambda placed: placed["y"].isNull()).alias("broken"),
+        *(["items"] if with_items else []),
     )
 
 
-def _page_aggregates() -> list[Column]:
+def _page_aggregates(with_items: bool) -> list[Column]:
     """Of chunk rows: the ordered chunks with a body, and whether one is broken."""
-    chunk = F.struct("chunk", "body", "first_y", "last_y")
+    chunk = F.struct("chunk", "body", "first_y", "last_y", *(["items"] if with_items else []))
     return [
         F.sort_array(F.collect_list(F.when(F.col("body").isNotNull(), chunk))).alias("chunks"),
         F.max("broken").alias("broken"),
@@ -102,32 +109,43 @@ def _page_body() -> Column:
     return F.when(F.col("broken"), F.lit("")).otherwise(joined)
 
 
+def _page_columns(with_items: bool) -> list[Column]:
+    items = F.flatten(F.transform("chunks", lambda chunk: chunk["items"])).alias("items")
+    return [_page_body().alias("text"), *([items] if with_items else [])]
+
+
 def chunks_to_pages(chunks: DataFrame) -> DataFrame:
-    """``(source, page_no, text)``: chunks joined where a line runs on or breaks.
+    """``(source, page_no, text[, items])``: chunks joined where a line runs on or breaks.
 
     A page whose items cannot all be placed has the empty text.
     """
-    pages = chunks.groupBy("source", "page_no").agg(*_page_aggregates())
-    return pages.select("source", "page_no", _page_body().alias("text"))
+    with_items = "items" in chunks.columns
+    pages = chunks.groupBy("source", "page_no").agg(*_page_aggregates(with_items))
+    return pages.select("source", "page_no", *_page_columns(with_items))
 
 
-def text_lines(items: DataFrame, chunk_items: int = CHUNK_ITEMS) -> DataFrame:
+def text_lines(items: DataFrame, chunk_items: int = CHUNK_ITEMS, with_items: bool = False) -> DataFrame:
     """Page text, items on one line run together and lines broken.
 
     A line ends where ``y`` differs from that of the item before; coming back
     to an earlier ``y`` starts a new line.
     """
-    return chunks_to_pages(text_chunks(items, chunk_items))
+    return chunks_to_pages(text_chunks(items, chunk_items, with_items))
+
+
+def _page_of(pages: DataFrame) -> Page:
+    items = F.col("items") if "items" in pages.columns else None
+    return Page(F.col("source"), F.col("page_no"), F.col("text"), items)
 
 
 def custom_renderer(pages: DataFrame, renderer: Renderer) -> DataFrame:
     """Replace page text by a caller's expression over the page.
 
-    The renderer may use ``page.text``, the default rendering, and may wrap a
-    pandas UDF. Pages it returns NULL for are dropped, separator and all.
+    The renderer may be built in or wrap a pandas UDF. Pages it returns NULL
+    for are dropped, separator and all.
     """
-    page = Page(F.col("source"), F.col("page_no"), F.col("text"))
-    return pages.withColumn("text", renderer(page)).filter(F.col("text").isNotNull())
+    rendered = pages.withColumn("text", renderer(_page_of(pages))).filter(F.col("text").isNotNull())
+    return rendered.drop("items")
 
 
 def limit_pages(rows: DataFrame, max_pages: int) -> DataFrame:
@@ -184,6 +202,7 @@ def parse_pdf_parts(
     pdf_info: DataFrame,
     max_pages: int = 0,
     renderer: Renderer | None = None,
+    with_items: bool = False,
     chunk_items: int = CHUNK_ITEMS,
     part_pages: int = PART_PAGES,
 ) -> DataFrame:
@@ -195,7 +214,7 @@ def parse_pdf_parts(
     ``header`` is set on a file's part 0 and nowhere if it has no info.
     """
     info = doc_info(pdf_info)
-    chunks = text_chunks(limit_pages(items, max_pages), chunk_items)
+    chunks = text_chunks(limit_pages(items, max_pages), chunk_items, with_items)
     count = page_limit("num_pages", max_pages)
     numbers = F.explode_outer(F.when(count >= 1, F.sequence(F.lit(1), count)))
     header = F.struct("version", "info", "metadata", "num_pages")
@@ -213,12 +232,11 @@ def parse_pdf_parts(
     )
     pages = (
         together.groupBy("source", "part", "page_no")
-        .agg(*_page_aggregates(), F.first("header", ignorenulls=True).alias("header"))
-        .select("source", "part", "page_no", _page_body().alias("text"), "header")
+        .agg(*_page_aggregates(with_items), F.first("header", ignorenulls=True).alias("header"))
+        .select("source", "part", "page_no", "header", *_page_columns(with_items))
     )
     if renderer is not None:
-        page = Page(F.col("source"), F.col("page_no"), F.col("text"))
-        pages = pages.withColumn("text", renderer(page))
+        pages = pages.withColumn("text", renderer(_page_of(pages)))
     # A page whose rendering failed has no piece, which leaves out its lead too.
     piece = F.when(F.col("page_no").isNotNull(), F.concat(F.lit(PAGE_LEAD), F.col("text")))
     return (
@@ -236,6 +254,7 @@ def parse_pdf(
     pdf_info: DataFrame,
     max_pages: int = 0,
     renderer: Renderer | None = None,
+    with_items: bool = False,
     chunk_items: int = CHUNK_ITEMS,
     part_pages: int = PART_PAGES,
 ) -> DataFrame:
@@ -244,7 +263,7 @@ def parse_pdf(
     Puts the parts of each file together; all the work per item and per page
     is done before, spread over parts.
     """
-    parts = parse_pdf_parts(items, pdf_info, max_pages, renderer, chunk_items, part_pages)
+    parts = parse_pdf_parts(items, pdf_info, max_pages, renderer, with_items, chunk_items, part_pages)
     texts = parts.groupBy("source").agg(
         _listagg("text", "part").alias("text"), F.first("header", ignorenulls=True).alias("header")
     )

@@ -528,6 +528,18 @@ def custom_renderer(spark, sf_dir):
     return rendered.select("source", "text", long("page_no"))
 
 
+@query(f"""
+WITH {TEXT_ITEMS_SQL}
+SELECT source, string_agg(str, ' ' ORDER BY pos) AS text, page_no FROM items GROUP BY source, page_no
+""")
+def item_renderer(spark, sf_dir):
+    def spaced(page: text_items.Page) -> Column:
+        return F.array_join(F.transform(page.items, lambda item: item["str"]), " ")
+
+    pages = text_items.text_lines(inputs.text_items(spark, sf_dir), with_items=True)
+    return text_items.custom_renderer(pages, spaced).select("source", "text", long("page_no"))
+
+
 @query("""
 SELECT '/sent/' || doc_id || CASE WHEN doc_id % 2 = 0 THEN '.pdf' ELSE '.png' END AS source,
   'OCR processing failed: service refused E' AS error

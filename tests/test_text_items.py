@@ -97,7 +97,7 @@ def test_parse_pdf_equals_a_loop(spark, max_pages, chunk, part):
     # A file that could not be opened has items at most, and no result.
     rows.append(("unopened", 1, 1, "x", 1.0))
     parsed = parse_pdf(
-        spark.createDataFrame(rows, ITEMS), spark.createDataFrame(info, INFO), max_pages, None, chunk, part
+        spark.createDataFrame(rows, ITEMS), spark.createDataFrame(info, INFO), max_pages, chunk_items=chunk, part_pages=part
     )
     got = {row.source: row for row in parsed.collect()}
     assert set(got) == set(counts)
@@ -140,6 +140,21 @@ def test_custom_renderer(spark):
     assert sorted(row.page_no for row in kept.collect()) == [1, 3]
 
 
+@pytest.mark.parametrize("chunk", [1, 2, 4096])
+def test_renderer_over_the_items(spark, chunk):
+    rows = [("f", 1, i, word, y) for i, (word, y) in enumerate([("a", 1.0), ("b", 1.0), ("c", None)])]
+    items = spark.createDataFrame(rows, ITEMS)
+    info = spark.createDataFrame([("f", "1", None, 2)], INFO)
+
+    def spaced(page):
+        return F.array_join(F.transform(page.items, lambda item: F.concat_ws("@", item["str"], item["y"])), " ")
+
+    parsed = parse_pdf(items, info, renderer=spaced, with_items=True, chunk_items=chunk).first()
+    assert parsed.text == "\n\na@1.0 b@1.0 c\n\n"
+    pages = custom_renderer(text_lines(items, chunk, with_items=True), spaced)
+    assert [(row.text, len(row)) for row in pages.collect()] == [("a@1.0 b@1.0 c", 3)]
+
+
 def test_text_of_page_rows(spark):
     pages = spark.createDataFrame(
         [("a", n, f"p{n}") for n in (3, 1, 2, 10)] + [("b", 1, "")], "source string, page_no int, text string"
