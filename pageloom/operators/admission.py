@@ -19,6 +19,7 @@ from pageloom.schemas import FILES, LOC, PDF, STRING_MAP
 SOURCE_REQUIRED = "File path is required in metadata.source"
 UNSUPPORTED_TYPE = "Unsupported file type. Supported types: "
 FILE_NOT_FOUND = "File not found: "
+NO_PATH = "undefined"
 
 
 def ingest_table(df: DataFrame) -> DataFrame:
@@ -85,15 +86,16 @@ def rejected(admitted: DataFrame) -> DataFrame:
 
 
 def missing_sources(requested: DataFrame, scanned: DataFrame) -> DataFrame:
-    """Requested paths no scan found, each as a reject.
+    """``(source, error, requests)`` of requested paths no scan found.
 
-    The scanned side is made distinct first, so copies of one path collapse
-    before the shuffle.
+    One reject per path with the number of requests for it. Both sides collapse
+    to one row per path before their shuffle, so no path is hot in the join,
+    which then needs no shuffle of its own.
     """
+    asked = requested.groupBy("source").agg(F.count(F.lit(1)).alias("requests"))
     found = scanned.select("source").distinct()
-    return requested.join(found, "source", "left_anti").select(
-        "source", F.concat(F.lit(FILE_NOT_FOUND), F.col("source")).alias("error")
-    )
+    error = F.concat(F.lit(FILE_NOT_FOUND), F.coalesce("source", F.lit(NO_PATH)))
+    return asked.join(found, "source", "left_anti").select("source", error.alias("error"), "requests")
 
 
 def fail_on_error(df: DataFrame, error: str = "error") -> DataFrame:

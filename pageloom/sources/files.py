@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from pageloom.functions.paths import plain_path
-from pageloom.operators.admission import FILE_NOT_FOUND
+from pageloom.operators.admission import FILE_NOT_FOUND, NO_PATH
 from pageloom.options import LoadOptions
 from pageloom.session import spread
 
@@ -62,7 +62,7 @@ def read_sources(paths: DataFrame, partitions: int | None = None) -> DataFrame:
     schema = T.StructType(
         [*paths.schema.fields, T.StructField("content", T.BinaryType()), T.StructField("error", T.StringType())]
     )
-    not_found, batch_bytes = FILE_NOT_FOUND, BATCH_BYTES
+    not_found, no_path, batch_bytes = FILE_NOT_FOUND, NO_PATH, BATCH_BYTES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
@@ -92,7 +92,9 @@ def read_sources(paths: DataFrame, partitions: int | None = None) -> DataFrame:
             start, size, contents, errors = 0, 0, [], []
             for source in batch.column("source").to_pylist():
                 content, error = None, None
-                if source is not None:
+                if source is None:
+                    error = not_found + no_path
+                else:
                     try:
                         content = read(source)
                     except (OSError, pa.ArrowInvalid):

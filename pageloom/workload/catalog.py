@@ -76,8 +76,10 @@ def scan_files_query(spark, sf_dir):
 
 
 @query("""
-SELECT '/orders/' || o_orderkey || '.pdf' AS source, 'File not found: /orders/' || o_orderkey || '.pdf' AS error
+SELECT '/orders/' || o_orderkey || '.pdf' AS source, 'File not found: /orders/' || o_orderkey || '.pdf' AS error,
+  count(*) AS requests
 FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)
+GROUP BY o_orderkey
 """)
 def missing_sources(spark, sf_dir):
     def path(key: str) -> Column:

@@ -130,8 +130,12 @@ def test_a_hot_source_is_split_when_info_is_attached(spark, settings):
     assert "skew=true" in plan(final)
 
 
-def test_a_hot_missing_path_keeps_its_rows(spark, settings):
-    n = 9_000
-    requested = wide(spark, hot_keys(spark, n), "hot-paths").select("source", "pad")
-    scanned = hot_keys(spark, n).filter("source <> 'hot.pdf'")
-    assert missing_sources(requested, scanned).count() == n // 3
+def test_a_hot_missing_path_is_collapsed_before_the_shuffle(spark, settings):
+    n = 90_000
+    requested = hot_keys(spark, n)
+    listed = requested.filter("source <> 'hot.pdf'")
+    missing = missing_sources(requested, listed.union(listed))
+    [row] = missing.collect()
+    assert (row.source, row.error, row.requests) == ("hot.pdf", "File not found: hot.pdf", n // 3)
+    first = missing_sources(requested, listed)
+    assert exchanges(first) == 2 and "partial_count" in plan(first)

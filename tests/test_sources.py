@@ -48,14 +48,14 @@ def test_read_sources_keeps_columns_and_reports_missing(spark, tree):
         assert rows[3].content is None and rows[3].error == f"File not found: {tree}/nope.pdf"
         assert rows[4].content is None and rows[4].error is not None
         assert rows[5].error == "File not found: "
-        assert rows[6].content is None and rows[6].error is None
+        assert rows[6].content is None and rows[6].error == "File not found: undefined"
 
 
-def test_missing_sources_keeps_every_request(spark):
+def test_missing_sources_counts_every_request(spark):
     requested = spark.createDataFrame([("a",), ("gone",), ("gone",), ("b",)], "source string")
     scanned = spark.createDataFrame([("a",), ("a",), ("b",)], "source string")
     got = [tuple(row) for row in missing_sources(requested, scanned).collect()]
-    assert got == [("gone", "File not found: gone")] * 2
+    assert got == [("gone", "File not found: gone", 2)]
 
 
 def test_streaming_load_takes_each_file_once(spark, tree, tmp_path):
