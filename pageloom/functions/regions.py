@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pageloom.columns import ColumnOrName, col
-from pageloom.schemas import REGION, RESPONSE_IMAGE
+from pageloom.schemas import DIMENSIONS, REGION, RESPONSE_IMAGE
 
 
 def image_regions(images: ColumnOrName) -> Column:
@@ -19,7 +19,7 @@ def image_regions(images: ColumnOrName) -> Column:
     none = F.array().cast(T.ArrayType(RESPONSE_IMAGE))
 
     def coordinate(value: Column) -> Column:
-        return F.coalesce(value, F.lit(0))
+        return F.coalesce(value.try_cast("int"), F.lit(0))
 
     renamed = F.transform(
         F.coalesce(col(images), none),
@@ -37,4 +37,6 @@ def image_regions(images: ColumnOrName) -> Column:
 
 def page_dimensions(page: ColumnOrName) -> Column:
     """Page size, or NULL when the service gave none."""
-    return col(page)["dimensions"]
+    size = col(page)["dimensions"]
+    whole = F.struct(*[size[name].try_cast("int").alias(name) for name in DIMENSIONS.names])
+    return F.when(size.isNotNull(), whole)

@@ -12,20 +12,27 @@ DIMENSIONS = T.StructType([
     T.StructField("width", T.IntegerType()),
 ])
 
-# One region as the OCR service spells it.
+# One region as the OCR service spells it. Numbers are read as doubles: as
+# integers, a value written with a fraction such as 10.0 would be lost.
 RESPONSE_IMAGE = T.StructType([
     T.StructField("id", T.StringType()),
-    T.StructField("topLeftX", T.IntegerType()),
-    T.StructField("topLeftY", T.IntegerType()),
-    T.StructField("bottomRightX", T.IntegerType()),
-    T.StructField("bottomRightY", T.IntegerType()),
+    T.StructField("topLeftX", T.DoubleType()),
+    T.StructField("topLeftY", T.DoubleType()),
+    T.StructField("bottomRightX", T.DoubleType()),
+    T.StructField("bottomRightY", T.DoubleType()),
     T.StructField("imageBase64", T.StringType()),
 ])
 
+RESPONSE_DIMENSIONS = T.StructType([
+    T.StructField("dpi", T.DoubleType()),
+    T.StructField("height", T.DoubleType()),
+    T.StructField("width", T.DoubleType()),
+])
+
 RESPONSE_PAGE = T.StructType([
     T.StructField("markdown", T.StringType()),
     T.StructField("images", T.ArrayType(RESPONSE_IMAGE)),
-    T.StructField("dimensions", DIMENSIONS),
+    T.StructField("dimensions", RESPONSE_DIMENSIONS),
 ])
 
 RESPONSE = T.StructType([T.StructField("pages", T.ArrayType(RESPONSE_PAGE))])

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -41,13 +43,21 @@ def scan_files(
 
     Bytes are only read where a plan uses ``content``. With ``options`` files
     of other types are skipped by name and never opened; leave it out to see
-    them as rejects. Names that start with ``.`` or ``_`` are not listed.
+    them as rejects. Names that start with ``.`` or ``_`` are not listed. A
+    root that does not exist is an error.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
     glob = type_glob(options.types) if options else None
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(root).select(plain_path("path").alias("source"), "content", "length")
+    try:
+        found = reader.load(root)
+    except AnalysisException as failure:
+        if failure.getCondition() != "PATH_NOT_FOUND":
+            raise
+        path = failure.getMessageParameters()["path"]
+        raise FileNotFoundError(FILE_NOT_FOUND + re.sub(r"\Afile:/+", "/", path)) from None
+    return found.select(plain_path("path").alias("source"), "content", "length")
 
 
 def read_sources(paths: DataFrame, partitions: int | None = None) -> DataFrame:

@@ -95,6 +95,14 @@ def test_missing_parts_of_a_page_get_defaults(spark):
     assert bare["images"] == []
 
 
+def test_numbers_may_be_written_with_a_fraction(spark):
+    page = {"images": [{"id": 7, "topLeftX": 10.0, "topLeftY": 1e300}], "dimensions": {"width": 800.0}}
+    [(_, _, meta)] = documents(load_table(table(spark, ("t.jpg", b"x")), fixed_backend({"pages": [page]})))
+    assert meta["images"][0]["id"] == "7"
+    assert (meta["images"][0]["top_left_x"], meta["images"][0]["top_left_y"]) == (10, 0)
+    assert meta["dimensions"] == {"dpi": None, "height": None, "width": 800}
+
+
 def test_pdf_pages_are_numbered(spark):
     answer = {"pages": [{"markdown": "page 1"}, {"markdown": "page 2"}]}
     rows = documents(load_table(table(spark, ("test.pdf", b"%PDF")), fixed_backend(answer)))

@@ -36,6 +36,12 @@ def test_scan_files(spark, tree):
     assert sorted(row.source for row in admissible) == [f"{tree}/a.pdf", f"{tree}/b.Jpg"]
 
 
+def test_scan_of_one_file_and_of_none(spark, tree):
+    assert [row.source for row in scan_files(spark, f"{tree}/a.pdf").collect()] == [f"{tree}/a.pdf"]
+    with pytest.raises(FileNotFoundError, match=f"^File not found: {tree}/gone.pdf$"):
+        scan_files(spark, f"{tree}/gone.pdf")
+
+
 def test_read_sources_keeps_columns_and_reports_missing(spark, tree):
     paths = spark.createDataFrame(
         [(f"{tree}/a.pdf", 1), (f"{tree}/_under.pdf", 2), (f"{tree}/nope.pdf", 3), (str(tree), 4), ("", 5), (None, 6)],
