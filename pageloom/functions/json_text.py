@@ -25,14 +25,16 @@ def _value(text: Column) -> Column:
     return F.coalesce(text, F.lit("null"))
 
 
-def _block(members: Column, opening: str, closing: str, depth: int) -> Column:
-    """Members one per line between brackets; NULL members are left out."""
+def _block(members: Column, opening: str, closing: str, depth: int, filled: Column | None = None) -> Column:
+    """Members one per line between brackets; NULL members are left out.
+
+    ``filled`` tells whether there is a member at all. It is asked for instead
+    of looking at ``members``, which would evaluate nested text twice per level.
+    """
     pad = "\n" + INDENT * (depth + 1)
-    body = F.array_join(members, "," + pad)
     end = "\n" + INDENT * depth + closing
-    filled = F.concat(F.lit(opening + pad), body, F.lit(end))
-    kept = F.filter(members, lambda member: member.isNotNull())
-    return F.when(F.size(kept) > 0, filled).otherwise(F.lit(opening + closing))
+    text = F.concat(F.lit(opening + pad), F.array_join(members, "," + pad), F.lit(end))
+    return text if filled is None else F.when(filled, text).otherwise(F.lit(opening + closing))
 
 
 def _member(key: str, text: Column) -> Column:
@@ -40,8 +42,8 @@ def _member(key: str, text: Column) -> Column:
     return F.concat(F.lit(f'"{key}": '), text)
 
 
-def _object(members: list[Column], depth: int) -> Column:
-    return _block(F.array(*members), "{", "}", depth)
+def _object(members: list[Column], depth: int, filled: Column | None = None) -> Column:
+    return _block(F.array(*members), "{", "}", depth, filled)
 
 
 def _map_members(entries: Column) -> Column:
@@ -52,15 +54,23 @@ def _map_members(entries: Column) -> Column:
 
 
 def _map(entries: Column, depth: int) -> Column:
-    return F.when(entries.isNotNull(), _block(_map_members(entries), "{", "}", depth))
+    text = _block(_map_members(entries), "{", "}", depth, F.size(entries) > 0)
+    return F.when(entries.isNotNull(), text)
 
 
 def _number(value: Column) -> Column:
     return value.cast("string")
 
 
+def _any_set(struct: Column, names: tuple[str, ...]) -> Column:
+    found = struct[names[0]].isNotNull()
+    for name in names[1:]:
+        found = found | struct[name].isNotNull()
+    return found
+
+
 def _loc(loc: Column, depth: int) -> Column:
-    body = _object([_member("pageNumber", _number(loc["pageNumber"]))], depth)
+    body = _object([_member("pageNumber", _number(loc["pageNumber"]))], depth, loc["pageNumber"].isNotNull())
     return F.when(loc.isNotNull(), body)
 
 
@@ -78,6 +88,7 @@ def _pdf(pdf: Column, has_info: Column, depth: int) -> Column:
             _member("loc", _loc(pdf["loc"], depth + 1)),
         ],
         depth,
+        _any_set(pdf, ("version", "info", "metadata", "totalPages", "loc")),
     )
     return F.when(pdf.isNotNull(), body)
 
@@ -95,13 +106,14 @@ def _region(region: Column, depth: int) -> Column:
 
 
 def _regions(images: Column, depth: int) -> Column:
-    body = _block(F.transform(images, lambda region: _region(region, depth + 1)), "[", "]", depth)
-    return F.when(images.isNotNull(), body)
+    members = F.transform(images, lambda region: _region(region, depth + 1))
+    return F.when(images.isNotNull(), _block(members, "[", "]", depth, F.size(images) > 0))
 
 
 def _dimensions(dimensions: Column, images: Column, depth: int) -> Column:
     names = ("dpi", "height", "width")
-    body = _object([_member(name, _number(dimensions[name])) for name in names], depth)
+    members = [_member(name, _number(dimensions[name])) for name in names]
+    body = _object(members, depth, _any_set(dimensions, names))
     text = F.when(dimensions.isNotNull(), body).otherwise(F.lit("null"))
     return F.when(images.isNotNull(), text)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pageloom.columns import ColumnOrName, col
-from pageloom.schemas import DIMENSIONS, REGION, RESPONSE_IMAGE
+from pageloom.schemas import DIMENSIONS, RESPONSE_IMAGE
 
 
 def image_regions(images: ColumnOrName) -> Column:
@@ -21,7 +21,7 @@ def image_regions(images: ColumnOrName) -> Column:
     def coordinate(value: Column) -> Column:
         return F.coalesce(value.try_cast("int"), F.lit(0))
 
-    renamed = F.transform(
+    return F.transform(
         F.coalesce(col(images), none),
         lambda image: F.struct(
             image["id"].alias("id"),
@@ -32,7 +32,6 @@ def image_regions(images: ColumnOrName) -> Column:
             image["imageBase64"].alias("image_base64"),
         ),
     )
-    return renamed.cast(T.ArrayType(REGION))
 
 
 def page_dimensions(page: ColumnOrName) -> Column:

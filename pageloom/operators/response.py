@@ -16,7 +16,7 @@ from pageloom.functions.metadata import image_loc, merged_extra, pdf_loc
 from pageloom.functions.regions import image_regions, page_dimensions
 from pageloom.functions.text import page_text
 from pageloom.operators.ocr import wrap_error
-from pageloom.schemas import LOC, METADATA, PDF, RESPONSE, RESPONSE_PAGE, STRING_MAP
+from pageloom.schemas import LOC, PDF, RESPONSE, RESPONSE_PAGE, STRING_MAP
 
 # Messages.
 MALFORMED_RESPONSE = "Malformed response structure"
@@ -115,11 +115,7 @@ def page_documents(pages: DataFrame) -> DataFrame:
         F.when(is_pdf, pdf_loc("pdf", "page_no")).otherwise(F.col("pdf")).alias("pdf"),
         merged_extra("extra").alias("extra"),
     )
-    return pages.select(
-        "source",
-        page_text("page.markdown").alias("page_content"),
-        metadata.cast(METADATA).alias("metadata"),
-    )
+    return pages.select("source", page_text("page.markdown").alias("page_content"), metadata.alias("metadata"))
 
 
 def combine_pages(responses: DataFrame) -> DataFrame:
@@ -164,6 +160,4 @@ def to_documents(responses: DataFrame, split_pages: bool = True) -> DataFrame:
         F.col("pdf").alias("pdf"),
         F.when(is_pdf, F.col("extra")).otherwise(merged_extra("extra")).alias("extra"),
     )
-    return rows.select(
-        "source", page_text("page.markdown").alias("page_content"), metadata.cast(METADATA).alias("metadata")
-    )
+    return rows.select("source", page_text("page.markdown").alias("page_content"), metadata.alias("metadata"))
