@@ -28,6 +28,8 @@ class ImageFormat:
     quality: int | None = None
 
 
+NOT_RENDERED = "page was not rendered"
+
 # Formats a sample page is written in.
 SAMPLE_FORMATS = (ImageFormat("jpg", 90), ImageFormat("png"), ImageFormat("webp", 90))
 
@@ -92,25 +94,26 @@ def format_fanout(images: DataFrame, formats: Sequence[ImageFormat] = SAMPLE_FOR
 def format_dispatch(images: DataFrame, encoder: Encoder | None = None) -> DataFrame:
     """Pass PNG through, hand other formats to the encoder.
 
-    Adds ``needs_encode`` and ``error`` and replaces ``content``. Rows the
-    encoder leaves without bytes get an error and no content; without an
-    encoder every row that needs one does.
+    Adds ``needs_encode`` and ``error`` and replaces ``content``. Rows left
+    without bytes get an error, unless they come with one; without an encoder
+    these are all rows that need one.
     """
     needs_encode = F.col("fmt") != "png"
+    drawn = F.col("drawn")
     if encoder is None:
         encoded = F.lit(None).cast("binary")
     else:
-        encoded = encoder(F.when(needs_encode, F.col("content")), F.col("fmt"), F.col("quality"))
+        encoded = encoder(F.when(needs_encode, drawn), F.col("fmt"), F.col("quality"))
+    failed = F.concat(F.lit(IMAGE_PROCESSING_FAILED), F.lit("cannot encode as "), F.col("fmt"))
+    error = F.when(drawn.isNull(), conversion_error(F.lit(NOT_RENDERED))).when(
+        F.col("content").isNull(), conversion_error(failed)
+    )
+    if "error" in images.columns:
+        error = F.coalesce(F.col("error"), error)
     return (
-        images.withColumn("needs_encode", needs_encode)
-        .withColumn("content", F.when(needs_encode, encoded).otherwise(F.col("content")))
-        .withColumn(
-            "error",
-            F.when(
-                F.col("content").isNull(),
-                conversion_error(
-                    F.concat(F.lit(IMAGE_PROCESSING_FAILED), F.lit("cannot encode as "), F.col("fmt"))
-                ),
-            ),
-        )
+        images.withColumnRenamed("content", "drawn")
+        .withColumn("needs_encode", needs_encode)
+        .withColumn("content", F.when(needs_encode, encoded).otherwise(drawn))
+        .withColumn("error", error)
+        .drop("drawn")
     )

@@ -1,4 +1,4 @@
-"""PDF pages to image files."""
+"""PDF pages to images and image files."""
 
 from __future__ import annotations
 
@@ -7,13 +7,36 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pageloom.functions.render import DEFAULT_FORMAT, DEFAULT_QUALITY
-from pageloom.operators.images import Encoder, format_dispatch, page_fanout
+from pageloom.functions.render import (
+    DEFAULT_FORMAT,
+    DEFAULT_QUALITY,
+    DEFAULT_SCALE,
+    FILE_CONVERSION_FAILED,
+)
+from pageloom.operators.images import Encoder, format_dispatch, page_bounds, page_fanout
 from pageloom.session import materialize
 from pageloom.sources.blobs import save_page_images
 
-# Source and page number to PNG bytes.
-Rasterizer = Callable[[Column, Column], Column]
+# Source, page number and scale to PNG bytes; NULL where it fails.
+Rasterizer = Callable[[Column, Column, Column], Column]
+
+# Most bytes of failed sources that are broadcast.
+BROADCAST_BYTES = 32 << 20
+
+
+def convert_pages(requests: DataFrame, rasterize: Rasterizer, encoder: Encoder | None = None) -> DataFrame:
+    """Render requested pages: adds ``content`` and ``error`` to each request.
+
+    A request is ``(source, num_pages, scale, output_format, quality,
+    page_number)``, options empty where the default is meant. Pages the file
+    does not have are not rendered.
+    """
+    checked = page_bounds(requests)
+    drawn = rasterize(F.col("source"), F.col("page_number"), F.col("scale"))
+    images = checked.withColumn("content", F.when(F.col("error").isNull(), drawn)).withColumn(
+        "fmt", F.col("output_format")
+    )
+    return format_dispatch(images, encoder).drop("fmt", "needs_encode")
 
 
 def save_pdf_pages(
@@ -23,16 +46,31 @@ def save_pdf_pages(
     encoder: Encoder | None = None,
     fmt: str | None = None,
     quality: int | None = None,
+    scale: float | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Write every page of ``files(source, num_pages[, dir])`` as an image.
 
-    Returns ``(source, page_no, path)`` of the written pages and ``rejects`` of
-    pages that could not be encoded. Images are made once and kept in shared
-    storage between encoding and writing.
+    Returns ``(source, page_no, path)`` of the written pages and
+    ``rejects(source, error)``. A file of which a page fails is rejected with
+    the error of its first failing page, and none of its pages is written.
+    Images are made once and kept in shared storage until then.
     """
     pages = page_fanout(files).withColumn("fmt", F.lit(fmt or DEFAULT_FORMAT))
     pages = pages.withColumn("quality", F.lit(quality or DEFAULT_QUALITY))
-    drawn = pages.withColumn("content", rasterize(F.col("source"), F.col("page_no")))
-    images = materialize(format_dispatch(drawn, encoder), "page-images")
-    written = save_page_images(images.filter(F.col("error").isNull()), directory)
-    return written, images.filter(F.col("error").isNotNull()).select("source", "error")
+    drawn = rasterize(F.col("source"), F.col("page_no"), F.lit(float(scale or DEFAULT_SCALE)))
+    images = materialize(format_dispatch(pages.withColumn("content", drawn), encoder), "page-images")
+    failed = (
+        images.filter(F.col("error").isNotNull())
+        .groupBy("source")
+        .agg(F.concat(F.lit(FILE_CONVERSION_FAILED), F.min_by("error", "page_no")).alias("error"))
+    )
+    return save_page_images(_without(images, failed), directory), failed
+
+
+def _without(images: DataFrame, failed: DataFrame) -> DataFrame:
+    """Images of other files. Bytes are shuffled only if very many files failed."""
+    sources = failed.select("source")
+    size = sources.agg(F.sum(F.octet_length("source") + 16).alias("bytes")).first()["bytes"]
+    if size is None:
+        return images
+    return images.join(F.broadcast(sources) if size <= BROADCAST_BYTES else sources, "source", "left_anti")

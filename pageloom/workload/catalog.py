@@ -17,6 +17,7 @@ from pageloom.functions.text import preview_fixed, preview_if_longer
 from pageloom.operators import admission, images, pdf_info, report, response, text_items
 from pageloom.operators.ocr import apply_ocr, echo_backend
 from pageloom.operators.request import build_requests, media
+from pageloom.plans import page_images
 from pageloom.session import materialize, run_dir
 from pageloom.sources.blobs import save_page_images, write_blobs
 from pageloom.sources.files import scan_files
@@ -691,6 +692,32 @@ def format_fanout(spark, sf_dir):
     )
 
 
+@query(f"""
+WITH {PAGE_REQUESTS_SQL}
+SELECT l_orderkey, l_linenumber, page_number,
+  CASE WHEN page_number BETWEEN 1 AND num_pages
+       THEN md5(CASE WHEN output_format = 'jpeg' THEN 'jpeg' || quality || ':' ELSE '' END
+                || l_orderkey || ':' || page_number) END AS digest,
+  CASE WHEN page_number NOT BETWEEN 1 AND num_pages
+       THEN 'Failed to convert PDF to image: Invalid page number: ' || page_number || '. PDF has ' || num_pages
+            || ' pages.' END AS error
+FROM requests
+""")
+def convert_pages(spark, sf_dir):
+    # Both hooks stand for an image library.
+    def draw(source: Column, page_no: Column, scale: Column) -> Column:
+        return F.concat_ws(":", source, page_no).cast("binary")
+
+    def encode(content: Column, fmt: Column, quality: Column) -> Column:
+        return F.concat(F.concat(fmt, quality, F.lit(":")).cast("binary"), content)
+
+    requests = inputs.page_requests(spark, sf_dir).withColumn("source", F.col("l_orderkey").cast("string"))
+    converted = page_images.convert_pages(requests, draw, encode)
+    return converted.select(
+        "l_orderkey", "l_linenumber", long("page_number"), F.md5("content").alias("digest"), "error"
+    )
+
+
 @query("""
 SELECT page_id, fmt, fmt <> 'png' AS needs_encode,
   CASE WHEN fmt = 'png' THEN md5(html) WHEN fmt = 'jpg' AND page_id % 5 = 0 THEN NULL

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
-from pageloom import save_pdf_pages
+from pageloom import convert_pages, save_pdf_pages
 from pageloom.operators.images import ImageFormat, format_dispatch, format_fanout, page_blocks, page_bounds, page_fanout
+from pageloom.plans import page_images
 from pageloom.session import run_dir
 from pageloom.sources.blobs import save_page_images, write_blobs
 from pageloom.sources.files import scan_files
@@ -67,7 +69,7 @@ def test_format_fanout_and_dispatch(spark):
     assert unencoded == {"png": True, "jpg": False, "webp": False}
 
 
-def page_images(spark):
+def placed_images(spark):
     return spark.createDataFrame(
         [("a", n, "png", bytearray(f"a{n}".encode()), "a") for n in (1, 2, 11)]
         + [("b", 1, "jpeg", bytearray(b"b1"), "deep/er")],
@@ -77,7 +79,7 @@ def page_images(spark):
 
 def test_save_page_images_and_scan_them_back(spark):
     root = run_dir(spark, "test-images")
-    saved = save_page_images(page_images(spark), root).orderBy("source", "page_no").collect()
+    saved = save_page_images(placed_images(spark), root).orderBy("source", "page_no").collect()
     paths = [row.path for row in saved]
     assert [path.removeprefix(root) for path in paths] == [
         "/a/page-1.png",
@@ -101,23 +103,55 @@ def test_writing_again_replaces_whole_files(spark):
     assert open(f"{root}/x.bin", "rb").read() == b"second"
 
 
-def test_save_pdf_pages(spark):
-    root = run_dir(spark, "test-pages")
-    files = spark.createDataFrame([("a", 2, "a"), ("b", 1, "b")], FILES + ", dir string")
+def draw(source, page_no, scale):
+    return F.concat_ws(":", source, page_no, scale).cast("binary")
+
 
-    def draw(source, page_no):
-        return F.concat(source, F.lit(":"), page_no).cast("binary")
+def encode(content, fmt, quality):
+    ok = content != F.lit("a:2:2.0").cast("binary")
+    return F.when(ok, F.concat(content, quality.cast("string").cast("binary")))
 
+
+def test_save_pdf_pages(spark):
+    root = run_dir(spark, "test-pages")
+    files = spark.createDataFrame([("a", 3, "a"), ("b", 1, "b")], FILES + ", dir string")
     written, rejects = save_pdf_pages(files, root, draw)
     got = [(row.source, row.page_no, row.path.removeprefix(root)) for row in written.orderBy("source", "page_no").collect()]
-    assert got == [("a", 1, "/a/page-1.png"), ("a", 2, "/a/page-2.png"), ("b", 1, "/b/page-1.png")]
-    assert open(f"{root}/a/page-2.png", "rb").read() == b"a:2"
+    assert got == [("a", n, f"/a/page-{n}.png") for n in (1, 2, 3)] + [("b", 1, "/b/page-1.png")]
+    assert open(f"{root}/a/page-2.png", "rb").read() == b"a:2:2.0"
     assert rejects.isEmpty()
 
-    def encode(content, fmt, quality):
-        return F.when(content != F.lit("a:2").cast("binary"), F.concat(content, quality.cast("string").cast("binary")))
 
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_a_failed_page_keeps_its_file_from_being_written(spark, monkeypatch, limit):
+    monkeypatch.setattr(page_images, "BROADCAST_BYTES", limit)
+    root = run_dir(spark, "test-failed-pages")
+    files = spark.createDataFrame([("a", 3, "a"), ("b", 1, "b")], FILES + ", dir string")
     written, rejects = save_pdf_pages(files, root, draw, encode, fmt="jpeg", quality=80)
-    assert written.count() == 2
-    assert open(f"{root}/b/page-1.jpeg", "rb").read() == b"b:180"
-    assert [row.source for row in rejects.collect()] == ["a"]
+    assert [row.path.removeprefix(root) for row in written.collect()] == ["/b/page-1.jpeg"]
+    assert os.listdir(root) == ["b"] and open(f"{root}/b/page-1.jpeg", "rb").read() == b"b:1:2.080"
+    [row] = rejects.collect()
+    assert row.source == "a"
+    assert row.error.startswith(
+        "Failed to convert PDF to images: Failed to convert PDF to image: Image processing failed: "
+    )
+    scaled, rejects = save_pdf_pages(files, root, draw, encode, fmt="jpeg", scale=1)
+    assert scaled.count() == 4 and rejects.isEmpty()
+    assert open(f"{root}/a/page-2.jpeg", "rb").read() == b"a:2:1.0100"
+
+
+def test_convert_pages(spark):
+    schema = "source string, num_pages int, scale double, output_format string, quality int, page_number int"
+    rows = [("a", 2, None, None, None, None), ("a", 2, 3.0, "webp", 50, 1), ("a", 2, 0.0, "jpeg", 0, 2), ("a", 2, 1.0, "png", 1, 3)]
+    got = convert_pages(spark.createDataFrame(rows, schema), draw, encode).collect()
+    assert [None if row.content is None else bytes(row.content) for row in got] == [
+        b"a:1:2.0",
+        b"a:1:3.050",
+        None,
+        None,
+    ]
+    assert [row.error is None for row in got] == [True, True, False, False]
+    assert got[2].error.startswith("Failed to convert PDF to image: Image processing failed: ")
+    assert got[3].error == "Failed to convert PDF to image: Invalid page number: 3. PDF has 2 pages."
+    nothing = convert_pages(spark.createDataFrame(rows[:1], schema), lambda *_: F.lit(None).cast("binary"))
+    assert nothing.first().error == "Failed to convert PDF to image: page was not rendered"
