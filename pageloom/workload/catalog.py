@@ -18,6 +18,7 @@ from pageloom.operators import admission, images, pdf_info, report, response, te
 from pageloom.operators.ocr import apply_ocr, echo_backend
 from pageloom.operators.request import build_requests, media
 from pageloom.plans import page_images
+from pageloom.schemas import PDF
 from pageloom.session import materialize, run_dir
 from pageloom.sources.blobs import save_page_images, write_blobs
 from pageloom.sources.files import scan_files
@@ -64,7 +65,9 @@ def doc_key() -> Column:
 # Sources and sinks
 
 
-@query("SELECT 'doc-' || doc_id || '.bin' AS name, octet_length(encode(text)) AS length, md5(text) AS digest FROM documents")
+@query("""
+SELECT 'doc-' || doc_id || '.bin' AS name, octet_length(encode(text)) AS length, md5(text) AS digest FROM documents
+""")
 def scan_files_query(spark, sf_dir):
     root = run_dir(spark, "scan")
     name = F.concat(F.lit(f"{root}/doc-"), F.col("doc_id"), F.lit(".bin"))
@@ -423,7 +426,8 @@ LEFT JOIN (SELECT '/answers/doc-' || doc_id || '.pdf' AS source, 1 + doc_id % 5
   ON l.source = p.source
 """)
 def pdf_loc(spark, sf_dir):
-    informed = pdf_info.attach_pdf_info(inputs.pdf_answers(spark, sf_dir).transform(with_pdf), label_info(spark, sf_dir))
+    answers = inputs.pdf_answers(spark, sf_dir).transform(with_pdf)
+    informed = pdf_info.attach_pdf_info(answers, label_info(spark, sf_dir))
     pdf = F.col("metadata.pdf")
     return response.to_documents(informed).select(
         "source", long(pdf["loc"]["pageNumber"], "page_no"), long(pdf["totalPages"], "total_pages")
@@ -431,8 +435,6 @@ def pdf_loc(spark, sf_dir):
 
 
 def with_pdf(df: DataFrame) -> DataFrame:
-    from pageloom.schemas import PDF
-
     return df.withColumn("pdf", F.lit(None).cast(PDF))
 
 
@@ -478,8 +480,6 @@ SELECT '/answers/doc-' || d.doc_id || '.pdf' AS source,
 FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id
 """)
 def attach_pdf_info(spark, sf_dir):
-    from pageloom.schemas import PDF
-
     given = F.struct(
         F.lit(None).alias("version"),
         F.lit(None).alias("info"),
@@ -752,7 +752,8 @@ SELECT source, i + 1 AS page, substring(line, 1, 200) || '...' AS preview,
        || '      "top_left_y": ' || size || ',' || chr(10)
        || '      "bottom_right_x": ' || (i + size) || ',' || chr(10)
        || '      "bottom_right_y": ' || CASE WHEN i % 5 = 0 THEN 0 ELSE 2 * size END
-       || CASE WHEN i % 2 = 0 THEN ',' || chr(10) || '      "image_base64": "' || base64(encode(line)) || '"' ELSE '' END
+       || CASE WHEN i % 2 = 0
+            THEN ',' || chr(10) || '      "image_base64": "' || base64(encode(line)) || '"' ELSE '' END
        || chr(10) || '    }}' || chr(10) || '  ]' END || ',' || chr(10)
   || '  "dimensions": ' || CASE WHEN i % 3 = 2 THEN 'null' ELSE
        '{{' || chr(10) || '    "dpi": 72,' || chr(10) || '    "height": ' || (i + 100) || ',' || chr(10)

@@ -221,7 +221,8 @@ def test_metadata_json_of_a_pdf_page(spark):
 
 
 def test_metadata_json_of_unread_pdf_image_and_combined(spark):
-    page = json_of(spark, images=[], pdf=dict(version=None, info=None, metadata=None, totalPages=None, loc=dict(pageNumber=1)))
+    unread = dict(version=None, info=None, metadata=None, totalPages=None, loc=dict(pageNumber=1))
+    page = json_of(spark, images=[], pdf=unread)
     assert page == expected({"source": "t.pdf", "images": [], "dimensions": None, "pdf": {"loc": {"pageNumber": 1}}})
     image = json_of(spark, images=[], loc=dict(pageNumber=1))
     assert image == expected({"source": "t.pdf", "images": [], "dimensions": None, "loc": {"pageNumber": 1}})

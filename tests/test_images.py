@@ -116,7 +116,8 @@ def test_save_pdf_pages(spark):
     root = run_dir(spark, "test-pages")
     files = spark.createDataFrame([("a", 3, "a"), ("b", 1, "b")], FILES + ", dir string")
     written, rejects = save_pdf_pages(files, root, draw)
-    got = [(row.source, row.page_no, row.path.removeprefix(root)) for row in written.orderBy("source", "page_no").collect()]
+    rows = written.orderBy("source", "page_no").collect()
+    got = [(row.source, row.page_no, row.path.removeprefix(root)) for row in rows]
     assert got == [("a", n, f"/a/page-{n}.png") for n in (1, 2, 3)] + [("b", 1, "/b/page-1.png")]
     assert open(f"{root}/a/page-2.png", "rb").read() == b"a:2:2.0"
     assert rejects.isEmpty()
@@ -142,7 +143,12 @@ def test_a_failed_page_keeps_its_file_from_being_written(spark, monkeypatch, lim
 
 def test_convert_pages(spark):
     schema = "source string, num_pages int, scale double, output_format string, quality int, page_number int"
-    rows = [("a", 2, None, None, None, None), ("a", 2, 3.0, "webp", 50, 1), ("a", 2, 0.0, "jpeg", 0, 2), ("a", 2, 1.0, "png", 1, 3)]
+    rows = [
+        ("a", 2, None, None, None, None),
+        ("a", 2, 3.0, "webp", 50, 1),
+        ("a", 2, 0.0, "jpeg", 0, 2),
+        ("a", 2, 1.0, "png", 1, 3),
+    ]
     got = convert_pages(spark.createDataFrame(rows, schema), draw, encode).collect()
     assert [None if row.content is None else bytes(row.content) for row in got] == [
         b"a:1:2.0",

@@ -13,6 +13,7 @@ from pageloom.operators.ocr import apply_ocr, echo_backend
 from pageloom.operators.request import build_requests
 from pageloom.operators.response import response_rejects, to_documents
 from pageloom.options import DEFAULT_SUPPORTED_TYPES
+from pageloom.schemas import METADATA, REJECTS
 
 UNSUPPORTED = UNSUPPORTED_TYPE + ".jpg, .jpeg, .png, .webp, .tiff, .bmp, .gif, .pdf"
 ANSWERS = "source string, kind string, response string, error string"
@@ -212,6 +213,21 @@ def test_configured_types(spark, types, source, kind):
         assert row.error == UNSUPPORTED_TYPE + ", ".join(types)
 
 
+def names_and_types(schema):
+    return [(field.name, field.dataType.simpleString()) for field in schema.fields]
+
+
+@pytest.mark.parametrize("split", [True, False])
+def test_result_schemas(spark, split):
+    result = load_table(table(spark, ("t.pdf", b"x")), echo_backend(), LoadOptions(split_pages=split))
+    assert names_and_types(result.documents.schema) == [
+        ("source", "string"),
+        ("page_content", "string"),
+        ("metadata", METADATA.simpleString()),
+    ]
+    assert names_and_types(result.rejects.schema) == names_and_types(REJECTS)
+
+
 def test_options_fall_back_like_the_loader():
     assert LoadOptions(model_name="").model == LoadOptions().model
     assert LoadOptions(model_name="m").model == "m"
@@ -342,3 +358,6 @@ def test_load_requested_reports_missing_files(spark, tree):
         (f"{tree}/gone.txt", f"File not found: {tree}/gone.txt"),
         (f"{tree}/notes.txt", UNSUPPORTED),
     ]
+    gone = table(spark, (f"{tree}/a.pdf",), (f"{tree}/gone.pdf",), schema="source string")
+    with pytest.raises(PySparkException, match=f"File not found: {tree}/gone.pdf"):
+        load_requested(gone, echo_backend(), on_error="fail")

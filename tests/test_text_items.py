@@ -96,9 +96,8 @@ def test_parse_pdf_equals_a_loop(spark, max_pages, chunk, part):
     info = [(s, "5.0", {"Title": s} if s != "f0" else None, n) for s, n in counts.items()]
     # A file that could not be opened has items at most, and no result.
     rows.append(("unopened", 1, 1, "x", 1.0))
-    parsed = parse_pdf(
-        spark.createDataFrame(rows, ITEMS), spark.createDataFrame(info, INFO), max_pages, chunk_items=chunk, part_pages=part
-    )
+    items, infos = spark.createDataFrame(rows, ITEMS), spark.createDataFrame(info, INFO)
+    parsed = parse_pdf(items, infos, max_pages, chunk_items=chunk, part_pages=part)
     got = {row.source: row for row in parsed.collect()}
     assert set(got) == set(counts)
     for source, count in counts.items():
