@@ -58,11 +58,10 @@ def main() -> None:
         return time.perf_counter() - start
 
     names = sys.argv[1:] or HEADLINE
-    run(names[0])  # starts the session's threads and workers
     seconds = {}
     for name in names:
-        run(name)
-        seconds[name] = round(run(name), 3)
+        run(name)  # compiles the query's code and starts workers
+        seconds[name] = round(min(run(name), run(name)), 3)
     spark.stop()
     print(
         json.dumps(

@@ -160,6 +160,8 @@ def page_counts(pages: DataFrame, max_pages: int = 0) -> DataFrame:
 
 
 def _part(part_pages: int) -> Column:
+    if part_pages <= 0:
+        return F.lit(0).cast("bigint")
     return F.floor((F.coalesce(F.col("page_no"), F.lit(1)) - 1) / part_pages)
 
 
@@ -211,7 +213,8 @@ def parse_pdf_parts(
     Text moves twice: items by chunk, then chunks by part. Every page is also
     a row without a body in that second exchange, the first one with the
     file's info; so pages without items are kept and nothing is joined.
-    ``header`` is set on a file's part 0 and nowhere if it has no info.
+    ``header`` is set on a file's part 0 and nowhere if it has no info. With
+    ``part_pages=0`` a file is one part.
     """
     info = doc_info(pdf_info)
     chunks = text_chunks(limit_pages(items, max_pages), chunk_items, with_items)
@@ -228,7 +231,8 @@ def parse_pdf_parts(
     together = (
         chunks.unionByName(blank, allowMissingColumns=True)
         .withColumn("part", _part(part_pages))
-        .repartition("source", "part")
+        # Named, so that pages and then parts are put together in place.
+        .repartition("source", *(["part"] if part_pages > 0 else []))
     )
     pages = (
         together.groupBy("source", "part", "page_no")
@@ -261,7 +265,8 @@ def parse_pdf(
     """One row per file: ``source, numpages, numrender, info, metadata, text, version``.
 
     Puts the parts of each file together; all the work per item and per page
-    is done before, spread over parts.
+    is done before, spread over parts. Where no file holds a large share of
+    all pages, ``part_pages=0`` saves that last exchange.
     """
     parts = parse_pdf_parts(items, pdf_info, max_pages, renderer, with_items, chunk_items, part_pages)
     texts = parts.groupBy("source").agg(

@@ -56,6 +56,7 @@ def test_text_moves_once_per_step(items, info):
     assert exchanges(text_lines(items)) == 2
     assert exchanges(parse_pdf_parts(items, info)) == 2
     assert exchanges(parse_pdf(items, info)) == 3
+    assert exchanges(parse_pdf(items, info, part_pages=0)) == 2
     assert "Join" not in plan(parse_pdf(items, info))
     assert exchanges(document_parts(items.withColumnRenamed("str", "text"))) == 1
 

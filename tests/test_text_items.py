@@ -88,7 +88,7 @@ def test_line_rules(spark, items, text, chunk):
 
 
 @pytest.mark.parametrize("max_pages", [0, -1, 1, 3, 99])
-@pytest.mark.parametrize(("chunk", "part"), [(4096, 1024), (2, 2)])
+@pytest.mark.parametrize(("chunk", "part"), [(4096, 1024), (2, 2), (3, 0)])
 def test_parse_pdf_equals_a_loop(spark, max_pages, chunk, part):
     rows, by_file = random_items(7)
     counts = {f"f{i}": 4 + i % 3 for i in range(6)} | {"blank": 2, "none": 0}
