@@ -62,7 +62,15 @@ def combined_text(pages: Column) -> Column:
     return F.array_join(F.transform(pages, lambda page: page_text(page["markdown"])), PAGE_JOINT)
 
 
-def _checked(responses: DataFrame) -> DataFrame:
+def check_responses(responses: DataFrame) -> DataFrame:
+    """``(source, kind, extra, loc, pdf, pages, fault)``: answers read and checked.
+
+    ``fault`` says why a file gives no documents. Written as a table, this is
+    what documents and rejects are taken from without parsing again. A table
+    that has been through it passes as it is.
+    """
+    if "fault" in responses.columns:
+        return responses
     parsed = parse_response(responses)
     kind = F.col("kind")
     return parsed.select(
@@ -84,7 +92,7 @@ def explode_pages(responses: DataFrame) -> DataFrame:
 
     Answers that fail a check and answers with an empty page list give none.
     """
-    checked = _checked(responses)
+    checked = check_responses(responses)
     sound = F.when(F.col("fault").isNull(), F.col("pages"))
     rows = checked.select("source", "kind", "extra", "loc", "pdf", F.posexplode(sound).alias("pos", "page"))
     return rows.withColumn("page_no", F.col("pos") + 1).drop("pos")
@@ -100,8 +108,11 @@ def response_rejects(responses: DataFrame) -> DataFrame:
 
     Files refused before the call keep the reason they were refused for.
     """
+    if "fault" in responses.columns:
+        return responses.filter(F.col("fault").isNotNull()).select("source", F.col("fault").alias("error"))
+    # Not a filter: pushed down, it would parse the answers a second time.
     faults = F.when(F.col("fault").isNotNull(), F.array("fault"))
-    return _checked(responses).select("source", F.explode(faults).alias("error"))
+    return check_responses(responses).select("source", F.explode(faults).alias("error"))
 
 
 def page_documents(pages: DataFrame) -> DataFrame:
@@ -136,7 +147,7 @@ def to_documents(responses: DataFrame, split_pages: bool = True) -> DataFrame:
     if split_pages:
         return page_documents(explode_pages(responses))
 
-    checked = _checked(responses)
+    checked = check_responses(responses)
     is_pdf = F.col("kind") == "pdf"
     joined = F.struct(
         combined_text(F.col("pages")).alias("markdown"),

@@ -14,7 +14,7 @@ from pageloom.operators.admission import admit, fail_on_error, ingest_table, rej
 from pageloom.operators.ocr import BackendFactory, apply_ocr, stored_responses
 from pageloom.operators.pdf_info import attach_pdf_info
 from pageloom.operators.request import build_requests
-from pageloom.operators.response import response_rejects, to_documents
+from pageloom.operators.response import check_responses, response_rejects, to_documents
 from pageloom.options import LoadOptions
 from pageloom.schemas import PDF
 from pageloom.session import materialize
@@ -47,13 +47,15 @@ def load_responses(
 ) -> LoadResult:
     """Documents and rejects of answered requests.
 
-    Both read ``responses``, so it should be a written table.
+    Answers are read, checked and written to shared storage while this
+    function runs; both results are taken from there.
     """
-    rejects = response_rejects(responses)
+    checked = materialize(check_responses(responses), "answers")
+    rejects = response_rejects(checked)
     if on_error == "fail":
         _raise_first(rejects)
     # Joined per file: before pages are rows, and without file bytes.
-    informed = responses if pdf_info is None else attach_pdf_info(responses, pdf_info)
+    informed = checked if pdf_info is None else attach_pdf_info(checked, pdf_info)
     return LoadResult(to_documents(informed, options.split), rejects)
 
 
@@ -67,15 +69,15 @@ def load_table(
 ) -> LoadResult:
     """Documents and rejects of a table of files.
 
-    ``files`` is read once and the service called while this function runs;
-    the answers are written to shared storage. With ``on_error="fail"`` a bad
-    file raises its message.
+    ``files`` is read once and the service called once per admitted file,
+    while this function runs. With ``on_error="fail"`` a bad file raises its
+    message.
     """
     admitted = admit(ingest_table(files), options)
     if on_error == "fail":
         admitted = fail_on_error(admitted)
     answers = apply_ocr(build_requests(admitted, options, transcoder), backend)
-    return load_responses(materialize(answers, "responses"), options, pdf_info, on_error)
+    return load_responses(answers, options, pdf_info, on_error)
 
 
 def load_stored(
@@ -87,7 +89,10 @@ def load_stored(
 ) -> LoadResult:
     """As ``load_table`` with the answers of an earlier run, joined by source."""
     keyed = admit(ingest_table(files), options).drop("content", "ext").withColumnRenamed("error", "refused")
-    return load_responses(stored_responses(keyed, stored), options, pdf_info, on_error)
+    if pdf_info is not None:
+        # Joined to the short rows, before they carry their answers.
+        keyed = attach_pdf_info(keyed, pdf_info)
+    return load_responses(stored_responses(keyed, stored), options, None, on_error)
 
 
 def load_requested(

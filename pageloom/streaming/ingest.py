@@ -14,7 +14,7 @@ from pageloom.functions.paths import plain_path
 from pageloom.operators.admission import admit, ingest_table
 from pageloom.operators.ocr import BackendFactory, apply_ocr
 from pageloom.operators.request import build_requests
-from pageloom.operators.response import response_rejects, to_documents
+from pageloom.operators.response import check_responses, response_rejects, to_documents
 from pageloom.options import LoadOptions
 
 # Columns of Spark's binary file source.
@@ -40,7 +40,7 @@ def start_loading(
     options: LoadOptions = LoadOptions(),
     transcoder: Transcoder | None = None,
 ) -> StreamingQuery:
-    """Write responses, documents and rejects of all available files, then stop.
+    """Write answers, documents and rejects of all available files, then stop.
 
     Each batch writes below its own number and overwrites it when repeated, so
     a batch that is run again after a failure leaves no second copy.
@@ -48,11 +48,12 @@ def start_loading(
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         place = f"batch={batch_id}"
-        answers = apply_ocr(build_requests(admit(ingest_table(batch), options), options, transcoder), backend)
-        answers.write.mode("overwrite").parquet(f"{out_dir}/responses/{place}")
-        responses = batch.sparkSession.read.schema(answers.schema).parquet(f"{out_dir}/responses/{place}")
-        to_documents(responses, options.split).write.mode("overwrite").parquet(f"{out_dir}/documents/{place}")
-        response_rejects(responses).write.mode("overwrite").parquet(f"{out_dir}/rejects/{place}")
+        requests = build_requests(admit(ingest_table(batch), options), options, transcoder)
+        answers = check_responses(apply_ocr(requests, backend))
+        answers.write.mode("overwrite").parquet(f"{out_dir}/answers/{place}")
+        checked = batch.sparkSession.read.schema(answers.schema).parquet(f"{out_dir}/answers/{place}")
+        to_documents(checked, options.split).write.mode("overwrite").parquet(f"{out_dir}/documents/{place}")
+        response_rejects(checked).write.mode("overwrite").parquet(f"{out_dir}/rejects/{place}")
 
     return (
         files.writeStream.foreachBatch(load_batch)

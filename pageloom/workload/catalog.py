@@ -18,8 +18,9 @@ from pageloom.operators import admission, images, pdf_info, report, response, te
 from pageloom.operators.ocr import apply_ocr, echo_backend
 from pageloom.operators.request import build_requests, media
 from pageloom.plans import page_images
+from pageloom.plans.load import load_responses
 from pageloom.schemas import PDF
-from pageloom.session import materialize, run_dir
+from pageloom.session import run_dir
 from pageloom.sources.blobs import save_page_images, write_blobs
 from pageloom.sources.files import scan_files
 from pageloom.workload import inputs
@@ -517,8 +518,8 @@ def sent_text(spark, sf_dir):
 SELECT '/sent/' || doc_id || CASE WHEN doc_id % 2 = 0 THEN '.pdf' ELSE '.png' END AS source, text FROM documents
 """)
 def apply_ocr_query(spark, sf_dir):
-    answers = materialize(apply_ocr(sent_text(spark, sf_dir), echo_backend()), "responses")
-    return response.to_documents(answers).select("source", F.col("page_content").alias("text"))
+    answers = apply_ocr(sent_text(spark, sf_dir), echo_backend())
+    return load_responses(answers).documents.select("source", F.col("page_content").alias("text"))
 
 
 @query(f"""
@@ -550,8 +551,7 @@ FROM documents WHERE starts_with(text, 'E')
 """)
 def wrap_error(spark, sf_dir):
     backend = echo_backend({"E": "service refused E"})
-    answers = materialize(apply_ocr(sent_text(spark, sf_dir), backend), "responses")
-    return response.response_rejects(answers)
+    return load_responses(apply_ocr(sent_text(spark, sf_dir), backend)).rejects
 
 
 @query(f"""

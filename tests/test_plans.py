@@ -11,9 +11,9 @@ from pageloom.operators.admission import admit, ingest_table, missing_sources, r
 from pageloom.operators.images import page_fanout
 from pageloom.operators.pdf_info import attach_pdf_info
 from pageloom.operators.request import build_requests
-from pageloom.operators.response import combine_pages, response_rejects, to_documents
+from pageloom.operators.response import check_responses, combine_pages, response_rejects, to_documents
 from pageloom.operators.text_items import document_parts, page_counts, parse_pdf, parse_pdf_parts, text_lines
-from pageloom.session import run_dir
+from pageloom.session import materialize, run_dir
 from pageloom.sources.files import scan_files
 
 
@@ -52,6 +52,15 @@ def test_responses_are_parsed_once_without_a_shuffle(responses, make):
     assert plan(df).count("from_json(") == 1
 
 
+def test_checked_answers_are_not_parsed_again(responses):
+    checked = materialize(check_responses(responses), "plan-checked")
+    assert "from_json" not in plan(to_documents(checked))
+    rejects = plan(response_rejects(checked))
+    assert "from_json" not in rejects
+    assert re.search(r"ReadSchema: (.*)", rejects).group(1) == "struct<source:string,fault:string>"
+    assert "PushedFilters: [IsNotNull(fault)]" in rejects
+
+
 def test_text_moves_once_per_step(items, info):
     assert exchanges(text_lines(items)) == 2
     assert exchanges(parse_pdf_parts(items, info)) == 2
