@@ -153,6 +153,20 @@ def test_text_and_previews(spark):
     ]
 
 
+@pytest.mark.parametrize("length", [1, 2, 5, 8])
+def test_previews_count_utf16_units(spark, length):
+    texts = ["", "ab", "😀", "a😀", "😀😀😀", "abcd😀", "aé😀b😀c", "x" * 8, "x" * 9, "😀" * 9, "abcdefg😀", "1234😀6"]
+    got = values(spark, [(t,) for t in texts], "t string", preview_fixed("t", length), preview_if_longer("t", length))
+
+    def cut(text):
+        return text.encode("utf-16-be")[: 2 * length].decode("utf-16-be", errors="replace") + "..."
+
+    def units(text):
+        return len(text.encode("utf-16-be")) // 2
+
+    assert got == [(cut(t), cut(t) if units(t) > length else t) for t in texts]
+
+
 def test_render_options_default_when_empty(spark):
     schema = "s double, f string, q int, p int"
     rows = [(None, None, None, None), (0.0, "", 0, 0), (float("nan"), "webp", 80, -1), (1.5, "jpeg", 1, 7)]

@@ -70,6 +70,14 @@ def test_text_moves_once_per_step(items, info):
     assert exchanges(document_parts(items.withColumnRenamed("str", "text"))) == 1
 
 
+def test_page_limit_and_columns_reach_the_scan(spark, items, info):
+    path = run_dir(spark, "plan-items")
+    items.withColumn("font", F.lit("x")).write.parquet(path)
+    parsed = plan(parse_pdf(spark.read.parquet(path), info, max_pages=2))
+    assert "LessThanOrEqual(page_no,2)" in parsed
+    assert "font" not in parsed
+
+
 def test_counts_are_combined_before_the_shuffle(items):
     assert "partial_count" in plan(page_counts(items))
 
