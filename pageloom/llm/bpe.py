@@ -20,7 +20,9 @@ doc_id may be null or repeated. An empty table gives an empty table.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
@@ -31,12 +33,14 @@ from pyspark.sql import functions as F
 from pageloom.llm.common import chunks, offsets, pick, ragged, text_key
 
 #: Longer documents are encoded in pieces of so many characters.
-PIECE_CHARS = 1 << 15
+PIECE_CHARS = 1 << 16
 #: Longer words are encoded in halves.
 LEAF_CHARS = 1 << 12
 #: Words whose tokens a task remembers.
 MEMO_WORDS = 800_000
 
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
 Encoded = tuple[np.ndarray, np.ndarray, np.ndarray]  # ids, first character, character after the last
 
 
@@ -71,6 +75,18 @@ class Encoder:
         at = np.array(got.offsets, np.int64).reshape(-1, 2)
         return np.array(got.ids, np.uint32), at[:, 0], at[:, 1]
 
+    def located(self, text: str) -> Encoded:
+        """As spans; the tokens of a short word all have the place of the word, so that only its ends are known."""
+        words = [(m[0].encode(), *m.span()) for m in WORD.finditer(text)]
+        ids, at = self.texts([w for w, _, _ in words])
+        sizes = np.diff(at)
+        first, after = (np.repeat(np.array([w[i] for w in words], np.int64), sizes) for i in (1, 2))
+        for i, (word, start, _) in enumerate(words):
+            if len(word) > LEAF_CHARS:
+                _, *places = self.tree(word.decode())
+                first[at[i] : at[i + 1]], after[at[i] : at[i + 1]] = (p + start for p in places)
+        return ids, first, after
+
     def tree(self, text: str, leaf: int = LEAF_CHARS) -> Encoded:
         if len(text) <= leaf:
             return self.spans(text)
@@ -96,11 +112,12 @@ class Encoder:
             stop = int(reach) if reach < len(text) else len(text)
             w_ids, w_first, w_after = self.spans(text[start:stop])
             w_first, w_after = w_first + start, w_after + start
-            left_agrees = a < 0 or len(w_ids) and w_ids[0] == ids[a] and (w_first[0], w_after[0]) == (first[a], after[a])
+            # a token and one of its ends tell the other end
+            left_agrees = a < 0 or len(w_ids) and w_ids[0] == ids[a] and w_first[0] == first[a]
             end = len(w_ids)
             right_agrees = b == len(r_ids)
             if not right_agrees:
-                hit = np.flatnonzero((w_ids == r_ids[b]) & (w_first == r_first[b]) & (w_after == r_after[b]))
+                hit = np.flatnonzero((w_ids == r_ids[b]) & (w_after == r_after[b]))
                 right_agrees = bool(len(hit)) and (hit[-1] + 1 == len(w_ids) or w_first[hit[-1] + 1] >= w_after[hit[-1]])
                 end = hit[-1] + 1 if right_agrees else end
             if left_agrees and right_agrees:
@@ -180,6 +197,12 @@ class Encoder:
         return " ".join(map(self.tokens.__getitem__, ids.tolist()))
 
 
+@lru_cache(2)
+def encoder(path: str) -> Encoder:
+    """One for each process that runs tasks."""
+    return Encoder(path)
+
+
 def encode(docs: DataFrame, path: str, decode: bool = False, piece_chars: int = PIECE_CHARS) -> DataFrame:
     """doc_id, ids (binary, little-endian unsigned 32-bit) and, if wanted, decoded text per row.
 
@@ -200,20 +223,20 @@ def encode(docs: DataFrame, path: str, decode: bool = False, piece_chars: int =
         return pa.RecordBatch.from_arrays(columns, names)
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Encoder(path)
+        coder = encoder(path)
         for batch, texts in chunks(batches):
             ids, at = coder.texts(texts)
             yield finished(coder, batch.column("doc_id"), np.split(ids, at[1:-1]))
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Encoder(path)
+        coder = encoder(path)
         for batch in batches:
-            got = [coder.tree(t) for t in batch.column("text").to_pylist()]
+            got = [coder.located(t) for t in batch.column("text").to_pylist()]
             parts = [pa.array([x[i].astype(t).tobytes() for x in got], pa.binary()) for i, t in enumerate(("<u4", "<i4", "<i4"))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *parts], [*batch.schema.names, "ids", "first", "after"])
 
     def joined(table: pa.Table) -> pa.Table:
-        coder = Encoder(path)
+        coder = encoder(path)
         table = table.sort_by("piece")
         numbers = table.column("piece").to_pylist()
         copies = numbers.count(0)
