@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.llm import bpe, packing, substrings
+from pageloom.llm import bpe, multi_index, packing, substrings
 from pageloom.llm.common import materialize
 
 CAPACITY = 4096
@@ -24,6 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return multi_index.nearest(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
 def op4_recompressed_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = substrings.remove_repeats(table(spark, sf_dir, "documents"), window=13)
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -73,6 +78,7 @@ def op10_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
+        op1_multi_index,
         op4_recompressed_passages,
         op6_tree_bpe,
         op10_bin_slack_packing,
