@@ -23,10 +23,10 @@ import json
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +37,9 @@ PIECE_CHARS = 1 << 16
 #: Longer words are encoded in halves.
 LEAF_CHARS = 1 << 12
 #: Words whose tokens a task remembers.
-MEMO_WORDS = 800_000
+MEMO_WORDS = 1_000_000
+#: Bytes of text that a task encodes at a time.
+CHUNK_BYTES = 12 << 20
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -64,11 +66,15 @@ class Encoder:
         self.tokens = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
         # in a byte-level vocabulary a character stands for a byte
         self.sizes = np.array([len(t.removesuffix("</w>")) for t in self.tokens])
-        self.forget()
+        self.words = pa.array([], pa.large_string())
+        self.flat, self.lengths, self.met = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
 
     def forget(self) -> None:
-        self.memo: dict[bytes, int] = {}
-        self.flat, self.lengths = np.empty(0, np.uint32), np.empty(0, np.int64)
+        """Keep what was met more than once since the last time."""
+        kept = np.flatnonzero(self.met > 1)
+        self.words = self.words.take(pa.array(kept))
+        self.flat = self.flat[ragged(offsets(self.lengths)[:-1][kept], self.lengths[kept])]
+        self.lengths, self.met = self.lengths[kept], np.zeros(len(kept), np.int64)
 
     def spans(self, text: str) -> Encoded:
         got = self.tokenizer.encode(text, add_special_tokens=False)
@@ -77,13 +83,13 @@ class Encoder:
 
     def located(self, text: str) -> Encoded:
         """As spans; the tokens of a short word all have the place of the word, so that only its ends are known."""
-        words = [(m[0].encode(), *m.span()) for m in WORD.finditer(text)]
-        ids, at = self.texts([w for w, _, _ in words])
+        words = [(m[0], *m.span()) for m in WORD.finditer(text)]
+        ids, at = self.texts([w.encode() for w, _, _ in words])
         sizes = np.diff(at)
         first, after = (np.repeat(np.array([w[i] for w in words], np.int64), sizes) for i in (1, 2))
         for i, (word, start, _) in enumerate(words):
             if len(word) > LEAF_CHARS:
-                _, *places = self.tree(word.decode())
+                _, *places = self.tree(word)
                 first[at[i] : at[i + 1]], after[at[i] : at[i + 1]] = (p + start for p in places)
         return ids, first, after
 
@@ -130,7 +136,7 @@ class Encoder:
                 )
             grow *= 2
 
-    def distinct(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def distinct(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Tokens of words one after the other, and how many each has.
 
         All words are encoded as one text with blanks between them. That a word's
@@ -138,54 +144,72 @@ class Encoder:
         doesn't hold, as for words that normalizing lengthens, words are encoded
         one by one.
         """
-        text = b" ".join(words)
-        blanks = lambda x: np.flatnonzero(np.frombuffer(x, np.uint8) == 32)
+        text = " ".join(words.to_pylist())
+        blanks = lambda x: np.flatnonzero(np.frombuffer(x.encode(), np.uint8) == 32)
         alike = self.keeps_ascii and text.isascii()
         if not alike and (normal := self.tokenizer.normalizer) is not None:
-            alike = np.array_equal(blanks(normal.normalize_str(text.decode()).encode()), blanks(text))
-        got = self.tokenizer.encode_batch_fast([text.decode()] if alike else [], add_special_tokens=False)
+            alike = np.array_equal(blanks(normal.normalize_str(text)), blanks(text))
+        got = self.tokenizer.encode_batch_fast([text] if alike else [], add_special_tokens=False)
         ids = np.array(got[0].ids if alike else [], np.uint32)
-        reached, ends = np.cumsum(self.sizes[ids]), np.cumsum([len(w) for w in words])
+        reached, ends = np.cumsum(self.sizes[ids]), np.cumsum(pc.binary_length(words).to_numpy())
         at = np.searchsorted(reached, ends)
         if len(ids) and at[-1] == len(ids) - 1 and (reached[at] == ends).all():
             return ids, np.diff(at + 1, prepend=0)
-        each = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+        each = self.tokenizer.encode_batch_fast(words.to_pylist(), add_special_tokens=False)
         each = [np.array(e.ids, np.uint32) for e in each]
         return np.concatenate(each), np.array([len(e) for e in each])
 
-    def learn(self, words: list[bytes]) -> None:
+    def learn(self, words: pa.Array) -> None:
         """Remember the tokens of words; long ones are encoded in halves."""
-        long = [w for w in words if len(w) > LEAF_CHARS]
-        plain = [w for w in words if len(w) <= LEAF_CHARS and w.isascii()]
-        other = [w for w in words if len(w) <= LEAF_CHARS and not w.isascii()]
-        got = [self.distinct(g) for g in (plain, other) if g]
-        got += [(ids, np.array([len(ids)])) for ids in (self.tree(w.decode())[0] for w in long)]
-        for w in (*plain, *other, *long):
-            self.memo[w] = len(self.memo)
-        self.flat = np.concatenate([self.flat, *(g[0] for g in got)])
-        self.lengths = np.concatenate([self.lengths, *(g[1] for g in got)])
-
-    def cased(self, text: bytes) -> bytes:
-        """In lower case, where that changes no token and makes no added token."""
-        low = text.lower()
-        return low if self.lowers and not any(a in low for a in self.added) else text
+        length, plain = pc.binary_length(words).to_numpy(), pc.string_is_ascii(words).to_numpy(zero_copy_only=False)
+        short = (length > 0) & (length <= LEAF_CHARS)
+        groups = [np.flatnonzero(short & plain), np.flatnonzero(short & ~plain)]
+        got = [self.distinct(words.take(pa.array(g))) for g in groups if len(g)]
+        for i in np.flatnonzero(length > LEAF_CHARS):
+            ids = self.tree(words[i].as_py())[0]
+            got.append((ids, np.array([len(ids)])))
+            groups.append([i])
+        order = np.concatenate(groups).astype(np.int64)
+        sizes, starts = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        if got:
+            sizes[order] = np.concatenate([n for _, n in got])
+            starts[order] = offsets(sizes[order])[:-1]
+            self.flat = np.concatenate([self.flat, np.concatenate([ids for ids, _ in got])[ragged(starts, sizes)]])
+        self.words = pa.concat_arrays([self.words, words])
+        self.lengths = np.concatenate([self.lengths, sizes])
+        self.met = np.concatenate([self.met, np.zeros(len(words), np.int64)])
+
+    def split(self, texts: list[bytes]) -> pa.Array:
+        """Words between ASCII white space, with an empty word between two neighbours of it.
+
+        In lower case, where that changes no token and makes no added token.
+        """
+        raw = np.frombuffer(b"".join(texts), np.uint8).copy()
+        if self.lowers:
+            low = raw + np.where((raw >= 65) & (raw <= 90), np.uint8(32), np.uint8(0))
+            whole = low.tobytes()
+            if not any(a.lower() in whole for a in self.added):
+                raw = low
+        raw[(raw >= 9) & (raw <= 13)] = 32
+        places = offsets([len(t) for t in texts])
+        return pc.split_pattern(pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(places), pa.py_buffer(raw)), " ")
 
     def texts(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Tokens of texts one after the other, and where each text begins."""
-        split = [self.cased(t).split() for t in texts]
-        at = offsets([len(s) for s in split])
-        words = [w for s in split for w in s]
-        if not words:
-            return np.empty(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
-        slots = np.fromiter(map(self.memo.get, words, repeat(-1)), np.int64, len(words))
-        missing = np.flatnonzero(slots < 0)
-        new = list(dict.fromkeys(words[i] for i in missing))
-        if len(self.memo) + len(new) > MEMO_WORDS and self.memo:
-            self.forget()
-            return self.texts(texts)
-        if new:
-            self.learn(new)
-            slots[missing] = [self.memo[words[i]] for i in missing]
+        split = self.split(texts)
+        at = split.offsets.to_numpy().astype(np.int64)
+        at -= at[0]
+        coded = split.flatten().dictionary_encode()
+        slots = pc.fill_null(pc.index_in(coded.dictionary, value_set=self.words), -1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(slots < 0)
+        if len(new):
+            if len(self.words) + len(new) > MEMO_WORDS and len(self.words):
+                self.forget()
+                return self.texts(texts)
+            slots[new] = len(self.words) + np.arange(len(new))
+            self.learn(coded.dictionary.take(pa.array(new)))
+        slots = slots[coded.indices.to_numpy()]
+        self.met += np.bincount(slots, minlength=len(self.met))
         lengths = self.lengths[slots]
         ids = self.flat[ragged(offsets(self.lengths)[:-1][slots], lengths)]
         return ids, offsets(lengths)[at]
@@ -224,7 +248,7 @@ def encode(docs: DataFrame, path: str, decode: bool = False, piece_chars: int =
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path)
-        for batch, texts in chunks(batches):
+        for batch, texts in chunks(batches, CHUNK_BYTES):
             ids, at = coder.texts(texts)
             yield finished(coder, batch.column("doc_id"), np.split(ids, at[1:-1]))
 
