@@ -15,7 +15,7 @@ words, the window's copies have that symbol in that place.
 2. A bucket finds the symbols that only one document has. A window that must
    contain such a symbol is no repeat. This leaves little more than the repeats
    and what they repeat.
-3. The windows left are named by their words (two hashes, 96 bits and the bucket)
+3. The windows left are named by their words (80 bits of two hashes and the bucket)
    and compared in the same way; again a chunk sends a name once.
 4. Covered words are removed.
 
@@ -41,12 +41,12 @@ from pyspark.sql import functions as F
 from pageloom.llm.common import chunks, mixed, offsets, pick, ragged, same_row, shuffle_partitions, text_key
 
 #: Rounds of recompression: pairs or runs. More rounds give fewer symbols but leave more windows to compare.
-ROUNDS = ("pairs", "pairs", "runs", "pairs")
+ROUNDS = ("runs", "pairs", "pairs", "pairs")
 FAR = 1 << 40
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 SYMBOL = np.dtype([("key", "<u4"), ("at", "<u4"), ("wide", "<u2")])
-WINDOW = np.dtype([("key", "<u8"), ("more", "<u4"), ("at", "<u4")])
+WINDOW = np.dtype([("key", "<u8"), ("more", "<u2"), ("at", "<u4")])
 FOUND = np.dtype([("at", "<u4"), ("wide", "<u2")])
 #: settled: entries that need no comparison any more
 DEALT = "bucket int, chunk binary, owners binary, rows binary, entries binary, settled boolean"
@@ -247,7 +247,7 @@ def from_smaller(docs: DataFrame, window: int) -> DataFrame:
             ids = chunk.ids[chunk.doc[at]]
             sent = ids == extremes([key, more], ids)[0]
             entries = np.empty(int(sent.sum()), WINDOW)
-            entries["key"], entries["more"], entries["at"] = key[sent], more[sent] & np.uint64(0xFFFFFFFF), at[sent]
+            entries["key"], entries["more"], entries["at"] = key[sent], more[sent] & np.uint64(0xFFFF), at[sent]
             # a smaller document of the same chunk has the others
             settled = np.zeros(int((~sent).sum()), FOUND)
             settled["at"] = at[~sent]
