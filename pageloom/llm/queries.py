@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.llm import bpe, multi_index, packing, substrings
+from pageloom.llm import bpe, fingerprints, multi_index, packing, substrings
 from pageloom.llm.common import materialize
 
 CAPACITY = 4096
@@ -29,6 +29,19 @@ def op1_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.nearest(vectors, vectors.where(F.col("vec_id") % 50 == 0))
 
 
+def op3_one_permutation_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    compared = fingerprints.compare_with_next(table(spark, sf_dir, "documents"))
+    return compared.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.as_text(F.col("print")).alias("fingerprint"),
+        fingerprints.as_text(F.col("edited_print")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
 def op4_recompressed_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = substrings.remove_repeats(table(spark, sf_dir, "documents"), window=13)
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -79,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
         op1_multi_index,
+        op3_one_permutation_minhash,
         op4_recompressed_passages,
         op6_tree_bpe,
         op10_bin_slack_packing,
