@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.llm import bpe, fingerprints, multi_index, packing, substrings
+from pageloom.llm import bpe, fingerprints, licenses, multi_index, packing, substrings
 from pageloom.llm.common import materialize
 
 CAPACITY = 4096
@@ -29,6 +29,46 @@ def op1_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.nearest(vectors, vectors.where(F.col("vec_id") % 50 == 0))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    top = F.array_max(F.transform("found", lambda x: x["score"]))
+    return found.select(
+        "doc_id",
+        F.array_join(F.transform("found", lambda x: x["name"]), ",").alias("licenses"),
+        F.size("found").cast("long").alias("n_licenses"),
+        F.get(F.filter("found", lambda x: x["score"] == top), 0)["name"].alias("best_license"),
+        F.coalesce(top, F.lit(0.0)).alias("best_score"),
+    )
+
+
+def op2_sql() -> str:
+    quoted = lambda s: "'" + s.replace("'", "''") + "'"
+    values = ", ".join(f"({quoted(name)}, {quoted(text)})" for name, text in licenses.TEMPLATES)
+    words = r"string_split(trim(regexp_replace(lower({}), '[^\p{{L}}\p{{N}}]+', ' ', 'g')), ' ')"
+    pairs = "CASE WHEN len(w) > 1 THEN list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) ELSE list_filter(w, lambda x: x <> '') END"
+    t = licenses.THRESHOLD
+    return f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+units AS (
+  SELECT DISTINCT doc_id, unnest(list_concat([text], regexp_split_to_array(text, '\n[ \t\r]*\n'), string_split(text, chr(10)))) AS u FROM texts
+),
+parts AS (SELECT doc_id, {pairs} AS b FROM (SELECT doc_id, {words.format("u")} AS w FROM units)),
+templates AS (SELECT name, {pairs} AS t FROM (SELECT name, {words.format("text")} AS w FROM (VALUES {values}) v(name, text))),
+scored AS (
+  SELECT doc_id, name, 2.0::DOUBLE * len(list_intersect(b, t)) / (len(b) + len(t)) AS score
+  FROM parts JOIN templates ON len(t) BETWEEN ceil(len(b) * {t}::DOUBLE / {2 - t}::DOUBLE) AND floor(len(b) * {2 - t}::DOUBLE / {t}::DOUBLE)
+),
+best AS (SELECT doc_id, name, max(score) AS score FROM scored WHERE score >= {t} GROUP BY ALL),
+tops AS (
+  SELECT doc_id, string_agg(name, ',' ORDER BY name) AS names, count(*) AS n, max(score) AS top,
+    (array_agg(name ORDER BY score DESC, name))[1] AS first
+  FROM best GROUP BY doc_id
+)
+SELECT doc_id, coalesce(names, '') AS licenses, coalesce(n, 0)::BIGINT AS n_licenses, first AS best_license, coalesce(top, 0.0)::DOUBLE AS best_score
+FROM texts LEFT JOIN tops USING (doc_id)
+"""
+
+
 def op3_one_permutation_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     compared = fingerprints.compare_with_next(table(spark, sf_dir, "documents"))
     return compared.select(
@@ -92,6 +132,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
         op1_multi_index,
+        op2_license_scan,
         op3_one_permutation_minhash,
         op4_recompressed_passages,
         op6_tree_bpe,
@@ -100,5 +141,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op2_license_scan": op2_sql(),
     "op4_recompressed_passages": OP4_SQL,
 }
