@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.llm import bpe, fingerprints, licenses, multi_index, packing, substrings
+from pageloom.llm import bpe, fingerprints, licenses, multi_index, packing, quality, substrings
 from pageloom.llm.common import materialize
 
 CAPACITY = 4096
@@ -116,6 +116,26 @@ def op6_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+LEAST_QUALITY = 0.3
+
+
+def quality_model(docs: DataFrame, labels: DataFrame) -> quality.Model | None:
+    """Fitted on the labels of documents outside part 0 of 5."""
+    learned = labels.where(quality.part(5) != 0).select("doc_id", F.col("quality").alias("label"))
+    return quality.train(docs, learned)
+
+
+def op8_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.score(docs, quality_model(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id",
+        F.coalesce(quality.part(5) == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= LEAST_QUALITY).cast("int").alias("predicted"),
+    )
+
+
 def packed(docs: DataFrame) -> DataFrame:
     """Every piece of every document with its place in a sequence."""
     pieces = packing.cut(bpe.encode(docs, tokenizer_path()), F.col("ids"), CAPACITY, END_OF_DOCUMENT)
@@ -136,6 +156,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_one_permutation_minhash,
         op4_recompressed_passages,
         op6_tree_bpe,
+        op8_attention_quality,
         op10_bin_slack_packing,
     )
 }
