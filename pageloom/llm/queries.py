@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.llm import bpe, fingerprints, licenses, multi_index, packing, quality, substrings
+from pageloom.llm import bpe, fingerprints, licenses, multi_index, packing, quality, similar, substrings
 from pageloom.llm.common import materialize
 
 CAPACITY = 4096
@@ -136,6 +136,33 @@ def op8_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_adaptive_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = similar.link(table(spark, sf_dir, "documents"), words=3, percent=90)
+    return linked.select("doc_id", "n_shingles", "component_id")
+
+
+OP9_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+),
+sets AS (
+  SELECT doc_id, list_distinct(CASE
+    WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+  FROM words
+),
+items AS (SELECT doc_id, len(s) AS n, unnest(s) AS item FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM items a JOIN items b ON a.item = b.item AND a.doc_id <> b.doc_id AND least(a.n, b.n) * 100 >= greatest(a.n, b.n) * 90
+  GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 90 * (any_value(a.n) + any_value(b.n) - count(*))
+),
+reach(doc_id, other) AS (SELECT doc_id, doc_id FROM sets UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON reach.other = links.a)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id
+FROM sets JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) USING (doc_id)
+"""
+
+
 def packed(docs: DataFrame) -> DataFrame:
     """Every piece of every document with its place in a sequence."""
     pieces = packing.cut(bpe.encode(docs, tokenizer_path()), F.col("ids"), CAPACITY, END_OF_DOCUMENT)
@@ -157,6 +184,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_recompressed_passages,
         op6_tree_bpe,
         op8_attention_quality,
+        op9_adaptive_prefix_join,
         op10_bin_slack_packing,
     )
 }
@@ -164,4 +192,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op2_license_scan": op2_sql(),
     "op4_recompressed_passages": OP4_SQL,
+    "op9_adaptive_prefix_join": OP9_SQL,
 }
