@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.llm import bpe, fingerprints, licenses, multi_index, packing, quality, similar, substrings
+from pageloom.llm import bilinear, bpe, fingerprints, licenses, multi_index, packing, quality, similar, substrings
 from pageloom.llm.common import materialize
 
 CAPACITY = 4096
@@ -106,6 +106,10 @@ FROM words LEFT JOIN kept USING (doc_id)
 """
 
 
+def op5_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bilinear.score(table(spark, sf_dir, "documents"), quality.part(10) == 0)
+
+
 def op6_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode(table(spark, sf_dir, "documents"), tokenizer_path(), decode=True)
     return coded.select(
@@ -182,6 +186,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_license_scan,
         op3_one_permutation_minhash,
         op4_recompressed_passages,
+        op5_log_bilinear,
         op6_tree_bpe,
         op8_attention_quality,
         op9_adaptive_prefix_join,
