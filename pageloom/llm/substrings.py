@@ -55,7 +55,7 @@ MARKED = "doc_id long, text_key long, marks binary"
 
 
 class Chunk:
-    """Documents that a task works on at a time: their words as numbers, one document after the other."""
+    """Documents that a task works on at a time, and their words as numbers, one document after the other."""
 
     def __init__(self, batch: pa.RecordBatch, texts: list[bytes]):
         ids = batch.column("doc_id")
@@ -67,6 +67,9 @@ class Chunk:
         named = b"".join(map(xxhash.xxh3_128_digest, coded.dictionary.to_pylist()))
         self.names = np.frombuffer(named, "<u8").reshape(-1, 2)[coded.indices.to_numpy()]
         self.doc = np.repeat(np.arange(len(texts)), np.diff(self.starts))
+        self.label()
+
+    def label(self) -> None:
         #: the same for the same rows, so that a repeated task gives the same
         self.name = xxhash.xxh3_128_digest(self.ids.tobytes() + self.rows.tobytes() + self.starts.tobytes())
         steps = [np.diff(x, prepend=np.int64(0)) for x in (self.ids, self.starts[1:])]
@@ -158,6 +161,23 @@ def extremes(keys: list[np.ndarray], ids: np.ndarray) -> tuple[np.ndarray, np.nd
     return least, most
 
 
+def documents(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """doc_id, text_key and end of each document of a chunk."""
+    i = next(i for i, r in enumerate(table.column("rows").to_pylist()) if r is not None)
+    ids, ends = owners(table.column("owners")[i].as_py())
+    return ids, np.frombuffer(table.column("rows")[i].as_py(), "<i8"), ends
+
+
+def by_document(ids, rows, ends, at: np.ndarray) -> pa.Table:
+    """Places in a chunk as places in its documents (32-bit)."""
+    owner = np.searchsorted(ends, at, side="right")
+    local = (at - np.r_[0, ends[:-1]][owner]).astype("<u4")
+    cuts = np.flatnonzero(np.diff(owner)) + 1
+    used = owner[np.r_[0, cuts]] if len(owner) else owner
+    marks = [x.tobytes() for x in np.split(local, cuts)] if len(owner) else []
+    return pa.table({"doc_id": pa.array(ids[used]), "text_key": pa.array(rows[used]), "marks": pa.array(marks, pa.binary())})
+
+
 def from_smaller(docs: DataFrame, window: int) -> DataFrame:
     """doc_id, text_key and marks (first words, 32-bit) of windows that start in a smaller document too.
 
@@ -208,12 +228,6 @@ def from_smaller(docs: DataFrame, window: int) -> DataFrame:
         columns = [table.column("chunk"), pa.array(used, pa.binary()), table.column("rows"), pa.array(found, pa.binary())]
         return pa.table(columns, ["chunk", "owners", "rows", "entries"])
 
-    def documents(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """doc_id, text_key and end of each document of a chunk."""
-        i = next(i for i, r in enumerate(table.column("rows").to_pylist()) if r is not None)
-        ids, ends = owners(table.column("owners")[i].as_py())
-        return ids, np.frombuffer(table.column("rows")[i].as_py(), "<i8"), ends
-
     def possible(table: pa.Table) -> pa.Table:
         """Of a chunk's windows, those that contain no symbol of their own, by document."""
         ids, rows, ends = documents(table)
@@ -227,14 +241,6 @@ def from_smaller(docs: DataFrame, window: int) -> DataFrame:
         alive = np.flatnonzero((dead[:total] == 0) & room)
         return by_document(ids, rows, ends, alive)
 
-    def by_document(ids, rows, ends, at: np.ndarray) -> pa.Table:
-        owner = np.searchsorted(ends, at, side="right")
-        local = (at - np.r_[0, ends[:-1]][owner]).astype("<u4")
-        cuts = np.flatnonzero(np.diff(owner)) + 1
-        used = owner[np.r_[0, cuts]] if len(owner) else owner
-        marks = [x.tobytes() for x in np.split(local, cuts)] if len(owner) else []
-        return pa.table({"doc_id": pa.array(ids[used]), "text_key": pa.array(rows[used]), "marks": pa.array(marks, pa.binary())})
-
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in chunks(batches):
             chunk = Chunk(batch, texts)
