@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.llm import bilinear, bpe, fingerprints, licenses, multi_index, packing, quality, similar, substrings
+from pageloom.llm import bilinear, bpe, fingerprints, licenses, multi_index, packing, quality, similar, substrings, suffixes
 from pageloom.llm.common import materialize
 
 CAPACITY = 4096
@@ -120,6 +120,17 @@ def op6_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_deep_shallow_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffixes.remove_repeats(table(spark, sf_dir, "documents"), length=400)
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 LEAST_QUALITY = 0.3
 
 
@@ -188,6 +199,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_recompressed_passages,
         op5_log_bilinear,
         op6_tree_bpe,
+        op7_deep_shallow_dedup,
         op8_attention_quality,
         op9_adaptive_prefix_join,
         op10_bin_slack_packing,
