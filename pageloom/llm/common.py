@@ -18,15 +18,16 @@ SPACES = " \t\n\x0b\f\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 
 
-def pick(df: DataFrame, **types: str) -> DataFrame:
-    """The named columns with the given types, and no others.
+def pick(df: DataFrame, keep: tuple[str, ...] = (), **types: str) -> DataFrame:
+    """The named columns with the given types, those to keep as they are, and no others.
 
     Columns are found by their exact names, so others that differ in case or
     clash with names used inside an operator do no harm; of two columns of one
     name the first counts.
     """
     plain = df.toDF(*[f"_{i}" for i in range(len(df.columns))])
-    return plain.select(*[F.col(f"_{df.columns.index(n)}").cast(t).alias(n) for n, t in types.items()])
+    place = lambda n: F.col(f"_{df.columns.index(n)}")
+    return plain.select(*[place(n).cast(t).alias(n) for n, t in types.items()], *[place(n).alias(n) for n in keep])
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -40,6 +41,11 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def typed(df: DataFrame, *names: str) -> str:
+    """Names and types of columns, as a schema."""
+    return ", ".join(f"`{n}` {df.schema[n].dataType.simpleString()}" for n in names)
+
+
 def text_key() -> Column:
     """Tells rows apart that share a doc_id; equal rows get equal results."""
     return F.xxhash64("text").alias("text_key")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pageloom.llm.common import chunks, pick, ragged
+from pageloom.llm.common import chunks, pick, ragged, typed
 
 PASSAGE = 512
 SAMPLE = 6000
@@ -202,18 +202,18 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
     return fit(np.concatenate(parts), np.array([len(p) for p in parts]), rows.column("label").to_numpy())
 
 
-def score(docs: DataFrame, model: Model | None) -> DataFrame:
-    """doc_id, text and score of every row."""
-    docs = pick(docs, doc_id="long", text="string")
+def score(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, text, the columns to keep and score of every row."""
+    docs = pick(docs, keep, doc_id="long", text="string")
     if model is None:
         return docs.withColumn("score", F.lit(0.5))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in chunks(batches, 4 << 20):
             got = model.scores(*features(texts))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got, pa.float64())], ["doc_id", "text", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got, pa.float64())], [*batch.schema.names, "score"])
 
-    return docs.mapInArrow(scored, "doc_id long, text string, score double")
+    return docs.mapInArrow(scored, typed(docs, *docs.columns) + ", score double")
 
 
 def part(parts: int) -> Column:

@@ -133,7 +133,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, text_key, n_shingles and component_id of every row."""
+    """doc_id, text_key, n_shingles, component (null without shingles) and component_id of every row."""
     docs = pick(docs, doc_id="long", text="string").select("doc_id", text_key(), "text")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,4 +237,18 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     rows = materialize(rows, "rows")
     smallest = rows.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     out = rows.join(smallest, "component", "left")
-    return out.select("doc_id", "text_key", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return out.select("doc_id", "text_key", "n_shingles", "component", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """The first row by doc_id (null comes last) of each component, and every row without shingles; all columns."""
+    linked = link(docs, words, percent)
+    first = linked.where("component IS NOT NULL").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("row"))
+    first = first.select("row.doc_id", "row.text_key", F.lit(True).alias("linked"))
+    alone = linked.where("component IS NULL").select("doc_id", "text_key", F.lit(False).alias("linked")).distinct()
+    chosen = materialize(first.unionByName(alone), "chosen")
+    rows = docs.withColumn("text_key", F.xxhash64("text"))
+    rows = rows.join(chosen, same_row(rows, chosen)).select(*[rows[c] for c in docs.columns], rows["text_key"], "linked")
+    # of repeated rows one
+    one = rows.where("linked").dropDuplicates(["doc_id", "text_key"])
+    return one.unionByName(rows.where("NOT linked")).select(*docs.columns)

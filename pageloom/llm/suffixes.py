@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pageloom.llm.common import chunks, materialize, mixed, offsets, pick, raw_texts, same_row, shuffle_partitions, text_key
+from pageloom.llm.common import chunks, materialize, mixed, offsets, pick, raw_texts, same_row, shuffle_partitions, text_key, typed
 from pageloom.llm.substrings import BACK, DEALT, MARKED, Chunk, by_document, covered, deal, documents
 
 CHUNK_BYTES = 2 << 20
@@ -321,10 +321,13 @@ def repeated(docs: DataFrame, length: int) -> DataFrame:
     return settled.unionByName(sorted_rows).unionByName(one_by_one)
 
 
-def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
-    """doc_id, n_bytes, n_removed, spans (removed runs: start, end) and kept (bytes) of every row."""
-    docs = pick(docs, doc_id="long", text="string").withColumn("text", F.coalesce("text", F.lit("")))
-    docs = docs.select(F.col("doc_id").alias("id"), text_key(), "text").withColumn("doc_id", F.coalesce("id", "text_key"))
+def remove_repeats(docs: DataFrame, length: int = 400, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_bytes, n_removed, spans (removed runs: start, end), kept (bytes), kept_text and the columns to keep of every row.
+
+    kept_text is kept without what is left of characters that were cut.
+    """
+    docs = pick(docs, keep, doc_id="long", text="string").withColumn("text", F.coalesce("text", F.lit("")))
+    docs = docs.select(F.col("doc_id").alias("id"), text_key(), "text", *keep).withColumn("doc_id", F.coalesce("id", "text_key"))
     inner = docs.select("doc_id", "text_key", "text")
     # of a row: as many runs as its text has
     marks = repeated(inner, length).groupBy("doc_id", "text_key").agg(F.collect_set("marks").alias("marks"))
@@ -344,7 +347,9 @@ def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
             kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             sizes = pa.array([len(t) for t in texts], pa.int64())
             columns = [batch.column("id"), sizes, pa.array(gone, pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_bytes", "n_removed", "spans", "kept"])
+            columns += [pa.array([k.decode(errors="ignore") for k in kept], pa.string()), *[batch.column(c) for c in keep]]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_bytes", "n_removed", "spans", "kept", "kept_text", *keep])
 
-    rows = docs.join(marks, same_row(docs, marks), "left").select("id", "text", "marks")
-    return rows.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, spans array<struct<start: long, end: long>>, kept binary")
+    rows = docs.join(marks, same_row(docs, marks), "left").select("id", "text", "marks", *keep)
+    schema = "doc_id long, n_bytes long, n_removed long, spans array<struct<start: long, end: long>>, kept binary, kept_text string"
+    return rows.mapInArrow(cut, ", ".join([schema, *[typed(docs, c) for c in keep]]))
