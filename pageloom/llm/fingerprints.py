@@ -121,11 +121,12 @@ def by_size(bounds: list[int], low: int = 0) -> Column:
     return F.when(F.col("doc_id") < bounds[mid], by_size(bounds[:mid], low)).otherwise(by_size(bounds[mid + 1 :], low + mid + 1))
 
 
-def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
+def with_next(docs: DataFrame, columns: list[str], derived: dict[str, Column]) -> DataFrame:
     """next_<column> of the document that follows by doc_id; the first follows the last.
 
     docs: doc_id, text_key (which orders rows that share a doc_id; a null doc_id
-    comes last) and the columns. The ids are cut into ranges at about equal
+    comes last) and others; columns may name derived ones, which are worked out
+    where the rows are read. The ids are cut into ranges at about equal
     numbers of rows; each range also gets a copy of the row that follows it, so
     that no range has to see another. The driver gets a few ids for each range.
     """
@@ -141,9 +142,10 @@ def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
     same = F.col("doc_id").eqNullSafe(F.col("follow_id")) & (F.col("text_key") == F.col("follow_key"))
     copied = docs.join(F.broadcast(copies), same).dropDuplicates(["range"])  # as many rows as ranges
     both = ranged.withColumn("copy", F.lit(False)).unionByName(copied.select(*docs.columns, "range", F.lit(True).alias("copy")))
+    both = both.withColumns(derived)
     order = Window.partitionBy("range").orderBy("copy", F.col("doc_id").asc_nulls_last(), "text_key")
     following = [F.lead(c).over(order).alias(f"next_{c}") for c in columns]
-    return both.select(*docs.columns, "copy", *following).where(~F.col("copy")).drop("copy")
+    return both.select(*docs.columns, *derived, "copy", *following).where(~F.col("copy")).drop("copy")
 
 
 def compare_with_next(docs: DataFrame) -> DataFrame:
@@ -151,8 +153,8 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     both fingerprints, and their likenesses.
     """
     docs = pick(docs, doc_id="long", text="string").withColumn("text", F.coalesce("text", F.lit("")))
-    docs = docs.select("doc_id", text_key(), "text", fingerprint(F.col("text")).alias("print"))
-    rows = with_next(docs, ["text", "print"])
+    docs = docs.select("doc_id", text_key(), "text")
+    rows = with_next(docs, ["text", "print"], {"print": fingerprint(F.col("text"))})
     half = F.floor(F.char_length("text") / 2).cast("int")
     kept = F.substring("text", F.lit(1), F.char_length("text") - half)
     rows = rows.withColumn("edited", F.concat(kept, F.substring("next_text", F.lit(1), half)))
