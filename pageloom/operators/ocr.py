@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import base64
-import json
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -22,14 +20,22 @@ OCR_FAILED = "OCR processing failed: "
 BATCH_BYTES = 16 << 20
 
 
+# Calls of a task under way at a time.
+CALLS = 4
+
+
 def wrap_error(message: Column) -> Column:
     return F.concat(F.lit(OCR_FAILED), message)
 
 
-def apply_ocr(requests: DataFrame, backend: BackendFactory, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+def apply_ocr(
+    requests: DataFrame, backend: BackendFactory, batch_bytes: int = BATCH_BYTES, calls: int = CALLS
+) -> DataFrame:
     """Call the service once per row: ``request`` becomes ``response`` and ``error``.
 
-    The factory runs once per partition, so a client is shared by its rows. A
+    The factory runs once per partition, so a client is shared by its rows; up
+    to ``calls`` of them wait for their answers at a time, so a client has to
+    stand being called from several threads, or ``calls`` be 1. A
     failing call is a row with an error, never a failed task; a row without a
     request passes through. A retried task calls again for its whole
     partition: write the result as a table before using it more than once.
@@ -41,8 +47,18 @@ def apply_ocr(requests: DataFrame, backend: BackendFactory, batch_bytes: int = B
     names = [field.name for field in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from concurrent.futures import ThreadPoolExecutor
+
         call = backend()
 
+        def answer(request):
+            if not request.is_valid:
+                return None, None
+            try:
+                return call(request.as_py()), None
+            except Exception as failure:  # the service's failure is data here
+                return None, str(failure)
+
         def answered(batch, start, responses, errors):
             columns = [batch.column(name).slice(start, len(responses)) for name in names]
             return pa.RecordBatch.from_arrays(
@@ -50,24 +66,21 @@ def apply_ocr(requests: DataFrame, backend: BackendFactory, batch_bytes: int = B
                 names=[*names, "response", "error"],
             )
 
-        for batch in batches:
-            requests_column = batch.column("request")
-            start, size, responses, errors = 0, 0, [], []
-            for request in requests_column:
-                response, error = None, None
-                if request.is_valid:
-                    try:
-                        response = call(request.as_py())
-                    except Exception as failure:  # the service's failure is data here
-                        error = str(failure)
-                responses.append(response)
-                errors.append(error)
-                size += len(response or "")
-                if size >= batch_bytes:
+        with ThreadPoolExecutor(calls) as pool:
+            for batch in batches:
+                column = batch.column("request")
+                start, size, responses, errors = 0, 0, [], []
+                # As many answers are held as calls are made at a time.
+                for first in range(0, len(column), calls):
+                    for response, error in pool.map(answer, column.slice(first, calls)):
+                        responses.append(response)
+                        errors.append(error)
+                        size += len(response or "")
+                    if size >= batch_bytes:
+                        yield answered(batch, start, responses, errors)
+                        start, size, responses, errors = start + len(responses), 0, [], []
+                if responses:
                     yield answered(batch, start, responses, errors)
-                    start, size, responses, errors = start + len(responses), 0, [], []
-            if responses:
-                yield answered(batch, start, responses, errors)
 
     return requests.mapInArrow(run, schema)
 
@@ -84,28 +97,3 @@ def stored_responses(requests: DataFrame, stored: DataFrame) -> DataFrame:
     return joined.withColumn(
         "error", F.when(F.col("found").isNull(), F.lit("No stored response")).otherwise(F.col("error"))
     ).drop("found")
-
-
-def echo_backend(model_errors: dict[str, str] | None = None) -> BackendFactory:
-    """A deterministic backend for tests and dry runs.
-
-    Answers with the text of the bytes it was sent, one page per form feed.
-    ``model_errors`` maps a text the payload starts with to an error.
-    """
-    failures = dict(model_errors or {})
-
-    def make() -> Backend:
-        def call(request: str) -> str:
-            document = json.loads(request)["document"]
-            uri = document.get("documentUrl") or document.get("imageUrl")
-            payload = base64.b64decode(uri.split(";base64,", 1)[1])
-            text = payload.decode("utf-8", errors="ignore")
-            for start, message in failures.items():
-                if text.startswith(start):
-                    raise RuntimeError(message)
-            pages = [{"markdown": page} for page in text.split("\f")]
-            return json.dumps({"pages": pages}, ensure_ascii=False)
-
-        return call
-
-    return make

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pageloom.functions.json_text import metadata_json
 from pageloom.functions.text import preview_fixed
+from pageloom.operators.response import check_responses
 
 
 def page_report(documents: DataFrame) -> DataFrame:
@@ -24,6 +25,12 @@ def page_report(documents: DataFrame) -> DataFrame:
     )
 
 
-def page_total(documents: DataFrame) -> DataFrame:
-    """``(source, pages)``: how many documents each file gave."""
-    return documents.groupBy("source").agg(F.count(F.lit(1)).alias("pages"))
+def page_total(responses: DataFrame) -> DataFrame:
+    """``(source, pages)``: how many documents each sound answer gives, 0 for one without pages.
+
+    Counted where the answer is, before pages become rows.
+    """
+    checked = check_responses(responses)
+    pages = F.when(F.col("kind") == "pdf", F.size("pages")).otherwise(1).cast("bigint")
+    counts = F.when(F.col("fault").isNull(), F.array(pages))
+    return checked.select("source", F.explode(counts).alias("pages"))

@@ -24,6 +24,9 @@ from pageloom.operators.pdf_info import doc_info
 CHUNK_ITEMS = 4096
 PART_PAGES = 1024
 
+# The reject of a file whose info is missing.
+NO_INFO = "PDF info is missing"
+
 # Written *before* every page of a file's text, the first one included.
 PAGE_LEAD = "\n\n"
 # Written before the text of an item on another line than the one before it.
@@ -169,7 +172,8 @@ def document_parts(pages: DataFrame, part_pages: int = PART_PAGES) -> DataFrame:
     """``(source, part, text)``: a file's text in runs of pages.
 
     The parts of a file in order make up its text. This is the form for files
-    whose text would not fit in one value.
+    whose text would not fit in one value. A page whose text is NULL has
+    failed and gives no piece; a part of failed pages only is empty.
     """
     return (
         pages.select(
@@ -179,7 +183,7 @@ def document_parts(pages: DataFrame, part_pages: int = PART_PAGES) -> DataFrame:
             F.concat(F.lit(PAGE_LEAD), F.col("text")).alias("piece"),
         )
         .groupBy("source", "part")
-        .agg(_listagg("piece", "page_no").alias("text"))
+        .agg(F.coalesce(_listagg("piece", "page_no"), F.lit("")).alias("text"))
     )
 
 
@@ -194,11 +198,18 @@ def combine_page_table(pages: DataFrame, part_pages: int = PART_PAGES) -> DataFr
     """``(source, text)`` with the blank line *between* pages only.
 
     For pages that are already rows; from a stored answer combine the array.
+    A page without text is an empty one and keeps its place.
     """
-    joined = document_text(pages, part_pages)
+    joined = document_text(pages.withColumn("text", F.coalesce("text", F.lit(""))), part_pages)
     return joined.withColumn("text", F.substring("text", F.lit(len(PAGE_LEAD) + 1), F.length("text")))
 
 
+def without_info(items: DataFrame, pdf_info: DataFrame) -> DataFrame:
+    """``rejects(source, error)`` of files that have items but no info, which parsing leaves out."""
+    files = items.select("source").distinct().join(pdf_info.select("source"), "source", "left_anti")
+    return files.select("source", F.lit(NO_INFO).alias("error"))
+
+
 def parse_pdf_parts(
     items: DataFrame,
     pdf_info: DataFrame,
@@ -225,6 +236,7 @@ def parse_pdf_parts(
         "source",
         F.col("page_no").cast(chunks.schema["page_no"].dataType).alias("page_no"),
         F.lit(-1).cast("bigint").alias("chunk"),
+        F.lit(True).alias("listed"),
         # On the first page's row, or the only one of a file without pages.
         F.when(F.coalesce(F.col("page_no"), F.lit(1)) == 1, F.col("header")).alias("header"),
     )
@@ -236,7 +248,9 @@ def parse_pdf_parts(
     )
     pages = (
         together.groupBy("source", "part", "page_no")
-        .agg(*_page_aggregates(with_items), F.first("header", ignorenulls=True).alias("header"))
+        .agg(*_page_aggregates(with_items), F.first("header", ignorenulls=True).alias("header"), F.max("listed").alias("listed"))
+        # Items beyond the file's pages, or of a file without info, belong to no page.
+        .filter(F.col("listed"))
         .select("source", "part", "page_no", "header", *_page_columns(with_items))
     )
     if renderer is not None:

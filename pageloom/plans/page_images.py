@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,15 +18,14 @@ from pageloom.functions.render import (
 )
 from pageloom.operators.images import Encoder, format_dispatch, page_bounds, page_fanout
 from pageloom.session import materialize
-from pageloom.sources.blobs import save_page_images
+from pageloom.sources.blobs import fail_on_shared_paths, placed_images, put
+from pageloom.sources.systems import Systems, default_system
+
+SHORT = ("source", "page_no", "path", "error")
 
 # Source, page number and scale to PNG bytes; NULL where it fails.
 Rasterizer = Callable[[Column, Column, Column], Column]
 
-# Most bytes of failed sources that are broadcast.
-BROADCAST_BYTES = 32 << 20
-
-
 def convert_pages(requests: DataFrame, rasterize: Rasterizer, encoder: Encoder | None = None) -> DataFrame:
     """Render requested pages: adds ``content`` and ``error`` to each request.
 
@@ -53,24 +55,57 @@ def save_pdf_pages(
     Returns ``(source, page_no, path)`` of the written pages and
     ``rejects(source, error)``. A file of which a page fails is rejected with
     the error of its first failing page, and none of its pages is written.
-    Images are made once and kept in shared storage until then.
+
+    Images are written once, under hidden names, by the task that makes them.
+    Only short rows are brought together to find the failed files; then the
+    images of the others are renamed and theirs are deleted. With a column
+    ``dir`` pages go there below ``directory``, else to a folder of their file.
     """
     pages = page_fanout(files).withColumn("fmt", F.lit(fmt or DEFAULT_FORMAT))
     pages = pages.withColumn("quality", F.lit(quality or DEFAULT_QUALITY))
+    placed = placed_images(pages, directory)
+    fail_on_shared_paths(placed)
     drawn = rasterize(F.col("source"), F.col("page_no"), F.lit(float(scale or DEFAULT_SCALE)))
-    images = materialize(format_dispatch(pages.withColumn("content", drawn), encoder), "page-images")
+    images = format_dispatch(placed.withColumn("content", drawn), encoder)
+    default = default_system(files.sparkSession)
+
+    def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        systems, made = Systems(default), set()
+        for batch in batches:
+            staged = []
+            for path, content, error in zip(*(batch.column(c) for c in ("path", "content", "error"))):
+                if error.is_valid:
+                    staged.append(None)
+                    continue
+                folder, _, name = path.as_py().rpartition("/")
+                staged.append(f"{folder}/.{name}.{uuid.uuid4().hex}")
+                system, target = systems.find(staged[-1])
+                put(system, target, content.as_buffer(), made)
+            kept = [batch.column(c) for c in ("source", "page_no", "path", "error")]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(staged, pa.string())], [*SHORT, "staged"])
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        systems = Systems(default)
+        for batch in batches:
+            for path, staged, bad in zip(*(batch.column(c).to_pylist() for c in ("path", "staged", "bad"))):
+                system, source = systems.find(staged)
+                there = system.get_file_info(source).type == fs.FileType.File  # a repeated task finds it done
+                if there and bad:
+                    system.delete_file(source)
+                elif there:
+                    system.move(source, systems.find(path)[1])
+            yield batch
+
+    page_no = images.schema["page_no"].dataType.simpleString()
+    rows = images.select(*SHORT, "content").mapInArrow(stage, f"source string, page_no {page_no}, path string, error string, staged string")
+    rows = materialize(rows, "page-images")
     failed = (
-        images.filter(F.col("error").isNotNull())
+        rows.filter(F.col("error").isNotNull())
         .groupBy("source")
         .agg(F.concat(F.lit(FILE_CONVERSION_FAILED), F.min_by("error", "page_no")).alias("error"))
     )
-    return save_page_images(_without(images, failed), directory), failed
-
-
-def _without(images: DataFrame, failed: DataFrame) -> DataFrame:
-    """Images of other files. Bytes are shuffled only if very many files failed."""
-    sources = failed.select("source")
-    size = sources.agg(F.sum(F.octet_length("source") + 16).alias("bytes")).first()["bytes"]
-    if size is None:
-        return images
-    return images.join(F.broadcast(sources) if size <= BROADCAST_BYTES else sources, "source", "left_anti")
+    bad = failed.select("source", F.lit(True).alias("failed"))
+    marked = rows.where(F.col("staged").isNotNull()).join(bad, "source", "left")
+    marked = marked.select("source", "page_no", "path", "staged", F.coalesce("failed", F.lit(False)).alias("bad"))
+    done = materialize(marked.mapInArrow(finish, marked.schema), "page-files")
+    return done.where(~F.col("bad")).select("source", "page_no", "path"), failed

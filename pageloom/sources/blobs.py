@@ -11,11 +11,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from pageloom.functions.paths import page_file_path
+from pageloom.sources.systems import Systems, default_system
 
 FORMAT = "blobs"
 
@@ -25,35 +26,42 @@ class WrittenFiles(WriterCommitMessage):
     files: int
 
 
-class BlobWriter(DataSourceArrowWriter):
-    def write(self, iterator: Iterator) -> WriterCommitMessage:
-        import uuid
-
+def put(system, target: str, content, made: set[str]) -> None:
+    """Write a file under a hidden name and rename it; a failure leaves nothing behind."""
+    import uuid
+
+    directory, _, name = target.rpartition("/")
+    if directory and directory not in made:
+        system.create_dir(directory, recursive=True)
+        made.add(directory)
+    # Names with a leading dot are hidden from file scans.
+    staged = f"{directory}/.{name}.{uuid.uuid4().hex}" if directory else f".{name}.{uuid.uuid4().hex}"
+    try:
+        with system.open_output_stream(staged) as stream:
+            stream.write(content)
+        system.move(staged, target)
+    except BaseException:
         from pyarrow import fs
 
+        if system.get_file_info(staged).type == fs.FileType.File:
+            system.delete_file(staged)
+        raise
+
+
+@dataclass
+class BlobWriter(DataSourceArrowWriter):
+    #: ``scheme://host`` that paths without a scheme are in.
+    default: str = ""
+
+    def write(self, iterator: Iterator) -> WriterCommitMessage:
         files = 0
-        systems: dict[str, fs.FileSystem] = {}
-        made: set[str] = set()
+        systems, made = Systems(self.default), set()
         for batch in iterator:
             for path, content in zip(batch.column("path"), batch.column("content")):
-                target = path.as_py()
-                scheme, mark, rest = target.partition("://")
-                if mark:
-                    host = f"{scheme}://{rest.split('/', 1)[0]}"
-                    system, target = fs.FileSystem.from_uri(target)
-                    system = systems.setdefault(host, system)
-                else:
-                    system = systems.setdefault("", fs.LocalFileSystem())
-                    target = target.removeprefix("file:")
-                directory, _, name = target.rpartition("/")
-                if directory and directory not in made:
-                    system.create_dir(directory, recursive=True)
-                    made.add(directory)
-                # Names with a leading dot are hidden from file scans.
-                staged = f"{directory}/.{name}.{uuid.uuid4().hex}" if directory else f".{name}.{uuid.uuid4().hex}"
-                with system.open_output_stream(staged) as stream:
-                    stream.write(content.as_buffer())
-                system.move(staged, target)
+                if not content.is_valid:
+                    raise ValueError(f"No content for {path.as_py()}")
+                system, target = systems.find(path.as_py())
+                put(system, target, content.as_buffer(), made)
                 files += 1
         return WrittenFiles(files)
 
@@ -64,24 +72,62 @@ class BlobSink(DataSource):
         return FORMAT
 
     def writer(self, schema, overwrite: bool) -> BlobWriter:
-        return BlobWriter()
+        return BlobWriter(self.options.get("default", ""))
 
 
 def write_blobs(files: DataFrame) -> None:
-    """Write every row ``(path, content)`` as a file of its own."""
-    files.sparkSession.dataSource.register(BlobSink)
-    files.select("path", "content").write.format(FORMAT).mode("append").save()
+    """Write every row ``(path, content)`` as a file of its own.
+
+    A path without a scheme is in Spark's default file system, as elsewhere in
+    Spark. A row without content fails.
+    """
+    spark = files.sparkSession
+    spark.dataSource.register(BlobSink)
+    writer = files.select("path", "content").write.format(FORMAT).option("default", default_system(spark))
+    writer.mode("append").save()
+
+
+def own_folder(source: str = "source") -> Column:
+    """A folder name for each file: its name without the ending, and a digest that tells equal names apart."""
+    stem = F.regexp_extract(source, r"([^/]*?)(?:\.[^./]*)?/*$", 1)
+    return F.concat(stem, F.lit("-"), F.substring(F.sha1(F.coalesce(F.col(source), F.lit(""))), 1, 12))
+
+
+def placed_images(images: DataFrame, directory: str) -> DataFrame:
+    """Adds ``path``: below ``directory``, in ``dir`` if that is a column or else in a folder of its file."""
+    root = F.lit(directory.rstrip("/"))
+    folder = F.col("dir") if "dir" in images.columns else own_folder()
+    return images.withColumn("path", page_file_path(F.concat(root, F.lit("/"), folder), "page_no", "fmt"))
+
+
+def fail_on_shared_paths(placed: DataFrame) -> None:
+    """Two rows of one path would overwrite each other."""
+    twice = placed.groupBy("path").count().where("count > 1").first()
+    if twice is not None:
+        raise ValueError(f"Several images would be written to {twice['path']}")
 
 
 def save_page_images(images: DataFrame, directory: str) -> DataFrame:
-    """Write page images ``(source, page_no, fmt, content)`` and return their paths.
+    """Write page images ``(source, page_no, fmt, content[, dir])`` and return their paths.
 
-    ``dir`` per file may be given as a column, relative to ``directory``;
-    without it all pages go straight there. Returned are ``(source, page_no,
-    path)``; order by them for the order of pages.
+    Pages go to ``dir``, a folder below ``directory``, or without that column
+    to a folder of their file. Returned are ``(source, page_no, path)``; order
+    by them for the order of pages. Two rows of one path raise before anything
+    is written.
     """
-    root = F.lit(directory.rstrip("/"))
-    place = F.concat(root, F.lit("/"), F.col("dir")) if "dir" in images.columns else root
-    placed = images.withColumn("path", page_file_path(place, "page_no", "fmt"))
+    placed = placed_images(images, directory)
+    fail_on_shared_paths(placed)
     write_blobs(placed)
     return placed.select("source", "page_no", "path")
+
+
+def save_page_image(images: DataFrame) -> DataFrame:
+    """Write converted pages ``(source, page_number, content, error, path)`` to paths of the caller's choice.
+
+    Rows with an error are not written and come back with it.
+    """
+    sound = images.where(F.col("error").isNull())
+    fail_on_shared_paths(sound)
+    write_blobs(sound)
+    path = F.when(F.col("error").isNull(), F.col("path"))
+    return images.select("source", "page_number", path.alias("path"), "error")

@@ -14,10 +14,14 @@ from pageloom.functions.paths import plain_path
 from pageloom.operators.admission import FILE_NOT_FOUND, NO_PATH
 from pageloom.options import LoadOptions
 from pageloom.session import spread
+from pageloom.sources.systems import Systems, default_system
 
 # Bytes of file content per Arrow batch handed back to Spark.
 BATCH_BYTES = 32 << 20
 
+# Files that a task reads.
+FILES_PER_TASK = 1000
+
 # Characters with a meaning in a file glob.
 _GLOB_SPECIAL = set("*?[]{}\\,^")
 
@@ -64,32 +68,36 @@ def read_sources(paths: DataFrame, partitions: int | None = None) -> DataFrame:
     """Add ``content`` and ``error`` to a table of paths ``(source[, ...])``.
 
     Files are opened where the paths are, so no listing passes the driver and
-    no bytes are shuffled; the short path rows are spread first. A path that
-    cannot be opened is a row with an error. Paths may be URIs of any file
-    system pyarrow knows.
+    no bytes are shuffled; the short path rows are dealt out first, in
+    ``partitions`` tasks or one for every FILES_PER_TASK of them. A path that
+    does not exist is a row with an error. Any other failure, such as a
+    throttled read or a file system that is not known, fails the task, so that
+    Spark tries it again. Paths may be URIs of any file system pyarrow knows.
     """
+    if partitions is None:
+        at_least = int(paths.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        partitions = max(at_least, -(-paths.count() // FILES_PER_TASK))
     names = paths.columns
     schema = T.StructType(
         [*paths.schema.fields, T.StructField("content", T.BinaryType()), T.StructField("error", T.StringType())]
     )
     not_found, no_path, batch_bytes = FILE_NOT_FOUND, NO_PATH, BATCH_BYTES
+    default = default_system(paths.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
-        systems: dict[str, fs.FileSystem] = {}
-
-        def read(path: str) -> bytes:
-            scheme, mark, rest = path.partition("://")
-            if not mark:
-                system, inner = systems.setdefault("", fs.LocalFileSystem()), path
-            else:
-                host = f"{scheme}://{rest.split('/', 1)[0]}"
-                if host not in systems:
-                    systems[host] = fs.FileSystem.from_uri(path)[0]
-                system, inner = systems[host], fs.FileSystem.from_uri(path)[1]
-            with system.open_input_stream(inner, compression=None) as stream:
-                return stream.read()
+        systems = Systems(default)
+
+        def read(path: str) -> bytes | None:
+            system, inner = systems.find(path)
+            try:
+                with system.open_input_stream(inner, compression=None) as stream:
+                    return stream.read()
+            except OSError:
+                from pyarrow import fs
+
+                if system.get_file_info(inner).type == fs.FileType.File:
+                    raise
+                return None
 
         def read_rows(batch, start, contents, errors):
             columns = [batch.column(name).slice(start, len(contents)) for name in names]
@@ -101,16 +109,9 @@ def read_sources(paths: DataFrame, partitions: int | None = None) -> DataFrame:
         for batch in batches:
             start, size, contents, errors = 0, 0, [], []
             for source in batch.column("source").to_pylist():
-                content, error = None, None
-                if source is None:
-                    error = not_found + no_path
-                else:
-                    try:
-                        content = read(source)
-                    except (OSError, pa.ArrowInvalid):
-                        error = not_found + source
+                content = read(source) if source else None
                 contents.append(content)
-                errors.append(error)
+                errors.append(not_found + (no_path if source is None else source) if content is None else None)
                 size += len(content or b"")
                 if size >= batch_bytes:
                     yield read_rows(batch, start, contents, errors)

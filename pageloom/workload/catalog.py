@@ -15,10 +15,11 @@ from pageloom.functions.paths import file_ext, page_file_path
 from pageloom.functions.render import page_bounds_error
 from pageloom.functions.text import preview_fixed, preview_if_longer
 from pageloom.operators import admission, images, pdf_info, report, response, text_items
-from pageloom.operators.ocr import apply_ocr, echo_backend
+from pageloom.operators.ocr import stored_responses
 from pageloom.operators.request import build_requests, media
 from pageloom.plans import page_images
-from pageloom.plans.load import load_responses
+from pageloom.options import LoadOptions
+from pageloom.plans.load import load_stored
 from pageloom.schemas import PDF
 from pageloom.session import run_dir
 from pageloom.sources.blobs import save_page_images, write_blobs
@@ -133,6 +134,34 @@ def page_file_paths(spark, sf_dir):
     return saved.select("source", long("page_no"), relative.alias("path")).join(found, "path", "left")
 
 
+@query("""
+SELECT '/cards/' || c_custkey || '.pdf' AS source, page_no, 'page-' || page_no || '.png' AS name,
+  md5('/cards/' || c_custkey || '.pdf:' || page_no) AS digest
+FROM (SELECT c_custkey, unnest(range(1, c_custkey % 4 + 1)) AS page_no FROM customer WHERE c_custkey % 7 <> 2)
+""")
+def save_pdf_pages_query(spark, sf_dir):
+    """All pages of many files, some of which have a page that fails."""
+    # The hook stands for an image library.
+    def draw(source: Column, page_no: Column, scale: Column) -> Column:
+        bad = F.regexp_extract(source, r"(\d+)\.pdf", 1).cast("bigint") % 7 == 2
+        return F.when(~(bad & (page_no == 1)), F.concat_ws(":", source, page_no).cast("binary"))
+
+    root = run_dir(spark, "saved-pages")
+    name = F.concat(F.lit("/cards/"), F.col("c_custkey"), F.lit(".pdf"))
+    pages = (F.col("c_custkey") % 4).cast("int")
+    files = table(spark, sf_dir, "customer").select(name.alias("source"), pages.alias("num_pages"))
+    written, _ = page_images.save_pdf_pages(files, root, draw)
+    found = scan_files(spark, root).select(
+        F.substring_index("source", root.rpartition("/")[2], -1).alias("place"), F.md5("content").alias("digest")
+    )
+    place = F.substring_index("path", root.rpartition("/")[2], -1)
+    return (
+        written.withColumn("place", place)
+        .join(found, "place", "full")
+        .select("source", long("page_no"), F.substring_index("place", "/", -1).alias("name"), "digest")
+    )
+
+
 # Filters and routing
 
 
@@ -384,8 +413,9 @@ def page_dimensions(spark, sf_dir):
 
 def echoed(spark, sf_dir):
     """Admitted files answered without a service: their own text as one page."""
-    admitted = admission.accepted(admitted_files(spark, sf_dir))
-    text = F.expr("decode(substring(content, octet_length(content) + 1), 'UTF-8')")
+    admitted = admission.accepted(admitted_files(spark, sf_dir)).withColumn("doc_id", doc_key())
+    after = F.substring("content", inputs.magic_bytes("doc_id") + 1, F.octet_length("content"))
+    text = F.decode(after, "UTF-8")
     page = F.struct(text.alias("markdown"))
     return admitted.select(
         "source", "kind", "extra", "loc", "pdf", F.to_json(F.struct(F.array(page).alias("pages"))).alias("response")
@@ -394,7 +424,8 @@ def echoed(spark, sf_dir):
 
 @query(f"""
 WITH {FILES_SQL}
-SELECT doc_id, source, 'doc_id=' || doc_id || ',lang=' || lang AS extra, CAST(0 AS BIGINT) AS images
+SELECT doc_id, source, 'doc_id=' || doc_id || ',lang=' || lang AS extra, CAST(0 AS BIGINT) AS images,
+  md5(text) AS digest
 FROM admitted WHERE error IS NULL
 """)
 def merge_metadata(spark, sf_dir):
@@ -406,6 +437,7 @@ def merge_metadata(spark, sf_dir):
         "source",
         listed.alias("extra"),
         long(F.size("metadata.images"), "images"),
+        F.md5("page_content").alias("digest"),
     )
 
 
@@ -514,12 +546,94 @@ def sent_text(spark, sf_dir):
     return build_requests(admission.admit(admission.ingest_table(files)))
 
 
-@query("""
-SELECT '/sent/' || doc_id || CASE WHEN doc_id % 2 = 0 THEN '.pdf' ELSE '.png' END AS source, text FROM documents
+def sent_files(spark, sf_dir) -> DataFrame:
+    name = F.concat(F.lit("/sent/"), F.col("doc_id"), F.when(F.col("doc_id") % 2 == 0, ".pdf").otherwise(".png"))
+    return table(spark, sf_dir, "documents").select(
+        name.alias("source"),
+        F.col("text").cast("binary").alias("content"),
+        F.create_map(F.lit("lang"), F.col("lang")).alias("extra"),
+    )
+
+
+def stored_answers(spark, sf_dir) -> DataFrame:
+    """Answers of an earlier run: a page per line; some calls failed, some are missing."""
+    pages = F.transform(F.split("text", "\n"), lambda line: F.struct(line.alias("markdown")))
+    failed = F.startswith("text", F.lit("E"))
+    return table(spark, sf_dir, "documents").where(F.col("doc_id") % 41 != 3).select(
+        F.concat(F.lit("/sent/"), F.col("doc_id"), F.when(F.col("doc_id") % 2 == 0, ".pdf").otherwise(".png")).alias("source"),
+        F.when(~failed, F.to_json(F.struct(pages.alias("pages")))).alias("response"),
+        F.when(failed, F.concat(F.lit("service refused "), F.col("lang"))).alias("error"),
+    )
+
+
+STORED_SQL = """
+sent AS (
+  SELECT doc_id, lang, text, '/sent/' || doc_id || CASE WHEN doc_id % 2 = 0 THEN '.pdf' ELSE '.png' END AS source,
+    CASE WHEN doc_id % 41 = 3 THEN 'OCR processing failed: No stored response'
+         WHEN starts_with(text, 'E') THEN 'OCR processing failed: service refused ' || lang END AS error
+  FROM documents
+)
+"""
+
+
+@query(f"""
+WITH {STORED_SQL}
+SELECT source, text FROM sent WHERE doc_id % 41 <> 3 AND error IS NULL
 """)
 def apply_ocr_query(spark, sf_dir):
-    answers = apply_ocr(sent_text(spark, sf_dir), echo_backend())
-    return load_responses(answers).documents.select("source", F.col("page_content").alias("text"))
+    """Requests answered from a table of earlier answers, put together again."""
+    answers = stored_responses(sent_text(spark, sf_dir), stored_answers(spark, sf_dir))
+    pages = F.from_json("response", "pages array<struct<markdown: string>>")["pages"]
+    text = F.array_join(F.transform(pages, lambda page: page["markdown"]), "\n")
+    return answers.where("error IS NULL").select("source", text.alias("text"))
+
+
+@query(f"""
+WITH {STORED_SQL},
+pages AS (
+  SELECT *, generate_subscripts(lines, 1) AS page_no, unnest(lines) AS line
+  FROM (SELECT *, string_split(text, chr(10)) AS lines FROM sent WHERE error IS NULL)
+)
+SELECT source, lang, page_no, md5(line) AS digest, CAST(CASE WHEN doc_id % 2 = 0 THEN 9 END AS BIGINT) AS total_pages
+FROM pages WHERE doc_id % 2 = 0 OR page_no = 1
+""")
+def load_stored_query(spark, sf_dir):
+    """The whole way from files to documents, with PDF info and the answers of an earlier run."""
+    files = sent_files(spark, sf_dir)
+    info = files.select("source", F.lit("1.0").alias("version"), F.lit(9).alias("num_pages"))
+    meta = F.col("metadata")
+    return load_stored(files, stored_answers(spark, sf_dir), pdf_info=info).documents.select(
+        "source",
+        meta["extra"]["lang"].alias("lang"),
+        long(F.coalesce(meta["pdf"]["loc"]["pageNumber"], meta["loc"]["pageNumber"]), "page_no"),
+        F.md5("page_content").alias("digest"),
+        long(meta["pdf"]["totalPages"], "total_pages"),
+    )
+
+
+@query(f"WITH {STORED_SQL} SELECT source, error FROM sent WHERE error IS NOT NULL")
+def wrap_error(spark, sf_dir):
+    return load_stored(sent_files(spark, sf_dir), stored_answers(spark, sf_dir)).rejects
+
+
+@query(f"""
+WITH {STORED_SQL}
+SELECT source, lang, md5(CASE WHEN doc_id % 2 = 0 THEN replace(text, chr(10), chr(10) || chr(10))
+                              ELSE split_part(text, chr(10), 1) END) AS digest,
+  CASE WHEN doc_id % 2 = 0 THEN NULL ELSE CAST(0 AS BIGINT) END AS images
+FROM sent WHERE error IS NULL
+""")
+def combined_documents(spark, sf_dir):
+    """Images and PDFs in one pass, a document for each file."""
+    files, options = sent_files(spark, sf_dir), LoadOptions(split_pages=False)
+    documents = load_stored(files, stored_answers(spark, sf_dir), options).documents
+    images = F.col("metadata.images")
+    return documents.select(
+        "source",
+        F.col("metadata.extra")["lang"].alias("lang"),
+        F.md5("page_content").alias("digest"),
+        long(F.when(images.isNotNull(), F.size(images)), "images"),
+    )
 
 
 @query(f"""
@@ -544,16 +658,6 @@ def item_renderer(spark, sf_dir):
     return text_items.custom_renderer(pages, spaced).select("source", "text", long("page_no"))
 
 
-@query("""
-SELECT '/sent/' || doc_id || CASE WHEN doc_id % 2 = 0 THEN '.pdf' ELSE '.png' END AS source,
-  'OCR processing failed: service refused E' AS error
-FROM documents WHERE starts_with(text, 'E')
-""")
-def wrap_error(spark, sf_dir):
-    backend = echo_backend({"E": "service refused E"})
-    return load_responses(apply_ocr(sent_text(spark, sf_dir), backend)).rejects
-
-
 @query(f"""
 WITH {TEXT_ITEMS_SQL}
 SELECT source,
@@ -590,18 +694,23 @@ def document_text(spark, sf_dir):
     return parsed.select("source", "text")
 
 
-@query(f"""
+def parsed_sql(limit: str) -> str:
+    return f"""
 WITH {TEXT_ITEMS_SQL}
-SELECT source, num_pages AS numpages, least(num_pages, 2) AS numrender,
+SELECT source, num_pages AS numpages, least(num_pages, {limit}) AS numrender,
   CASE WHEN doc_id % 4 <> 0 THEN lang END AS lang, CASE WHEN doc_id % 5 <> 0 THEN origin END AS origin,
   (SELECT coalesce(string_agg(chr(10) || chr(10) || p.text, '' ORDER BY p.page_no), '')
-   FROM all_pages p WHERE p.source = i.source AND p.page_no <= 2) AS text,
+   FROM all_pages p WHERE p.source = i.source AND p.page_no <= {limit}) AS text,
   '1.0' AS version
 FROM text_info i
-""")
-def parse_pdf(spark, sf_dir):
-    parsed = text_items.parse_pdf(inputs.text_items(spark, sf_dir), inputs.text_info(spark, sf_dir), max_pages=2)
-    return parsed.select(
+"""
+
+
+def parsed(spark, sf_dir, max_pages: int) -> DataFrame:
+    files = text_items.parse_pdf(
+        inputs.text_items(spark, sf_dir), inputs.text_info(spark, sf_dir), max_pages=max_pages
+    )
+    return files.select(
         "source",
         long("numpages"),
         long("numrender"),
@@ -612,6 +721,16 @@ def parse_pdf(spark, sf_dir):
     )
 
 
+@query(parsed_sql("num_pages"))
+def parse_pdf(spark, sf_dir):
+    return parsed(spark, sf_dir, max_pages=0)
+
+
+@query(parsed_sql("2"))
+def parse_pdf_limited(spark, sf_dir):
+    return parsed(spark, sf_dir, max_pages=2)
+
+
 @query(f"""
 WITH {TEXT_ITEMS_SQL}
 SELECT source, (page_no - 1) // 2 AS part, string_agg(chr(10) || chr(10) || text, '' ORDER BY page_no) AS text
@@ -667,9 +786,13 @@ def doc_info(spark, sf_dir):
     )
 
 
-@query(f"WITH {PDF_ANSWERS_SQL} SELECT source, count(*) AS pages FROM answer_pages GROUP BY source")
+@query(f"""
+WITH {PDF_ANSWERS_SQL}
+SELECT a.source, count(p.source) AS pages FROM answers a LEFT JOIN answer_pages p ON p.source = a.source
+WHERE a.fault IS NULL GROUP BY a.source
+""")
 def page_total(spark, sf_dir):
-    return report.page_total(response.to_documents(inputs.pdf_answers(spark, sf_dir)))
+    return report.page_total(inputs.pdf_answers(spark, sf_dir))
 
 
 # Row generators

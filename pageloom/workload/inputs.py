@@ -15,22 +15,13 @@ EXTENSIONS = (
 )
 MAGIC = ("FFD8FF", "52494646", "49492A00", "4D4D002A", "89504E47", "")
 
-# A scan of fewer splits than this counts as small.
-SMALL_SPLITS = 16
-
 PAGE_WORDS = 200
 LINE_WORDS = 10
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table; a scan of a few splits is spread over the cores.
-
-    Only small tables are moved by this; larger ones, as on a cluster, are
-    left as they are scanned.
-    """
-    scan = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < min(cores, SMALL_SPLITS) else scan
+    """A given table as it is scanned."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _pick(values: tuple[str, ...], number: str) -> Column:
@@ -43,6 +34,11 @@ def _sql_pick(values: tuple[str, ...], number: str) -> str:
     return f"([{listed}])[{number} % {len(values)} + 1]"
 
 
+def magic_bytes(number: str) -> Column:
+    """How many leading bytes a file of ``files`` has before its text."""
+    return F.octet_length(F.unhex(_pick(MAGIC, number)))
+
+
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as files: any extension, any leading bytes, some bad paths."""
     slot = F.col("doc_id") % 97

@@ -5,13 +5,13 @@ from __future__ import annotations
 import os
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from pageloom import convert_pages, save_pdf_pages
 from pageloom.operators.images import ImageFormat, format_dispatch, format_fanout, page_blocks, page_bounds, page_fanout
-from pageloom.plans import page_images
 from pageloom.session import run_dir
-from pageloom.sources.blobs import save_page_images, write_blobs
+from pageloom.sources.blobs import save_page_image, save_page_images, write_blobs
 from pageloom.sources.files import scan_files
 
 FILES = "source string, num_pages int"
@@ -123,14 +123,44 @@ def test_save_pdf_pages(spark):
     assert rejects.isEmpty()
 
 
-@pytest.mark.parametrize("limit", [0, 1 << 20])
-def test_a_failed_page_keeps_its_file_from_being_written(spark, monkeypatch, limit):
-    monkeypatch.setattr(page_images, "BROADCAST_BYTES", limit)
+def test_pages_without_a_folder_go_to_one_of_their_file(spark):
+    root = run_dir(spark, "test-own-folders")
+    files = spark.createDataFrame([("/x/a.pdf", 2), ("/y/a.pdf", 2)], FILES)
+    written, _ = save_pdf_pages(files, root, draw)
+    paths = {row.path: f"{row.source}:{row.page_no}:2.0".encode() for row in written.collect()}
+    assert len(paths) == 4 and all(open(path, "rb").read() == content for path, content in paths.items())
+    pages = files.select("source", F.col("num_pages").alias("page_no"), F.lit("png").alias("fmt"), F.col("source").cast("binary").alias("content"))
+    saved = [row.path for row in save_page_images(pages, root + "/again").collect()]
+    assert len({os.path.dirname(path) for path in saved}) == 2 and all(os.path.basename(os.path.dirname(p)).startswith("a-") for p in saved)
+
+
+def test_two_images_of_one_path_are_an_error(spark):
+    root = run_dir(spark, "test-clash")
+    rows = [("a", 1, "png", bytearray(b"1"), "same"), ("b", 1, "png", bytearray(b"2"), "same")]
+    images = spark.createDataFrame(rows, "source string, page_no int, fmt string, content binary, dir string")
+    with pytest.raises(ValueError, match="same/page-1.png"):
+        save_page_images(images, root)
+    assert not os.path.exists(root)
+
+
+def test_one_page_to_a_path_of_the_caller(spark):
+    root = run_dir(spark, "test-single")
+    rows = [("a", 1, bytearray(b"one"), None, f"{root}/deep/x.png"), ("b", 9, None, "bad page", f"{root}/y.png")]
+    pages = spark.createDataFrame(rows, "source string, page_number int, content binary, error string, path string")
+    got = sorted((row.source, row.path, row.error) for row in save_page_image(pages).collect())
+    assert got == [("a", f"{root}/deep/x.png", None), ("b", None, "bad page")]
+    assert open(f"{root}/deep/x.png", "rb").read() == b"one" and os.listdir(root) == ["deep"]
+    with pytest.raises(PySparkException, match="No content"):
+        write_blobs(pages)
+
+
+def test_a_failed_page_keeps_its_file_from_being_written(spark):
     root = run_dir(spark, "test-failed-pages")
     files = spark.createDataFrame([("a", 3, "a"), ("b", 1, "b")], FILES + ", dir string")
     written, rejects = save_pdf_pages(files, root, draw, encode, fmt="jpeg", quality=80)
     assert [row.path.removeprefix(root) for row in written.collect()] == ["/b/page-1.jpeg"]
-    assert os.listdir(root) == ["b"] and open(f"{root}/b/page-1.jpeg", "rb").read() == b"b:1:2.080"
+    assert os.listdir(f"{root}/a") == [] and os.listdir(f"{root}/b") == ["page-1.jpeg"]
+    assert open(f"{root}/b/page-1.jpeg", "rb").read() == b"b:1:2.080"
     [row] = rejects.collect()
     assert row.source == "a"
     assert row.error.startswith(

@@ -9,11 +9,12 @@ from pyspark.errors import PySparkException
 
 from pageloom import LoadError, LoadOptions, load_path, load_requested, load_stored, load_table
 from pageloom.operators.admission import UNSUPPORTED_TYPE, admit, ingest_table
-from pageloom.operators.ocr import apply_ocr, echo_backend
+from pageloom.operators.ocr import apply_ocr
 from pageloom.operators.request import build_requests
 from pageloom.operators.response import response_rejects, to_documents
 from pageloom.options import DEFAULT_SUPPORTED_TYPES
 from pageloom.schemas import METADATA, REJECTS
+from tests.backends import echo_backend
 
 UNSUPPORTED = UNSUPPORTED_TYPE + ".jpg, .jpeg, .png, .webp, .tiff, .bmp, .gif, .pdf"
 ANSWERS = "source string, kind string, response string, error string"

@@ -8,8 +8,8 @@ import sys
 
 from pyspark import cloudpickle
 
-from pageloom.operators.ocr import echo_backend
 from pageloom.sources.blobs import BlobSink, BlobWriter
+from tests.backends import echo_backend
 
 
 def test_shipped_objects_need_no_package(tmp_path):

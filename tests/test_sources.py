@@ -8,7 +8,7 @@ from pageloom.operators.admission import missing_sources
 from pageloom.options import DEFAULT_SUPPORTED_TYPES, LoadOptions
 from pageloom.sources.files import read_sources, scan_files, type_glob
 from pageloom.streaming.ingest import start_loading, stream_files
-from pageloom.operators.ocr import echo_backend
+from tests.backends import echo_backend
 
 
 def test_type_glob():
