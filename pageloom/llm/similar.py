@@ -14,7 +14,7 @@ are asked for before a pair is verified. Of two documents the smaller m holds.
 2. The sketch gives the global order and the estimates; prefixes are written.
    Buckets with a single set are dropped.
 3. Stars first: each set is verified against the smallest and the largest of
-   its buckets. This links most of a group of near copies with as many pairs as
+   its buckets, if it shares more than one with them. This links most of a group of near copies with as many pairs as
    members. Then all pairs of a bucket that are in different components and
    share enough are verified, so no link between components is lost; pairs
    within a component can't change the result. (A link inside a component may go
@@ -45,6 +45,8 @@ SKETCH, BLOCKS = 1 << 19, 16
 MOST_MATCHES = 4
 #: Cost of verifying a pair, in bucket rows looked up.
 VERIFY = 20
+#: Bits of the maps of texts that are needed to verify pairs, and of shingles that several sets look up.
+TEXT_BITS, KEY_BITS = 1 << 22, 1 << 26
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -107,8 +109,8 @@ def matches_wanted(estimate: np.ndarray, size: int, percent: int) -> int:
             break
         prefix = estimate[: short + m]
         looked_up = prefix.sum()
-        # a candidate shares m shingles, so at least one that is not among the m - 1 most frequent
-        candidates = looked_up - np.sort(prefix)[len(prefix) - m + 1 :].sum()
+        # a candidate shares m shingles: it is looked up m times, and once apart from the m - 1 most frequent
+        candidates = min(looked_up / m, looked_up - np.sort(prefix)[len(prefix) - m + 1 :].sum())
         if cost is None or looked_up + VERIFY * candidates < cost:
             best, cost = m, looked_up + VERIFY * candidates
     return best
@@ -132,6 +134,27 @@ def components(links: DataFrame) -> DataFrame:
         edges = small
 
 
+def probed(rows: DataFrame, wanted: DataFrame, column: str, size: int) -> DataFrame:
+    """Rows whose hash in a column may be among the wanted ones, by a bitmap of a fixed size.
+
+    It saves shuffling rows that a join would drop; with very many wanted hashes
+    all bits are set and nothing is left out.
+    """
+    bit = F.pmod(column, F.lit(size)) + 1  # buckets and positions count from 1
+    maps = wanted.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
+    bits = np.zeros(size // 8, np.uint8)
+    for row in maps.collect():  # size bits altogether
+        bits[(row.bucket - 1) * 4096 : row.bucket * 4096] = np.frombuffer(row.bits, np.uint8)
+    shared = rows.sparkSession.sparkContext.broadcast(bits)
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column(column).to_numpy() % size
+            yield batch.filter(pa.array((shared.value[at >> 3] >> (at & 7) & 1).astype(bool)))
+
+    return rows.mapInArrow(probe, rows.schema)
+
+
 def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, text_key, n_shingles, component (null without shingles) and component_id of every row."""
     docs = pick(docs, doc_id="long", text="string").select("doc_id", text_key(), "text")
@@ -187,13 +210,18 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
 
     rows = docs.select("text").mapInArrow(prefixes, "key long, name long, size int, wanted byte")
     entries = materialize(rows, "prefixes")
-    ends = entries.groupBy("key").agg(F.min(F.struct("name", "size")).alias("low"), F.max(F.struct("name", "size")).alias("high")).where("low.name < high.name")
-    entries = materialize(entries.join(ends, "key").dropDuplicates(["key", "name"]), "buckets")
+    several = materialize(entries.groupBy("key").count().where("count > 1").select("key"), "several")
+    entries = probed(entries, several, "key", KEY_BITS).join(several, "key").dropDuplicates(["key", "name"])
+    entries = materialize(entries, "buckets")
+    ends = entries.groupBy("key").agg(F.min("name").alias("low"), F.max("name").alias("high"), F.min("wanted").alias("least")).where("low < high")
+    entries = entries.join(ends, "key")
+    # sets that share too little with all others together need no look at their texts
+    met = entries.groupBy("name").agg(F.count("*").alias("n"), F.min(F.least("wanted", "least")).alias("m")).where("n >= m").select("name")
+    entries = materialize(entries.join(met, "name"), "buckets")
 
-    # texts of the sets that share a bucket with another
-    met = entries.select("name").distinct()
     sources = kept.join(met, "name").groupBy("name").agg(F.min(F.struct("doc_id", "text_key")).alias("row"))
-    sources = sources.select("name", F.col("row.doc_id").alias("doc_id"), F.col("row.text_key").alias("text_key"))
+    sources = materialize(sources.select("name", F.col("row.doc_id").alias("doc_id"), F.col("row.text_key").alias("text_key")), "sources")
+    docs = probed(docs, sources, "text_key", TEXT_BITS)
     texts = docs.join(sources, same_row(docs, sources)).select("name", "text").dropDuplicates(["name"])
     texts = materialize(texts, "texts")
 
@@ -215,8 +243,8 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     def near(x: str, y: str):
         return 100 * F.least(x, y) >= percent * F.greatest(x, y)
 
-    star = entries.select("name", "size", F.explode(F.array("low", "high")).alias("hub")).where((F.col("hub.name") != F.col("name")) & near("size", "hub.size"))
-    star = star.groupBy(F.col("name").alias("b"), F.col("hub.name").alias("a")).count()
+    star = entries.select(F.col("name").alias("b"), F.explode(F.array("low", "high")).alias("a")).where("a <> b")
+    star = star.groupBy("a", "b").count().where("count > 1")
     likeliest = Window.partitionBy("b").orderBy(F.desc("count"), "a")
     star = star.withColumn("place", F.row_number().over(likeliest)).where("place <= 2")
     links = verified(star)
