@@ -23,15 +23,30 @@ def doc_info(pdf_info: DataFrame) -> DataFrame:
     )
 
 
+def one_per_source(info: DataFrame) -> DataFrame:
+    """Of several info rows of a file the one with most pages, then by version and contents.
+
+    Runs that append leave such rows. Only this short table is grouped.
+    """
+    rank = F.struct(
+        F.coalesce("num_pages", F.lit(-1)),
+        F.coalesce("version", F.lit("")),
+        F.coalesce(F.to_json("info"), F.lit("")),
+        F.coalesce(F.to_json("metadata"), F.lit("")),
+    )
+    best = info.groupBy("source").agg(F.max_by(F.struct(*info.columns), rank).alias("row"))
+    return best.select("row.*")
+
+
 def attach_pdf_info(files: DataFrame, pdf_info: DataFrame) -> DataFrame:
     """Set ``pdf`` of PDF rows from their info; unread files keep what they had.
 
     A left join with no hint: the info table grows with the files, so whether
     it may be broadcast is left to its measured size, and a hot source on the
-    left is split by the adaptive skew join. Join before pages are exploded
-    and without file bytes in the row.
+    left is split by the adaptive skew join. Join names and short columns:
+    before bytes are read, or answers joined, and never their rows.
     """
-    info = doc_info(pdf_info).select(
+    info = one_per_source(doc_info(pdf_info)).select(
         "source",
         F.struct(
             "version",

@@ -136,6 +136,27 @@ def text_lines(items: DataFrame, chunk_items: int = CHUNK_ITEMS, with_items: boo
     return chunks_to_pages(text_chunks(items, chunk_items, with_items))
 
 
+def page_lines(pages: DataFrame, with_items: bool = False) -> DataFrame:
+    """``(source, page_no, text[, items])`` of pages that hold their items.
+
+    Input is ``pages(source, page_no, items)``, items an ``array<struct<str, y>>``
+    in reading order, as an extractor gives them. Row by row: nothing is
+    shuffled or gathered, and a renderer may look at ``items``.
+    """
+    placed = F.transform(
+        F.coalesce("items", F.array()),
+        lambda item, i: F.struct(
+            i.cast("bigint").alias("item_seq"),
+            F.coalesce(item["str"], F.lit("")).alias("str"),
+            item["y"].cast("double").alias("y"),
+        ),
+    )
+    rows = pages.select("source", "page_no", placed.alias("items"))
+    broken = F.exists("items", lambda item: item["y"].isNull())
+    text = F.when(broken, F.lit("")).otherwise(_joined(F.col("items"), "str", "y", "y"))
+    return rows.select("source", "page_no", text.alias("text"), *(["items"] if with_items else []))
+
+
 def _page_of(pages: DataFrame) -> Page:
     items = F.col("items") if "items" in pages.columns else None
     return Page(F.col("source"), F.col("page_no"), F.col("text"), items)

@@ -459,10 +459,12 @@ LEFT JOIN (SELECT '/answers/doc-' || doc_id || '.pdf' AS source, 1 + doc_id % 5
   ON l.source = p.source
 """)
 def pdf_loc(spark, sf_dir):
-    answers = inputs.pdf_answers(spark, sf_dir).transform(with_pdf)
-    informed = pdf_info.attach_pdf_info(answers, label_info(spark, sf_dir))
-    pdf = F.col("metadata.pdf")
-    return response.to_documents(informed).select(
+    # Pages without their texts and images are short: these rows are joined.
+    pages = response.to_documents(inputs.pdf_answers(spark, sf_dir).transform(with_pdf))
+    short = pages.select("source", F.lit("pdf").alias("kind"), F.col("metadata.pdf").alias("pdf"))
+    informed = pdf_info.attach_pdf_info(short.withColumn("page", F.col("pdf.loc")), label_info(spark, sf_dir))
+    pdf = F.struct(F.col("page").alias("loc"), F.col("pdf.totalPages").alias("totalPages"))
+    return informed.select(
         "source", long(pdf["loc"]["pageNumber"], "page_no"), long(pdf["totalPages"], "total_pages")
     )
 
@@ -654,7 +656,7 @@ def item_renderer(spark, sf_dir):
     def spaced(page: text_items.Page) -> Column:
         return F.array_join(F.transform(page.items, lambda item: item["str"]), " ")
 
-    pages = text_items.text_lines(inputs.text_items(spark, sf_dir), with_items=True)
+    pages = text_items.page_lines(inputs.pages_with_items(spark, sf_dir), with_items=True)
     return text_items.custom_renderer(pages, spaced).select("source", "text", long("page_no"))
 
 
@@ -685,6 +687,47 @@ def text_lines(spark, sf_dir):
     return pages.select("source", long("page_no"), "text")
 
 
+@query(f"WITH {TEXT_ITEMS_SQL} SELECT source, page_no, text FROM page_texts")
+def text_lines_nested(spark, sf_dir):
+    """As ``text_lines``, from pages that hold their items: no exchange."""
+    pages = text_items.page_lines(inputs.pages_with_items(spark, sf_dir))
+    return pages.select("source", long("page_no"), "text")
+
+
+TURN_PAGES_SQL = """
+turn_pages AS (
+  SELECT '/talks/' || conv_id || '.pdf' AS source, turn + 1 AS page_no,
+    CASE WHEN conv_id % 5 <> 1 AND (conv_id + turn) % 4 <> 1 THEN text END AS text
+  FROM conversations
+)
+"""
+
+
+def partly_failed(spark, sf_dir) -> DataFrame:
+    """Pages that are already rows; some have no text, and some files none at all."""
+    number = F.regexp_extract("source", r"(\d+)\.pdf", 1).cast("bigint")
+    there = (number % 5 != 1) & ((number + F.col("page_no") - 1) % 4 != 1)
+    return inputs.turn_pages(spark, sf_dir).withColumn("text", F.when(there, F.col("text")))
+
+
+@query(f"""
+WITH {TURN_PAGES_SQL}
+SELECT source, coalesce(string_agg(chr(10) || chr(10) || text, '' ORDER BY page_no), '') AS text
+FROM turn_pages GROUP BY source
+""")
+def document_text_pages(spark, sf_dir):
+    return text_items.document_text(partly_failed(spark, sf_dir))
+
+
+@query(f"""
+WITH {TEXT_ITEMS_SQL}
+SELECT source, 'PDF info is missing' AS error FROM text_info WHERE doc_id % 3 = 1
+""")
+def without_info(spark, sf_dir):
+    third = F.regexp_extract("source", r"(\d+)\.pdf", 1).cast("bigint") % 3 != 1
+    return text_items.without_info(inputs.text_items(spark, sf_dir), inputs.text_info(spark, sf_dir).where(third))
+
+
 @query(f"""
 WITH {TEXT_ITEMS_SQL}
 SELECT source, string_agg(chr(10) || chr(10) || text, '' ORDER BY page_no) AS text FROM all_pages GROUP BY source
@@ -754,12 +797,12 @@ def combine_pages(spark, sf_dir):
     return documents.select("source", "page_content", meta["extra"]["lang"].alias("lang"), base_only.alias("base_only"))
 
 
-@query("""
-SELECT '/talks/' || conv_id || '.pdf' AS source, string_agg(text, chr(10) || chr(10) ORDER BY turn) AS text
-FROM conversations GROUP BY conv_id
+@query(f"""
+WITH {TURN_PAGES_SQL}
+SELECT source, string_agg(coalesce(text, ''), chr(10) || chr(10) ORDER BY page_no) AS text FROM turn_pages GROUP BY source
 """)
 def combine_page_table(spark, sf_dir):
-    return text_items.combine_page_table(inputs.turn_pages(spark, sf_dir))
+    return text_items.combine_page_table(partly_failed(spark, sf_dir))
 
 
 @query("""

@@ -216,6 +216,23 @@ def text_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pages_with_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same words as pages that hold their items, as an extractor hands them over."""
+    words = F.split("text", " ")
+    first = F.explode(F.sequence(F.lit(0), F.size(words) - 1, F.lit(PAGE_WORDS)))
+    pages = table(spark, sf_dir, "documents").select("doc_id", words.alias("words"), first.alias("first"))
+
+    def item(word: Column, i: Column) -> Column:
+        line = F.floor(i / LINE_WORDS)
+        y = 800.0 - 14.25 * (line - F.when(line % 7 == 6, 1).otherwise(0))
+        broken = (F.col("doc_id") % 23 == 4) & (F.col("first") + i == 5)
+        return F.struct(word.alias("str"), F.when(~broken, y).alias("y"))
+
+    items = F.transform(F.slice("words", F.col("first") + 1, PAGE_WORDS), item)
+    page_no = F.expr(f"first div {PAGE_WORDS} + 1").cast("int")
+    return pages.select(text_source(), page_no.alias("page_no"), items.alias("items"))
+
+
 def text_source() -> Column:
     return F.concat(F.lit("/text/doc-"), F.col("doc_id"), F.lit(".pdf")).alias("source")
 
