@@ -22,7 +22,6 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +38,7 @@ LEAF_CHARS = 1 << 12
 #: Words whose tokens a task remembers.
 MEMO_WORDS = 1_000_000
 #: Bytes of text that a task encodes at a time.
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 6 << 20
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -221,10 +220,18 @@ class Encoder:
         return " ".join(map(self.tokens.__getitem__, ids.tolist()))
 
 
-@lru_cache(2)
 def encoder(path: str) -> Encoder:
-    """One for each process that runs tasks."""
-    return Encoder(path)
+    """One for each process that runs tasks.
+
+    Functions travel to tasks by value, so that a variable of this module would
+    be new in each task; the library's module stays.
+    """
+    import tokenizers
+
+    held = tokenizers.__dict__.setdefault("held_encoders", {})
+    if path not in held:
+        held[path] = Encoder(path)
+    return held[path]
 
 
 def encode(docs: DataFrame, path: str, decode: bool = False, piece_chars: int = PIECE_CHARS) -> DataFrame:
