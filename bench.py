@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -15,8 +16,10 @@ from pageloom.workload.catalog import QUERIES  # noqa: E402
 
 HEADLINE = (
     "parse_pdf",
+    "parse_pdf_limited",
     "document_text",
     "text_lines",
+    "text_lines_nested",
     "custom_renderer",
     "page_failures",
     "combine_pages",
@@ -32,6 +35,7 @@ HEADLINE = (
     "data_uri",
     "ocr_request",
     "apply_ocr",
+    "load_stored",
     "page_fanout",
     "format_fanout",
 )
@@ -46,6 +50,7 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

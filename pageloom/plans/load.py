@@ -17,7 +17,7 @@ from pageloom.operators.request import build_requests
 from pageloom.operators.response import check_responses, response_rejects, to_documents
 from pageloom.options import LoadOptions
 from pageloom.schemas import PDF
-from pageloom.session import materialize
+from pageloom.session import release, run_dir, stored
 from pageloom.sources.files import read_sources, scan_files, type_glob
 
 OnError = Literal["collect", "fail"]
@@ -29,8 +29,16 @@ class LoadError(ValueError):
 
 @dataclass(frozen=True)
 class LoadResult:
+    """Documents and rejects, and the folder of the answers they are taken from, if one was written."""
+
     documents: DataFrame
     rejects: DataFrame
+    scratch: str | None = None
+
+    def close(self) -> None:
+        """Delete the folder; neither table can be read after that."""
+        if self.scratch is not None:
+            release(self.documents.sparkSession, self.scratch)
 
 
 def _raise_first(rejects: DataFrame) -> None:
@@ -48,15 +56,16 @@ def load_responses(
     """Documents and rejects of answered requests.
 
     Answers are read, checked and written to shared storage while this
-    function runs; both results are taken from there.
+    function runs; both results are taken from there until ``close``.
     """
-    checked = materialize(check_responses(responses), "answers")
+    scratch = run_dir(responses.sparkSession, "answers")
+    checked = stored(check_responses(responses), scratch)
     rejects = response_rejects(checked)
     if on_error == "fail":
         _raise_first(rejects)
     # Joined per file: before pages are rows, and without file bytes.
     informed = checked if pdf_info is None else attach_pdf_info(checked, pdf_info)
-    return LoadResult(to_documents(informed, options.split), rejects)
+    return LoadResult(to_documents(informed, options.split), rejects, scratch)
 
 
 def load_table(
@@ -82,17 +91,25 @@ def load_table(
 
 def load_stored(
     files: DataFrame,
-    stored: DataFrame,
+    stored_answers: DataFrame,
     options: LoadOptions = LoadOptions(),
     pdf_info: DataFrame | None = None,
     on_error: OnError = "collect",
 ) -> LoadResult:
-    """As ``load_table`` with the answers of an earlier run, joined by source."""
+    """As ``load_table`` with the answers of an earlier run, joined by source.
+
+    The answers are used where they are stored: nothing is written, and
+    documents and rejects each read them when they are used.
+    """
     keyed = admit(ingest_table(files), options).drop("content", "ext").withColumnRenamed("error", "refused")
     if pdf_info is not None:
         # Joined to the short rows, before they carry their answers.
         keyed = attach_pdf_info(keyed, pdf_info)
-    return load_responses(stored_responses(keyed, stored), options, None, on_error)
+    answered = stored_responses(keyed, stored_answers)
+    rejects = response_rejects(answered)
+    if on_error == "fail":
+        _raise_first(rejects)
+    return LoadResult(to_documents(answered, options.split), rejects)
 
 
 def load_requested(
@@ -135,4 +152,4 @@ def load_path(
     if on_error == "fail":
         _raise_first(unsupported)
     loaded = load_table(scan_files(spark, root, options), backend, options, pdf_info, transcoder, on_error)
-    return LoadResult(loaded.documents, loaded.rejects.unionByName(unsupported))
+    return LoadResult(loaded.documents, loaded.rejects.unionByName(unsupported), loaded.scratch)

@@ -34,10 +34,20 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage, so expensive or unrepeatable work such as service calls
     is neither done twice nor lost with an executor.
     """
-    spark = df.sparkSession
-    path = run_dir(spark, name)
+    return stored(df, run_dir(df.sparkSession, name))
+
+
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """As ``materialize``, in a folder that the caller names and may release."""
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession, path: str) -> None:
+    """Delete a folder of ``run_dir`` and what is in it, wherever it is."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:

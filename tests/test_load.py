@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 
 import pytest
 from pyspark.errors import PySparkException
@@ -362,3 +363,10 @@ def test_load_requested_reports_missing_files(spark, tree):
     gone = table(spark, (f"{tree}/a.pdf",), (f"{tree}/gone.pdf",), schema="source string")
     with pytest.raises(PySparkException, match=f"File not found: {tree}/gone.pdf"):
         load_requested(gone, echo_backend(), on_error="fail")
+
+
+def test_a_result_can_be_released(spark):
+    result = load_table(table(spark, ("ok.pdf", b"a")), echo_backend())
+    assert result.documents.count() == 1 and os.path.isdir(result.scratch)
+    result.close()
+    assert not os.path.exists(result.scratch)
