@@ -45,6 +45,8 @@ SKETCH, BLOCKS = 1 << 19, 16
 MOST_MATCHES = 4
 #: Cost of verifying a pair, in bucket rows looked up.
 VERIFY = 20
+#: Bytes of text that a task works on at a time.
+CHUNK_BYTES = 4 << 20
 #: Bits of the maps of texts that are needed to verify pairs, and of shingles that several sets look up.
 TEXT_BITS, KEY_BITS = 1 << 22, 1 << 26
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -162,7 +164,7 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "text_key", "n_shingles", "name", "block", "counts"]
         counts = np.zeros(SKETCH, np.int64)
-        for batch, texts in chunks(batches):
+        for batch, texts in chunks(batches, CHUNK_BYTES):
             sets = Sets(texts, words)
             counted = np.isin(sets.owner, sets.distinct())
             counts += np.bincount(cells(sets.hashes[counted]), minlength=SKETCH)
@@ -190,7 +192,7 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     kept = first.where("block IS NULL").select("doc_id", "text_key", "n_shingles", "name")
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in chunks(batches):
+        for _, texts in chunks(batches, CHUNK_BYTES):
             sets = Sets(texts, words)
             counts = shared.value[cells(sets.hashes)]
             order = np.lexsort((sets.hashes, counts, sets.owner))
