@@ -109,20 +109,23 @@ class Model:
     def step(self, now, one, two, noise, rate: float) -> None:
         """One step of noise-contrastive estimation on a batch, by Adagrad."""
         p = self.p
-        h = self.context(one, two)
-        odds = np.log(len(noise)) + self.log_shares  # of noise
-        real = (h * p["classes"][now]).sum(1) + p["bias"][now] - odds[now]
+        first, second = p["words"][one], p["words"][two]
+        h = first * p["places"][0] + second * p["places"][1]
+        target = p["classes"][now]
+        odds = np.float32(np.log(len(noise))) + self.log_shares  # of noise
+        real = (h * target).sum(1) + (p["bias"] - odds)[now]
         false = h @ p["classes"][noise].T + (p["bias"] - odds)[noise]
-        g_real = -1 / (1 + np.exp(np.clip(real, -30, 30)))  # of the loss, by the scores
-        g_false = 1 / (1 + np.exp(np.clip(-false, -30, 30)))
-        dh = g_real[:, None] * p["classes"][now] + g_false @ p["classes"][noise]
+        # of the loss, by the scores: sigmoids
+        g_real = (np.tanh(real / 2) - 1) / 2
+        g_false = (np.tanh(false / 2) + 1) / 2
+        dh = g_real[:, None] * target + g_false @ p["classes"][noise]
         grads = {k: np.zeros_like(v) for k, v in p.items()}
         grads["bias"] = np.bincount(now, g_real, len(p["bias"])).astype(np.float32)
         np.add.at(grads["bias"], noise, g_false.sum(0))
         np.add.at(grads["classes"], noise, g_false.T @ h)
         add_rows(grads["classes"], now, g_real[:, None] * h)
-        for place, words in enumerate((one, two)):
-            grads["places"][place] = (dh * p["words"][words]).sum(0)
+        for place, (words, vectors) in enumerate(((one, first), (two, second))):
+            grads["places"][place] = (dh * vectors).sum(0)
             add_rows(grads["words"], words, dh * p["places"][place])
         for k, g in grads.items():
             g /= len(now)
@@ -140,7 +143,10 @@ class Model:
 
     def log_probabilities(self, now, one, two, unseen_share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Natural log of each token's class, and of the unseen type, in its context."""
-        pairs, which = np.unique(one * (len(self.log_shares) + 1) + two, return_inverse=True)
+        code = one * (len(self.log_shares) + 1) + two  # the distinct pairs, by counting
+        there = np.zeros((len(self.log_shares) + 1) ** 2, bool)
+        there[code] = True
+        pairs, which = np.flatnonzero(there), (np.cumsum(there, dtype=np.int32) - 1)[code]
         order = np.argsort(which, kind="stable")
         ends = np.searchsorted(which[order], np.arange(len(pairs) + 1))
         own, unseen = np.empty(len(now)), np.empty(len(now))
@@ -244,7 +250,8 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
         model, rng, seen = Model(shares), np.random.default_rng(2), 0
         noise_from = np.cumsum(shares / shares.sum())
         for _, texts in chunks(batches):
-            now, one, two = classes.sequence(Tokens(texts))
+            # short numbers sort fast
+            now, one, two = (x.astype(np.int16) for x in classes.sequence(Tokens(texts)))
             order = rng.permutation(len(now))
             for at in range(0, len(order), BATCH):
                 b = order[at : at + BATCH]
