@@ -76,9 +76,9 @@ class Chunk:
         self.owners = zlib.compress(np.concatenate(steps).astype("<i8").tobytes(), 1)
 
 
-def owners(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+def owners(table: bytes) -> tuple[np.ndarray, np.ndarray]:
     """doc_id and the end among the chunk's words, of each document of a chunk."""
-    steps = np.frombuffer(zlib.decompress(packed), "<i8").reshape(2, -1)
+    steps = np.frombuffer(zlib.decompress(table), "<i8").reshape(2, -1)
     return np.cumsum(steps[0]), np.cumsum(steps[1])
 
 
@@ -122,17 +122,44 @@ def recompress(names: np.ndarray, doc: np.ndarray, rounds=ROUNDS) -> tuple[np.nd
     return names, first, after
 
 
+def packed(entries: np.ndarray) -> bytes:
+    """Entries field by field and byte by byte, places as steps: most bytes but names' are zeros, which shuffles compress."""
+    parts = []
+    for name in entries.dtype.names or ("at",):
+        values = entries[name] if entries.dtype.names else entries
+        if name == "at":
+            values = np.diff(values, prepend=values.dtype.type(0))
+        parts.append(np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T.tobytes())
+    return b"".join(parts)
+
+
+def unpacked(blob: bytes, kind: np.dtype) -> np.ndarray:
+    n = len(blob) // kind.itemsize
+    out, start = np.empty(n, kind), 0
+    for name in kind.names or ("at",):
+        field = kind[name] if kind.names else kind
+        raw = np.frombuffer(blob, np.uint8, n * field.itemsize, start).reshape(field.itemsize, n)
+        values = np.ascontiguousarray(raw.T).view(field).reshape(n)
+        values = np.cumsum(values, dtype=field) if name == "at" else values
+        if kind.names:
+            out[name] = values
+        else:
+            out[:] = values
+        start += n * field.itemsize
+    return out
+
+
 def deal(chunk: Chunk, entries: np.ndarray, bucket: np.ndarray, buckets: int, settled: np.ndarray | None = None) -> pa.RecordBatch:
     """A row for each bucket with its entries, and one with those that are settled; at least one row."""
     order = np.argsort(bucket, kind="stable")
     ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
     sent = entries[order]
     used = np.flatnonzero(np.diff(ends)).tolist()
-    blobs = [sent[ends[b] : ends[b + 1]].tobytes() for b in used]
+    blobs = [packed(sent[ends[b] : ends[b + 1]]) for b in used]
     done = [False] * len(used)
     if not used or settled is not None and len(settled):
         used.append(int.from_bytes(chunk.name[:4], "little") % buckets)
-        blobs.append(settled.tobytes() if settled is not None else b"")
+        blobs.append(packed(settled) if settled is not None else b"")
         done.append(True)
     n = len(used)
     columns = [
@@ -204,11 +231,11 @@ def from_smaller(docs: DataFrame, window: int) -> DataFrame:
     def settle(table: pa.Table, kind: np.dtype, repeats: bool) -> pa.Table:
         """Of a bucket's entries, those whose name a smaller document has, or those whose name no other has."""
         blobs, settled = table.column("entries").to_pylist(), table.column("settled").to_pylist()
-        parts = [np.frombuffer(b"" if s else b, kind) for b, s in zip(blobs, settled, strict=True)]
+        parts = [unpacked(b"" if s else b, kind) for b, s in zip(blobs, settled, strict=True)]
         entries = np.concatenate(parts)
         having = []
-        for part, packed in zip(parts, table.column("owners").to_pylist(), strict=True):
-            ids, ends = owners(packed)
+        for part, owned in zip(parts, table.column("owners").to_pylist(), strict=True):
+            ids, ends = owners(owned)
             having.append(ids[np.searchsorted(ends, part["at"], side="right")])
         ids = np.concatenate(having)
         if repeats:
@@ -223,7 +250,7 @@ def from_smaller(docs: DataFrame, window: int) -> DataFrame:
             out["at"] = part["at"][mine]
             if not repeats:
                 out["wide"] = part["wide"][mine]
-            found.append(blob if s else out.tobytes())
+            found.append(blob if s else packed(out))
         used = [o if r is not None else None for o, r in zip(table.column("owners").to_pylist(), table.column("rows").to_pylist(), strict=True)]
         columns = [table.column("chunk"), pa.array(used, pa.binary()), table.column("rows"), pa.array(found, pa.binary())]
         return pa.table(columns, ["chunk", "owners", "rows", "entries"])
@@ -231,7 +258,7 @@ def from_smaller(docs: DataFrame, window: int) -> DataFrame:
     def possible(table: pa.Table) -> pa.Table:
         """Of a chunk's windows, those that contain no symbol of their own, by document."""
         ids, rows, ends = documents(table)
-        unique = np.concatenate([np.frombuffer(b, FOUND) for b in table.column("entries").to_pylist()])
+        unique = np.concatenate([unpacked(b, FOUND) for b in table.column("entries").to_pylist()])
         total = int(ends[-1]) if len(ends) else 0
         # windows from (end of the symbol - window) to its first word
         low = np.maximum(unique["at"].astype(np.int64) + unique["wide"] - window, 0)
@@ -262,13 +289,15 @@ def from_smaller(docs: DataFrame, window: int) -> DataFrame:
 
     def repeats(table: pa.Table) -> pa.Table:
         ids, rows, ends = documents(table)
-        at = np.concatenate([np.frombuffer(b, FOUND)["at"] for b in table.column("entries").to_pylist()])
+        at = np.concatenate([unpacked(b, FOUND)["at"] for b in table.column("entries").to_pylist()])
         return by_document(ids, rows, ends, np.unique(at).astype(np.int64))
 
     named = docs.mapInArrow(symbols, DEALT)
     own = named.groupBy("bucket").applyInArrow(lambda t: settle(t, SYMBOL, False), BACK)
     candidates = own.groupBy("chunk").applyInArrow(possible, MARKED).dropDuplicates(["doc_id", "text_key"])
     texts = docs.join(candidates, same_row(docs, candidates)).select(docs["doc_id"], docs["text_key"], "text", "marks")
+    # in order, so that a task that is repeated after a loss makes the same chunks
+    texts = texts.sortWithinPartitions("doc_id", "text_key")
     compared = texts.mapInArrow(windows, DEALT).groupBy("bucket").applyInArrow(lambda t: settle(t, WINDOW, True), BACK)
     return compared.groupBy("chunk").applyInArrow(repeats, MARKED)
 

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pageloom.llm.common import chunks, materialize, mixed, offsets, pick, raw_texts, same_row, shuffle_partitions, text_key, typed
-from pageloom.llm.substrings import BACK, DEALT, MARKED, Chunk, by_document, covered, deal, documents
+from pageloom.llm.substrings import BACK, DEALT, MARKED, Chunk, by_document, covered, deal, documents, packed, unpacked
 
 CHUNK_BYTES = 2 << 20
 #: Strings of a group that are sorted in one piece of work.
@@ -216,18 +216,18 @@ def repeated(docs: DataFrame, length: int) -> DataFrame:
         """Of a bucket's anchors, those that occur again in another chunk."""
         settled = table.column("settled").to_pylist()
         blobs = table.column("entries").to_pylist()
-        parts = [np.frombuffer(b"" if s else b, ENTRY) for b, s in zip(blobs, settled, strict=True)]
+        parts = [unpacked(b"" if s else b, ENTRY) for b, s in zip(blobs, settled, strict=True)]
         entries = np.concatenate(parts)
         _, which, times = np.unique(entries["key"], return_inverse=True, return_counts=True)
         again = np.split((times[which] > 1) & (entries["many"] == 0), offsets([len(p) for p in parts])[1:-1])
-        found = [b if s else p["at"][a].astype("<u4").tobytes() for b, s, p, a in zip(blobs, settled, parts, again, strict=True)]
+        found = [b if s else packed(p["at"][a].astype("<u4")) for b, s, p, a in zip(blobs, settled, parts, again, strict=True)]
         rows = table.column("rows")
         used = [o if r.is_valid else None for o, r in zip(table.column("owners").to_pylist(), rows, strict=True)]
         return pa.table([table.column("chunk"), pa.array(used, pa.binary()), rows, pa.array(found, pa.binary())], ["chunk", "owners", "rows", "entries"])
 
     def placed(table: pa.Table) -> pa.Table:
         ids, rows, ends = documents(table)
-        at = np.concatenate([np.frombuffer(b, "<u4") for b in table.column("entries").to_pylist()])
+        at = np.concatenate([unpacked(b, np.dtype("<u4")) for b in table.column("entries").to_pylist()])
         return by_document(ids, rows, ends, np.unique(at).astype(np.int64))
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
