@@ -13,6 +13,8 @@ are asked for before a pair is verified. Of two documents the smaller m holds.
    sets have one name from here on, so copies cost nothing more.
 2. The sketch gives the global order and the estimates; prefixes are written.
    Buckets with a single set are dropped.
+   A pair's sizes tell how much it has to share, and so how early; and parities
+   of PARITIES groups of shingles how much it differs at least. Both are asked for in the join.
 3. Stars first: each set is verified against the smallest and the largest of
    its buckets, if it shares more than one with them. This links most of a group of near copies with as many pairs as
    members. Then all pairs of a bucket that are in different components and
@@ -52,6 +54,11 @@ TEXT_BITS, KEY_BITS = 1 << 22, 1 << 26
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
+#: Two sets differ by at least as many shingles as their parities differ by bits.
+PARITIES = 256
+BITS = tuple(f"bits{i}" for i in range(PARITIES // 64))
+
+
 def least_overlap(size, percent: int):
     """Shingles that a set of a size shares with any that it links with."""
     return -(-size * percent // 100)
@@ -92,6 +99,12 @@ class Sets:
         bounds = (self.starts * 8).tolist()
         self.names = np.array([xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)], np.uint64).view(np.int64)
 
+    def parities(self) -> np.ndarray:
+        """PARITIES bits of each set, as longs: whether an odd number of its shingles falls on each."""
+        place = self.owner * PARITIES + ((self.hashes >> np.uint64(9)) % np.uint64(PARITIES)).astype(np.int64)
+        odd = np.bincount(place, minlength=len(self.sizes) * PARITIES) & 1
+        return np.packbits(odd.astype(np.uint8)).view(np.int64).reshape(len(self.sizes), -1)
+
     def distinct(self) -> np.ndarray:
         """The first document of each set that is not empty."""
         some = np.flatnonzero(self.sizes)
@@ -162,7 +175,7 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     docs = pick(docs, doc_id="long", text="string").select("doc_id", text_key(), "text")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "text_key", "n_shingles", "name", "block", "counts"]
+        names = ["doc_id", "text_key", "n_shingles", "name", *BITS, "block", "counts"]
         counts = np.zeros(SKETCH, np.int64)
         for batch, texts in chunks(batches, CHUNK_BYTES):
             sets = Sets(texts, words)
@@ -170,13 +183,15 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
             counts += np.bincount(cells(sets.hashes[counted]), minlength=SKETCH)
             n = len(texts)
             some = pa.array(sets.names, mask=sets.sizes == 0)
-            columns = [batch.column("doc_id"), batch.column("text_key"), pa.array(sets.sizes), some, pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())]
+            columns = [batch.column("doc_id"), batch.column("text_key"), pa.array(sets.sizes), some]
+            columns += [*map(pa.array, np.ascontiguousarray(sets.parities().T)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names)
         parts = [c.astype("<u4").tobytes() for c in np.split(np.minimum(counts, 0xFFFFFFFF), BLOCKS)]
-        columns = [*[pa.nulls(BLOCKS, pa.int64())] * 4, pa.array(range(BLOCKS), pa.int32()), pa.array(parts, pa.binary())]
+        columns = [*[pa.nulls(BLOCKS, pa.int64())] * (4 + len(BITS)), pa.array(range(BLOCKS), pa.int32()), pa.array(parts, pa.binary())]
         yield pa.RecordBatch.from_arrays(columns, names)
 
-    schema = "doc_id long, text_key long, n_shingles long, name long, block int, counts binary"
+    longs = ", ".join(f"{b} long" for b in BITS)
+    schema = f"doc_id long, text_key long, n_shingles long, name long, {longs}, block int, counts binary"
     first = materialize(docs.mapInArrow(hashed, schema), "sets")
 
     def summed(table: pa.Table) -> pa.Table:
@@ -189,7 +204,7 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
         sketch[row.block * (SKETCH // BLOCKS) : (row.block + 1) * (SKETCH // BLOCKS)] = np.frombuffer(row.counts, np.int64)
     noise = sketch.mean() + 3 * np.sqrt(sketch.mean())
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
-    kept = first.where("block IS NULL").select("doc_id", "text_key", "n_shingles", "name")
+    kept = first.where("block IS NULL").select("doc_id", "text_key", "n_shingles", "name", *BITS)
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in chunks(batches, CHUNK_BYTES):
@@ -197,7 +212,7 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
             counts = shared.value[cells(sets.hashes)]
             order = np.lexsort((sets.hashes, counts, sets.owner))
             hashes, estimates = sets.hashes[order], np.maximum(counts[order] - noise, 1)
-            keys, docs_of, sizes, wanted = [], [], [], []
+            keys, docs_of, sizes, wanted, places = [], [], [], [], []
             for i in sets.distinct():
                 a, n = sets.starts[i], int(sets.sizes[i])
                 m = matches_wanted(estimates[a : a + n], n, percent)
@@ -206,11 +221,12 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
                 docs_of.append(np.full(taken, sets.names[i]))
                 sizes.append(np.full(taken, n, np.int32))
                 wanted.append(np.full(taken, m, np.int8))
+                places.append(np.arange(taken, dtype=np.int32))
             if keys:
-                columns = [pa.array(np.concatenate(c)) for c in ([k.view(np.int64) for k in keys], docs_of, sizes, wanted)]
-                yield pa.RecordBatch.from_arrays(columns, ["key", "name", "size", "wanted"])
+                columns = [pa.array(np.concatenate(c)) for c in ([k.view(np.int64) for k in keys], docs_of, sizes, wanted, places)]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "name", "size", "wanted", "place"])
 
-    rows = docs.select("text").mapInArrow(prefixes, "key long, name long, size int, wanted byte")
+    rows = docs.select("text").mapInArrow(prefixes, "key long, name long, size int, wanted byte, place int")
     entries = materialize(rows, "prefixes")
     several = materialize(entries.groupBy("key").count().where("count > 1").select("key"), "several")
     entries = probed(entries, several, "key", KEY_BITS).join(several, "key").dropDuplicates(["key", "name"])
@@ -221,15 +237,15 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     met = entries.groupBy("name").agg(F.count("*").alias("n"), F.min(F.least("wanted", "least")).alias("m")).where("n >= m").select("name")
     entries = materialize(entries.join(met, "name"), "buckets")
 
-    sources = kept.join(met, "name").groupBy("name").agg(F.min(F.struct("doc_id", "text_key")).alias("row"))
-    sources = materialize(sources.select("name", F.col("row.doc_id").alias("doc_id"), F.col("row.text_key").alias("text_key")), "sources")
+    sources = kept.join(met, "name").groupBy("name").agg(F.min(F.struct("doc_id", "text_key", *BITS)).alias("row"))
+    sources = materialize(sources.select("name", "row.*"), "sources")
     docs = probed(docs, sources, "text_key", TEXT_BITS)
     texts = docs.join(sources, same_row(docs, sources)).select("name", "text").dropDuplicates(["name"])
     texts = materialize(texts, "texts")
 
     def verified(pairs: DataFrame) -> DataFrame:
         def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in (b.slice(i, 256) for b in batches for i in range(0, b.num_rows, 256)):
                 same = []
                 for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
                     p, q = shingles(x.encode(), words), shingles(y.encode(), words)
@@ -242,9 +258,6 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
         both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y")
         return materialize(both.mapInArrow(check, "a long, b long"), "links")
 
-    def near(x: str, y: str):
-        return 100 * F.least(x, y) >= percent * F.greatest(x, y)
-
     star = entries.select(F.col("name").alias("b"), F.explode(F.array("low", "high")).alias("a")).where("a <> b")
     star = star.groupBy("a", "b").count().where("count > 1")
     likeliest = Window.partitionBy("b").orderBy(F.desc("count"), "a")
@@ -252,13 +265,21 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     links = verified(star)
 
     found = components(links)
-    placed = entries.join(found, F.col("name") == F.col("node"), "left").select("key", "name", "size", "wanted", F.coalesce("component", "name").alias("component"))
+    placed = entries.join(found, F.col("name") == F.col("node"), "left").join(sources.select("name", *BITS), "name")
+    placed = placed.select("key", "name", "size", "wanted", "place", *BITS, F.coalesce("component", "name").alias("component"))
     placed = materialize(placed, "buckets")
     mixed_keys = placed.groupBy("key").agg(F.min("component").alias("p"), F.max("component").alias("q")).where("p < q").select("key")
     open_rows = placed.join(mixed_keys, "key")
-    left = open_rows.select("key", *[F.col(c).alias(f"{c}_a") for c in ("name", "size", "wanted", "component")])
-    right = open_rows.select("key", *[F.col(c).alias(f"{c}_b") for c in ("name", "size", "wanted", "component")])
-    pairs = left.join(right, "key").where((F.col("name_a") < F.col("name_b")) & (F.col("component_a") != F.col("component_b")) & near("size_a", "size_b"))
+    columns = [c for c in placed.columns if c != "key"]
+    left, right = (open_rows.select("key", *[F.col(c).alias(f"{c}_{side}") for c in columns]) for side in "ab")
+    # the least overlap of this pair; what they share that often is among the first of both
+    overlap = F.ceil((F.col("size_a") + F.col("size_b")) * percent / (100 + percent))
+    wanted = F.least("wanted_a", "wanted_b")
+    early = [F.col(f"place_{side}") < F.col(f"size_{side}") - overlap + wanted for side in "ab"]
+    unlike = sum((F.bit_count(F.col(f"{b}_a").bitwiseXOR(F.col(f"{b}_b"))) for b in BITS), F.lit(0))
+    alike = unlike <= F.col("size_a") + F.col("size_b") - 2 * overlap
+    apart = (F.col("name_a") < F.col("name_b")) & (F.col("component_a") != F.col("component_b"))
+    pairs = left.join(right, "key").where(apart & early[0] & early[1] & alike)
     pairs = pairs.groupBy(F.col("name_a").alias("a"), F.col("name_b").alias("b")).agg(F.count("*").alias("n"), F.min(F.least("wanted_a", "wanted_b")).alias("m"))
     more = verified(pairs.where("n >= m").join(star.select("a", "b").union(star.select("b", "a")), ["a", "b"], "left_anti"))
     found = components(links.unionByName(more))
