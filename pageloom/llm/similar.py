@@ -265,9 +265,22 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     links = verified(star)
 
     found = components(links)
-    placed = entries.join(found, F.col("name") == F.col("node"), "left").join(sources.select("name", *BITS), "name")
-    placed = placed.select("key", "name", "size", "wanted", "place", *BITS, F.coalesce("component", "name").alias("component"))
-    placed = materialize(placed, "buckets")
+
+    def with_components() -> DataFrame:
+        rows = entries.join(found, F.col("name") == F.col("node"), "left").join(sources.select("name", *BITS), "name")
+        rows = rows.select("key", "name", "size", "wanted", "place", *BITS, F.coalesce("component", "name").alias("component"))
+        return materialize(rows, "buckets")
+
+    # once more, against the ends of each bucket by component
+    placed = with_components()
+    edge = F.struct("component", "name")
+    ends = placed.groupBy("key").agg(F.min(edge).alias("low"), F.max(edge).alias("high")).where("low.component < high.component")
+    again = placed.join(ends, "key").select(F.col("name").alias("b"), "component", F.explode(F.array("low", "high")).alias("hub"))
+    again = again.where("hub.component <> component").groupBy(F.col("hub.name").alias("a"), "b").count().where("count > 1")
+    again = again.withColumn("place", F.row_number().over(likeliest)).where("place <= 2")
+    links = materialize(links.unionByName(verified(again)), "links")
+    found = components(links)
+    placed = with_components()
     mixed_keys = placed.groupBy("key").agg(F.min("component").alias("p"), F.max("component").alias("q")).where("p < q").select("key")
     open_rows = placed.join(mixed_keys, "key")
     columns = [c for c in placed.columns if c != "key"]
@@ -281,7 +294,7 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     apart = (F.col("name_a") < F.col("name_b")) & (F.col("component_a") != F.col("component_b"))
     pairs = left.join(right, "key").where(apart & early[0] & early[1] & alike)
     pairs = pairs.groupBy(F.col("name_a").alias("a"), F.col("name_b").alias("b")).agg(F.count("*").alias("n"), F.min(F.least("wanted_a", "wanted_b")).alias("m"))
-    more = verified(pairs.where("n >= m").join(star.select("a", "b").union(star.select("b", "a")), ["a", "b"], "left_anti"))
+    more = verified(pairs.where("n >= m"))
     found = components(links.unionByName(more))
 
     rows = kept.join(found, kept["name"] == found["node"], "left").select(kept["*"], F.coalesce("component", "name").alias("component"))
