@@ -36,7 +36,7 @@ PIECE_CHARS = 1 << 16
 #: Longer words are encoded in halves.
 LEAF_CHARS = 1 << 12
 #: Words whose tokens a task remembers.
-MEMO_WORDS = 1_000_000
+MEMO_WORDS = 600_000
 #: Bytes of text that a task encodes at a time.
 CHUNK_BYTES = 6 << 20
 

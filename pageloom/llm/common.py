@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -62,6 +63,20 @@ def raw_texts(column: pa.Array) -> list[bytes]:
 
 def chunks(batches: Iterator[pa.RecordBatch], limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Runs of rows whose texts together reach the limit, with their texts."""
+    try:
+        yield from _chunks(batches, limit)
+    finally:
+        give_back()
+
+
+def give_back() -> None:
+    """Return memory that a task no longer uses to the system; its process lives on."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     for batch in batches:
         texts = raw_texts(batch.column("text"))
         start = size = 0

@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 from pageloom.llm.common import chunks, pick, ragged, typed
 
 PASSAGE = 512
+#: Bytes of text described at a time; each takes about 80 bytes meanwhile.
+CHUNK_BYTES = 1 << 20
 SAMPLE = 6000
 SAMPLE_PASSAGES = 32
 
@@ -187,7 +189,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
     found = pick(docs, doc_id="long", text="string").join(F.broadcast(chosen), "doc_id")  # at most sample rows
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in chunks(batches):
+        for batch, texts in chunks(batches, CHUNK_BYTES):
             x, passages = features([t[: SAMPLE_PASSAGES * PASSAGE] for t in texts])
             cut = np.split(x, np.cumsum(passages)[:-1])
             columns = [batch.column("doc_id"), batch.column("label"), pa.array([c.tobytes() for c in cut], pa.binary())]
@@ -209,7 +211,7 @@ def score(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ()) -> D
         return docs.withColumn("score", F.lit(0.5))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in chunks(batches, 4 << 20):
+        for batch, texts in chunks(batches, CHUNK_BYTES):
             got = model.scores(*features(texts))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got, pa.float64())], [*batch.schema.names, "score"])
 
