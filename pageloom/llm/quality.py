@@ -7,9 +7,10 @@ the weighted mean is classified. Only documents have labels; what to look at is
 learned from them.
 
 The classifier is fitted in numpy on a bounded sample: at most SAMPLE labelled
-documents, those with the smallest hash of doc_id, and of each at most
-SAMPLE_PASSAGES passages (every document is scored with all of its passages).
-Everything else is a pass over the rows.
+documents, those with the smallest hash of doc_id, each with all of its
+passages. Where documents are long, fewer are taken: no further one after those
+taken have SAMPLE_PASSAGES passages together. Everything else is a pass over
+the rows.
 
 Null texts are empty; an empty text has one empty passage and gets a score like
 any other. Labels without doc_id or value are left out, of several labels of a
@@ -26,13 +27,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pageloom.llm.common import chunks, pick, ragged, typed
+from pageloom.llm.common import chunks, offsets, pick, ragged, typed
 
 PASSAGE = 512
 #: Bytes of text described at a time; each takes about 80 bytes meanwhile.
 CHUNK_BYTES = 1 << 20
 SAMPLE = 6000
-SAMPLE_PASSAGES = 32
+#: Passages of all sampled documents together, about 200 MB; the last document may exceed it.
+SAMPLE_PASSAGES = 192_000
 
 #: Kind of each byte: small and capital letter, digit, blank, line end, other control, bytes of
 #: characters beyond ASCII (first, further), then . , | and four groups of marks, and the rest.
@@ -187,19 +189,26 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
     labels = labels.groupBy("doc_id").agg(F.max("label").alias("label"))
     chosen = labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     found = pick(docs, doc_id="long", text="string").join(F.broadcast(chosen), "doc_id")  # at most sample rows
+    found = found.withColumn("place", F.struct(F.xxhash64("doc_id").alias("hash"), "doc_id", F.xxhash64("text").alias("text_key")))
+    passages = F.greatest(F.lit(1), F.ceil(F.octet_length("text") / PASSAGE))
+    # rows that share a doc_id could be more than the sample
+    sizes = found.select("place", passages.alias("passages")).orderBy("place").limit(sample).collect()
+    if not sizes:
+        return None
+    before = offsets([r.passages for r in sizes])[:-1]
+    taken = int((before < SAMPLE_PASSAGES).sum())
+    last = sizes[taken - 1].place
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in chunks(batches, CHUNK_BYTES):
-            x, passages = features([t[: SAMPLE_PASSAGES * PASSAGE] for t in texts])
+            x, passages = features(texts)
             cut = np.split(x, np.cumsum(passages)[:-1])
-            columns = [batch.column("doc_id"), batch.column("label"), pa.array([c.tobytes() for c in cut], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "label", "x"])
+            columns = [batch.column("place"), batch.column("label"), pa.array([c.tobytes() for c in cut], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["place", "label", "x"])
 
-    rows = found.mapInArrow(described, "doc_id long, label double, x binary")
-    # rows that share a doc_id could be more than the sample
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "x").limit(sample).toArrow()
-    if not rows.num_rows:
-        return None
+    within = F.col("place") <= F.struct(*[F.lit(v).cast("long").alias(k) for k, v in last.asDict().items()])
+    rows = found.where(within).select("text", "place", "label").mapInArrow(described, typed(found, "place", "label") + ", x binary")
+    rows = rows.orderBy("place").limit(taken).toArrow()
     parts = [np.frombuffer(b, np.float32).reshape(-1, FEATURES) for b in rows.column("x").to_pylist()]
     return fit(np.concatenate(parts), np.array([len(p) for p in parts]), rows.column("label").to_numpy())
 

@@ -59,3 +59,25 @@ def test_passages_of_texts():
     assert passages.tolist() == [1, 1, 2, 1] and x.shape == (5, quality.FEATURES)
     alone = [quality.features([t])[0] for t in (b"", b"a" * 512, b"a" * 513, b"ab ab")]
     assert np.allclose(x, np.concatenate(alone))
+
+
+def test_documents_are_learned_from_whole(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    words = ["the", "river", "went", "under", "a", "stone", "bridge", "and", "people", "walked"]
+
+    def text(i, bad):
+        clean = " ".join(rng.choice(words, 4000))[: 40 * quality.PASSAGE]
+        return clean + ("%$#@ 0193 {}" * 200 if bad else " ".join(rng.choice(words, 480))[:2400])
+
+    rows = [(i, text(i, i % 2), 1, "x") for i in range(160)]
+    docs = spark.createDataFrame(rows, DOCS).repartition(8)
+    labels = spark.createDataFrame([(i, 1 - i % 2, "x") for i in range(120)], LABELS)
+    got = {r.doc_id: r.score for r in quality.score(docs, quality.train(docs, labels)).collect()}
+    assert all((got[i] > 0.5) == (i % 2 == 0) for i in range(120, 160))
+
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda x, passages, labels: seen.append((len(x), passages.tolist())))
+    monkeypatch.setattr(quality, "SAMPLE_PASSAGES", 100)
+    quality.train(docs, labels)
+    whole = {len(quality.features([t.encode()])[0]) for _, t, *_ in rows}
+    assert len(seen[0][1]) == 3 and set(seen[0][1]) <= whole and seen[0][0] == sum(seen[0][1])
