@@ -11,6 +11,8 @@ those are compared exactly, by cosine in double precision.
   query goes to the blocks of its cells. Queries, too, are dealt into groups of
   BLOCK_ROWS, so that what meets in a task is bounded. The pairs of a block and
   a group are matrix products.
+* Ids can repeat among the nearest, the query's own as well. Of each id the k
+  best are kept, and of those the 2 k best: without any one id k are left.
 * Equal vectors are one entry with the k + 1 smallest ids: no others can be
   among anyone's k nearest, as ties go to the smaller id.
 
@@ -92,6 +94,32 @@ def matrix(column: pa.Array, size: int) -> np.ndarray:
     return out / np.sqrt((out**2).sum(1, keepdims=True))
 
 
+def needed(scores: np.ndarray, first: np.ndarray, ends: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Entries that hold the 2 k best rows if of each id only the k best count, best first.
+
+    first: first id of each entry; ids: those of all entries, up to ends.
+    """
+    size = 4 * k
+    while True:
+        size = min(size, len(scores))
+        order = np.flatnonzero(scores >= np.partition(scores, -size)[-size])
+        order = order[scores[order] > -np.inf]
+        order = order[np.lexsort((first[order], -scores[order]))]
+        kept, times, whole = [], {}, 0  # whole: entries whose first id counts
+        for e in order.tolist():
+            if whole >= 2 * k or (len(kept) >= 2 * k and scores[e] < scores[kept[2 * k - 1]]):
+                return np.array(kept, np.int64)
+            mine = ids[ends[e] : ends[e + 1]].tolist()
+            if any(times.get(i, 0) < k for i in mine):
+                kept.append(e)
+                whole += times.get(mine[0], 0) < k
+                for i in mine:
+                    times[i] = times.get(i, 0) + 1
+        if size == len(scores):
+            return np.array(kept, np.int64)
+        size *= 4
+
+
 def usable() -> Column:
     whole = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     return F.col("vec_id").isNotNull() & F.coalesce(whole, F.lit(False)) & F.exists("embedding", lambda x: x != 0)
@@ -109,7 +137,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, share: float = S
     entries = entries.groupBy("embedding").agg(F.array_sort(F.collect_set("vec_id")).alias("ids"))
     entries = materialize(entries, "vectors")
     sample = entries.orderBy(F.xxhash64("ids"), "ids").limit(SAMPLE_ROWS).select("embedding").toArrow()
-    asked = materialize(queries.groupBy("embedding").agg(F.min("vec_id").alias("asked")), "queries")
+    asked = materialize(queries.groupBy("embedding").agg(F.min("vec_id").alias("id")).select("embedding", F.xxhash64("embedding", "id").alias("asked")), "queries")
     none = "query_id long, rank int, vec_id long, score double"
     total, queried = entries.count(), asked.count()
     if not total or not queried:
@@ -172,6 +200,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, share: float = S
             cell = entries.column("cell").to_numpy()
             lists = entries.column("ids").combine_chunks()
             ids = lists.values.to_numpy()[lists.offsets.to_numpy()[:-1]]
+            ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
             lists_of_cells = asked.column("cells").to_pylist()
             for start in range(0, len(q), 256):
                 score = np.clip(q[start : start + 256] @ x.T, -1, 1)
@@ -180,9 +209,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, share: float = S
                     seen[i, np.frombuffer(blob, np.int32)] = True
                 score[~seen[:, cell]] = -np.inf
                 for i, s in enumerate(score):
-                    best = np.flatnonzero(s >= np.partition(s, -min(k + 1, len(s)))[-min(k + 1, len(s))])
-                    best = best[np.lexsort((ids[best], -s[best]))][: k + 1]
-                    best = best[s[best] > -np.inf]
+                    best = needed(s, ids, ends, flat, k)
                     rows += [start + i] * len(best)
                     at += best.tolist()
                     scores += s[best].tolist()
@@ -198,7 +225,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, share: float = S
         .applyInArrow(compared, "asked long, ids array<long>, score double")
     )
     best = Window.partitionBy("asked").orderBy(F.desc("score"), "vec_id")
-    ranked = found.select("asked", "score", F.explode("ids").alias("vec_id")).withColumn("place", F.row_number().over(best)).where(F.col("place") <= k + 1)
+    of_id = Window.partitionBy("asked", "vec_id").orderBy(F.desc("score"))
+    ranked = found.select("asked", "score", F.explode("ids").alias("vec_id")).withColumn("place", F.row_number().over(of_id)).where(F.col("place") <= k)
+    ranked = ranked.withColumn("place", F.row_number().over(best)).where(F.col("place") <= 2 * k)
     lists = ranked.groupBy("asked").agg(F.array_sort(F.collect_list(F.struct("place", "vec_id", "score"))).alias("near"))
     answers = asked.join(lists, "asked").select("embedding", "near")
     others = F.slice(F.filter("near", lambda x: x["vec_id"] != F.col("query_id")), 1, k)

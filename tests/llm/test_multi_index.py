@@ -69,3 +69,29 @@ def test_cells_come_in_the_order_of_their_distance():
     cells = multi_index.traverse(left, right, sizes, 10**9)
     total = (left[:, None] + right).ravel()
     assert cells == [c for c in total.argsort() if sizes[c]]
+
+
+def test_vectors_that_share_an_id(spark):
+    rng = np.random.default_rng(3)
+    near = [1.0, 0, 0, 0, 0, 0]
+    rows = [(0, (near + rng.normal(0, 0.01, 6)).astype(np.float32).tolist()) for _ in range(12)]
+    rows += [(0, [0.0, 0.0, 0.0, 0.0, 0.0, 1.0])] + [(i, rng.normal(size=6).astype(np.float32).tolist()) for i in range(1, 40)]
+    rows += [(50, rows[0][1]), (51, rows[0][1])]
+    vectors = spark.createDataFrame([(i, v, 0, "x", "y") for i, v in rows], SCHEMA)
+    x = np.array([v for _, v in rows], float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    ids = np.array([i for i, _ in rows])
+    for asked in (rows[0], rows[-1]):  # each alone: both have the query's own id or another one among the nearest many times
+        queries = spark.createDataFrame([(*asked, 0, "x", "y")], SCHEMA)
+        scores = x @ (np.array(asked[1], float) / np.linalg.norm(asked[1]))
+        want = [(int(ids[j]), scores[j]) for j in np.lexsort((ids, -np.round(scores, 12))) if ids[j] != asked[0]][:5]
+        got = answers(multi_index.nearest(vectors, queries))[asked[0]]
+        assert [i for i, _ in got] == [i for i, _ in want] and np.allclose([s for _, s in got], [s for _, s in want], atol=1e-12)
+    # two vectors of one id: each has answers of its own
+    queries = spark.createDataFrame([(*r, 0, "x", "y") for r in (rows[0], rows[12])], SCHEMA)
+    got = sorted((round(r.score, 9), r.vec_id) for r in multi_index.nearest(vectors, queries).collect())
+    want = []
+    for at in (0, 12):
+        scores = x @ x[at]
+        want += [(round(scores[j], 9), int(ids[j])) for j in np.lexsort((ids, -np.round(scores, 12))) if ids[j] != 0][:5]
+    assert got == sorted(want)
