@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.llm import bilinear, bpe, fingerprints, licenses, multi_index, packing, quality, similar, substrings, suffixes
+from pageloom.llm import bilinear, bpe, fingerprints, licenses, multi_index, packing, periodic, quality, similar, substrings, suffixes
 from pageloom.llm.common import materialize
 
 CAPACITY = 4096
@@ -190,6 +190,65 @@ def op10_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.collapse(periodic.with_looped_tails(table(spark, sf_dir, "documents")))
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"], r["period"])))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    by_place = F.array_sort("runs", lambda a, b: F.when(a["start"] != b["start"], F.signum(a["start"] - b["start"])).otherwise(F.signum(a["period"] - b["period"])).cast("int"))
+    found = found.select("doc_id", by_place.alias("runs"), "collapsed_text", longest.alias("longest"))
+    start, length, period = F.col("longest.start"), -F.col("longest.less"), F.col("longest.period")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        start.alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed_text", 256).alias("collapsed_sha256"),
+    )
+
+
+OP11_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    xor(list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+      lambda c, b: list_reduce(
+        list_prepend(xor(c, b), range(8)), lambda d, ignored: CASE WHEN d % 2 = 1 THEN xor(d // 2, 3988292384::BIGINT) ELSE d // 2 END
+      )
+    ), 4294967295::BIGINT) AS h
+  FROM documents
+),
+tails AS (SELECT *, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a FROM texts),
+loops AS (SELECT *, 1 + (len(w) - a) // (3 + (h // 10) % 8) AS p FROM tails),
+edited AS (
+  SELECT doc_id, CASE WHEN a IS NULL THEN w ELSE list_transform(range(len(w)), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) END AS w
+  FROM loops
+),
+words AS (SELECT doc_id, len(w) AS n, unnest(w) AS word, unnest(range(len(w))) AS i FROM edited),
+same AS (
+  SELECT x.doc_id, y.i - x.i AS q, x.i AS i FROM words x JOIN words y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n
+),
+stretches AS (
+  SELECT doc_id, q, min(i) AS s, count(*) + q AS l
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS g FROM same)
+  GROUP BY doc_id, q, g HAVING count(*) + q >= greatest(6, 4 * q)
+),
+runs AS (SELECT doc_id, s, l, min(q) AS q FROM stretches GROUP BY doc_id, s, l),
+per_doc AS (
+  SELECT doc_id, count(*) AS n_runs, min(struct_pack(less := -l, s := s, q := q)) AS best,
+    string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS lines
+  FROM runs GROUP BY doc_id
+),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + l)) AS i FROM runs),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best.s::BIGINT AS start, (-best.less)::BIGINT AS length, best.q::BIGINT AS period,
+  ((-1000 * best.less) // best.q)::BIGINT AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(t, '')) AS collapsed_sha256
+FROM texts LEFT JOIN per_doc USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
@@ -203,6 +262,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_attention_quality,
         op9_adaptive_prefix_join,
         op10_bin_slack_packing,
+        op11_periodic_runs,
     )
 }
 
@@ -210,4 +270,5 @@ ORACLE: dict[str, str] = {
     "op2_license_scan": op2_sql(),
     "op4_recompressed_passages": OP4_SQL,
     "op9_adaptive_prefix_join": OP9_SQL,
+    "op11_periodic_runs": OP11_SQL,
 }
