@@ -38,6 +38,22 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Groups that joined_back broadcasts are larger than this share of all rows, so they are fewer than this.
+HOT_GROUPS = 256
+
+
+def joined_back(rows: DataFrame, groups: DataFrame, keys: list[str], total: int) -> DataFrame:
+    """Rows with the columns of their group; groups: one row for each value of the keys, and `times`, its rows of the total.
+
+    Groups with more than a HOT_GROUPS-th of the rows are fewer than HOT_GROUPS
+    and come to the rows; all other rows meet their group in a shuffle.
+    """
+    large = F.broadcast(groups.where(F.col("times") * HOT_GROUPS > total))
+    small = groups.where(F.col("times") * HOT_GROUPS <= total)
+    others = rows.join(large.select(*keys), keys, "left_anti")
+    return rows.join(large, keys).unionByName(others.join(small, keys))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

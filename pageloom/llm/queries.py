@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.llm import bilinear, bpe, fingerprints, licenses, multi_index, packing, periodic, quality, similar, substrings, suffixes
+from pageloom.llm import (
+    bilinear,
+    bpe,
+    fingerprints,
+    licenses,
+    multi_index,
+    near_vectors,
+    packing,
+    periodic,
+    quality,
+    similar,
+    substrings,
+    suffixes,
+    whitening,
+)
 from pageloom.llm.common import materialize
 
 CAPACITY = 4096
@@ -249,6 +263,17 @@ FROM texts LEFT JOIN per_doc USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
 
+def op12_weighted_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    rows = done.select("vec_id", "n", "deviation", "explained", "identity_error", F.posexplode("whitened").alias("place", "whitened"))
+    component = F.col("place") + 1
+    return rows.select("vec_id", component.alias("component"), "n", "deviation", "whitened", F.get("explained", "place").alias("explained"), "identity_error")
+
+
+def op13_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.link(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
@@ -263,6 +288,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_adaptive_prefix_join,
         op10_bin_slack_packing,
         op11_periodic_runs,
+        op12_weighted_whitening,
+        op13_near_vectors,
     )
 }
 
