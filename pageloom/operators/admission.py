@@ -9,11 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pageloom.columns import column_or_null
-from pageloom.functions.metadata import COLUMN_KEYS, caller_loc, caller_pdf, without_keys
+from pageloom.columns import column_or_null, held_column, is_open
+from pageloom.functions.metadata import COLUMN_KEYS, caller_keys, caller_loc, caller_pdf, without_keys
 from pageloom.functions.paths import file_ext
 from pageloom.options import LoadOptions
-from pageloom.schemas import FILES, LOC, PDF, STRING_MAP
+from pageloom.schemas import FILES, LOC, OPEN_MAP, OPEN_PDF, PDF, STRING_MAP
 
 # Messages.
 SOURCE_REQUIRED = "File path is required in metadata.source"
@@ -27,19 +27,27 @@ def ingest_table(df: DataFrame) -> DataFrame:
 
     Needs ``source`` and ``content``; ``extra``, ``loc``, ``pdf`` and ``error``
     (why the bytes could not be read) are optional. ``loc`` and ``pdf`` may
-    also sit in ``extra`` as JSON text.
+    also sit in ``extra``, as objects or as JSON text.
+
+    ``extra`` is a map of strings, or holds typed values: a map of others, a
+    struct or a VARIANT object. Typed values stay typed in all that follows
+    (see ``caller_keys``), and so do those of ``pdf``.
     """
     df = df.select(
         F.col("source").cast("string"),
         F.col("content"),
-        *[column_or_null(df, name, FILES[name].dataType) for name in ("extra", "loc", "pdf", "error")],
+        caller_keys(df, "extra"),
+        held_column(df, "pdf", PDF, OPEN_PDF),
+        *[column_or_null(df, name, FILES[name].dataType) for name in ("loc", "error")],
     )
+    typed = is_open(df, "extra")
+    pdf_kind = OPEN_PDF if typed or is_open(df, "pdf") else PDF
     return df.select(
         "source",
         "content",
-        without_keys("extra", COLUMN_KEYS).cast(STRING_MAP).alias("extra"),
-        caller_loc(F.col("loc"), F.col("extra")).cast(LOC).alias("loc"),
-        caller_pdf(F.col("pdf"), F.col("extra")).cast(PDF).alias("pdf"),
+        without_keys("extra", COLUMN_KEYS).cast(OPEN_MAP if typed else STRING_MAP).alias("extra"),
+        caller_loc(F.col("loc"), F.col("extra"), typed).cast(LOC).alias("loc"),
+        F.coalesce(F.col("pdf").cast(pdf_kind), caller_pdf(F.lit(None), F.col("extra"), typed).cast(pdf_kind)).alias("pdf"),
         "error",
     )
 

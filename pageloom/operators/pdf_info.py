@@ -8,17 +8,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pageloom.columns import column_or_null
-from pageloom.schemas import PDF, STRING_MAP
+from pageloom.columns import is_open
+from pageloom.functions.metadata import caller_keys
+from pageloom.schemas import OPEN_PDF, PDF
 
 
 def doc_info(pdf_info: DataFrame) -> DataFrame:
-    """Complete the table: absent info or metadata columns become NULL."""
+    """Complete the table: absent info or metadata columns become NULL.
+
+    Both are maps of strings, or of typed values where the table has such (a
+    map, a struct or a VARIANT object).
+    """
     return pdf_info.select(
         "source",
         F.col("version").cast("string").alias("version"),
-        column_or_null(pdf_info, "info", STRING_MAP),
-        column_or_null(pdf_info, "metadata", STRING_MAP),
+        caller_keys(pdf_info, "info"),
+        caller_keys(pdf_info, "metadata"),
         F.col("num_pages").cast("int").alias("num_pages"),
     )
 
@@ -46,7 +51,10 @@ def attach_pdf_info(files: DataFrame, pdf_info: DataFrame) -> DataFrame:
     left is split by the adaptive skew join. Join names and short columns:
     before bytes are read, or answers joined, and never their rows.
     """
-    info = one_per_source(doc_info(pdf_info)).select(
+    info = one_per_source(doc_info(pdf_info))
+    typed = is_open(info, "info") or is_open(info, "metadata") or is_open(files, "pdf")
+    kind = OPEN_PDF if typed else PDF
+    info = info.select(
         "source",
         F.struct(
             "version",
@@ -55,9 +63,10 @@ def attach_pdf_info(files: DataFrame, pdf_info: DataFrame) -> DataFrame:
             F.col("num_pages").alias("totalPages"),
             F.lit(None).alias("loc"),
         )
-        .cast(PDF)
+        .cast(kind)
         .alias("read_pdf"),
     )
     joined = files.join(info, "source", "left")
     is_read = (F.col("kind") == "pdf") & F.col("read_pdf").isNotNull()
-    return joined.withColumn("pdf", F.when(is_read, F.col("read_pdf")).otherwise(F.col("pdf"))).drop("read_pdf")
+    pdf = F.when(is_read, F.col("read_pdf")).otherwise(F.col("pdf").cast(kind))
+    return joined.withColumn("pdf", pdf).drop("read_pdf")

@@ -11,12 +11,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pageloom.columns import column_or_null
-from pageloom.functions.metadata import image_loc, merged_extra, pdf_loc
+from pageloom.columns import column_or_null, held_column
+from pageloom.functions.metadata import caller_keys, image_loc, merged_extra, pdf_loc
 from pageloom.functions.regions import image_regions, page_dimensions
 from pageloom.functions.text import page_text
 from pageloom.operators.ocr import wrap_error
-from pageloom.schemas import LOC, PDF, RESPONSE, RESPONSE_PAGE, STRING_MAP
+from pageloom.schemas import LOC, OPEN_PDF, PDF, RESPONSE, RESPONSE_PAGE
 
 # Messages.
 MALFORMED_RESPONSE = "Malformed response structure"
@@ -76,9 +76,9 @@ def check_responses(responses: DataFrame) -> DataFrame:
     return parsed.select(
         "source",
         "kind",
-        column_or_null(parsed, "extra", STRING_MAP),
+        caller_keys(parsed, "extra"),
         column_or_null(parsed, "loc", LOC),
-        column_or_null(parsed, "pdf", PDF),
+        held_column(parsed, "pdf", PDF, OPEN_PDF),
         used_pages(kind, F.col("pages")).alias("pages"),
         F.coalesce(
             column_or_null(parsed, "refused", T.StringType()),

@@ -7,7 +7,7 @@ from typing import Literal
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pageloom.columns import column_or_null
+from pageloom.columns import held_column
 from pageloom.functions.media import Transcoder
 from pageloom.functions.paths import file_ext
 from pageloom.operators.admission import admit, fail_on_error, ingest_table, rejected, route_kind
@@ -16,7 +16,7 @@ from pageloom.operators.pdf_info import attach_pdf_info
 from pageloom.operators.request import build_requests
 from pageloom.operators.response import check_responses, response_rejects, to_documents
 from pageloom.options import LoadOptions
-from pageloom.schemas import PDF
+from pageloom.schemas import OPEN_PDF, PDF
 from pageloom.session import release, run_dir, stored
 from pageloom.sources.files import read_sources, scan_files, type_glob
 
@@ -126,7 +126,7 @@ def load_requested(
     before any bytes are read.
     """
     if pdf_info is not None:
-        paths = paths.withColumn("pdf", column_or_null(paths, "pdf", PDF))
+        paths = paths.withColumn("pdf", held_column(paths, "pdf", PDF, OPEN_PDF))
         routed = paths.withColumn("kind", route_kind(file_ext("source"), options.types))
         paths = attach_pdf_info(routed, pdf_info).drop("kind")
     return load_table(read_sources(paths), backend, options, None, transcoder, on_error)

@@ -48,19 +48,27 @@ REGION = T.StructType([
 ])
 
 STRING_MAP = T.MapType(T.StringType(), T.StringType())
+# Keys whose values have types of their own: numbers, booleans, lists, objects.
+OPEN_MAP = T.MapType(T.StringType(), T.VariantType())
 
-# ``version`` is that of the extracting library, not of the PDF file.
-PDF = T.StructType([
-    T.StructField("version", T.StringType()),
-    T.StructField("info", STRING_MAP),
-    T.StructField("metadata", STRING_MAP),
-    T.StructField("totalPages", T.IntegerType()),
-    T.StructField("loc", LOC),
-])
+
+def pdf_type(keys: T.MapType) -> T.StructType:
+    """``version`` is that of the extracting library, not of the PDF file."""
+    return T.StructType([
+        T.StructField("version", T.StringType()),
+        T.StructField("info", keys),
+        T.StructField("metadata", keys),
+        T.StructField("totalPages", T.IntegerType()),
+        T.StructField("loc", LOC),
+    ])
+
+
+PDF, OPEN_PDF = pdf_type(STRING_MAP), pdf_type(OPEN_MAP)
 
 # ``images`` is NULL only on combined documents, where images and dimensions
 # are absent; elsewhere it is a list (maybe empty) and ``dimensions`` an
-# explicit null when the service gave none.
+# explicit null when the service gave none. ``extra`` is OPEN_MAP and ``pdf``
+# OPEN_PDF where the caller's values, or the PDF's, are typed.
 METADATA = T.StructType([
     T.StructField("source", T.StringType()),
     T.StructField("images", T.ArrayType(REGION)),

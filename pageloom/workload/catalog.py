@@ -613,6 +613,58 @@ def load_stored_query(spark, sf_dir):
     )
 
 
+TYPED_SQL = f"""
+{STORED_SQL},
+typed AS (
+  SELECT s.*, d.n_chars, d.source AS origin, n_chars * 0.25 AS pages, n_chars > 2000 AS long
+  FROM sent s JOIN documents d USING (doc_id) WHERE s.error IS NULL
+)
+"""
+
+
+def typed_files(spark, sf_dir) -> DataFrame:
+    """The sent files with keys of several types, nested ones and one that a page overrides."""
+    docs = table(spark, sf_dir, "documents")
+    origin = F.struct(F.col("source").alias("name"), F.array("doc_id", F.col("doc_id") + 1).alias("ids"), F.lit(None).cast("int").alias("none"))
+    keys = F.struct(
+        "lang",
+        "n_chars",
+        (F.col("n_chars") * 0.25).alias("pages"),
+        (F.col("n_chars") > 2000).alias("long"),
+        origin.alias("origin"),
+        F.lit(3).alias("images"),
+        F.when(F.col("doc_id") % 3 == 0, F.struct((F.col("doc_id") % 7).cast("int").alias("pageNumber"))).alias("loc"),
+    )
+    name = F.concat(F.lit("/sent/"), F.col("doc_id"), F.when(F.col("doc_id") % 2 == 0, ".pdf").otherwise(".png"))
+    return docs.select(name.alias("source"), F.col("text").cast("binary").alias("content"), keys.alias("extra"))
+
+
+@query(f"""
+WITH {TYPED_SQL}
+SELECT doc_id, source, lang, n_chars, pages::DOUBLE AS pages, long, origin, [doc_id, doc_id + 1][2] AS second_id,
+  CASE WHEN doc_id % 2 = 0 THEN 6 ELSE 5 END AS n_keys,
+  CASE WHEN doc_id % 3 = 0 THEN doc_id % 7 WHEN doc_id % 2 = 1 THEN 1 END AS caller_page
+FROM typed
+""")
+def merge_metadata_typed(spark, sf_dir):
+    """Keys that hold numbers, booleans and nested values, merged and read back as what they are; a document for each file."""
+    files, options = typed_files(spark, sf_dir), LoadOptions(split_pages=False)
+    meta = F.col("metadata")
+    at = lambda key, path, kind: F.variant_get(meta["extra"][key], path, kind)
+    return load_stored(files, stored_answers(spark, sf_dir), options).documents.select(
+        at("origin", "$.ids[0]", "bigint").alias("doc_id"),
+        "source",
+        at("lang", "$", "string").alias("lang"),
+        at("n_chars", "$", "bigint").alias("n_chars"),
+        at("pages", "$", "double").alias("pages"),
+        at("long", "$", "boolean").alias("long"),
+        at("origin", "$.name", "string").alias("origin"),
+        at("origin", "$.ids[1]", "bigint").alias("second_id"),
+        F.size(meta["extra"]).alias("n_keys"),
+        long(meta["loc"]["pageNumber"], "caller_page"),
+    )
+
+
 @query(f"WITH {STORED_SQL} SELECT source, error FROM sent WHERE error IS NOT NULL")
 def wrap_error(spark, sf_dir):
     return load_stored(sent_files(spark, sf_dir), stored_answers(spark, sf_dir)).rejects
@@ -931,3 +983,27 @@ FROM answer_pages
 def page_report(spark, sf_dir):
     pages = report.page_report(response.to_documents(inputs.pdf_answers(spark, sf_dir)))
     return pages.select("source", long("page"), "preview", "metadata")
+
+
+@query(f"""
+WITH {TYPED_SQL}
+SELECT source, CAST(1 AS BIGINT) AS page, substring(replace(text, chr(10), chr(10) || chr(10)), 1, 200) || '...' AS preview,
+  '{{' || chr(10) || '  "source": "' || source || '",' || chr(10)
+  || '  "lang": "' || lang || '",' || chr(10)
+  || '  "n_chars": ' || n_chars || ',' || chr(10)
+  || '  "pages": ' || regexp_replace(pages::DECIMAL(18, 2)::VARCHAR, '\\.?0+$', '') || ',' || chr(10)
+  || '  "long": ' || long || ',' || chr(10)
+  || '  "origin": {{' || chr(10) || '    "ids": [' || chr(10) || '      ' || doc_id || ',' || chr(10)
+  || '      ' || (doc_id + 1) || chr(10) || '    ],' || chr(10)
+  || '    "name": "' || origin || '",' || chr(10) || '    "none": null' || chr(10) || '  }},' || chr(10)
+  || '  "images": 3'
+  || CASE WHEN doc_id % 3 = 0 THEN ',' || chr(10) || '  "loc": {{' || chr(10) || '    "pageNumber": ' || (doc_id % 7) || chr(10) || '  }}' ELSE '' END
+  || chr(10) || '}}' AS metadata
+FROM typed WHERE doc_id % 2 = 0
+""")
+def page_report_typed(spark, sf_dir):
+    """The report of whole PDFs whose caller gave numbers, booleans and nested values."""
+    files, options = typed_files(spark, sf_dir), LoadOptions(split_pages=False)
+    documents = load_stored(files, stored_answers(spark, sf_dir), options).documents
+    pages = report.page_report(documents.where(F.col("source").endswith(".pdf")))
+    return pages.select("source", long("page"), "preview", "metadata")
