@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pageloom.columns import is_open
 from pageloom.functions.metadata import caller_keys
@@ -51,22 +52,38 @@ def attach_pdf_info(files: DataFrame, pdf_info: DataFrame) -> DataFrame:
     left is split by the adaptive skew join. Join names and short columns:
     before bytes are read, or answers joined, and never their rows.
     """
-    info = one_per_source(doc_info(pdf_info))
-    typed = is_open(info, "info") or is_open(info, "metadata") or is_open(files, "pdf")
-    kind = OPEN_PDF if typed else PDF
-    info = info.select(
-        "source",
-        F.struct(
-            "version",
-            "info",
-            "metadata",
-            F.col("num_pages").alias("totalPages"),
-            F.lit(None).alias("loc"),
-        )
-        .cast(kind)
-        .alias("read_pdf"),
-    )
+    info, kind = read_pdf(pdf_info, is_open(files, "pdf"))
     joined = files.join(info, "source", "left")
     is_read = (F.col("kind") == "pdf") & F.col("read_pdf").isNotNull()
     pdf = F.when(is_read, F.col("read_pdf")).otherwise(F.col("pdf").cast(kind))
     return joined.withColumn("pdf", pdf).drop("read_pdf")
+
+
+def read_pdf(pdf_info: DataFrame, typed: bool = False) -> tuple[DataFrame, T.StructType]:
+    """``(source, read_pdf)``, one row per source, and the type of what is read; ``typed`` asks for typed values."""
+    info = one_per_source(doc_info(pdf_info))
+    kind = OPEN_PDF if typed or is_open(info, "info") or is_open(info, "metadata") else PDF
+    read = F.struct("version", "info", "metadata", F.col("num_pages").alias("totalPages"), F.lit(None).alias("loc"))
+    return info.select("source", read.cast(kind).alias("read_pdf")), kind
+
+
+def task_info(files: DataFrame, pdf_info: DataFrame, folder: str) -> T.StructType:
+    """Write the info of the files' sources to a folder, by the number of the task that reads each file.
+
+    Only names and info meet in a join and move: a file's row, with its bytes,
+    stays where it is, and ``apply_ocr`` takes its info from the folder. Every
+    source is there, with NULL if it was not read. Returned is the type of the info.
+    """
+    info, kind = read_pdf(pdf_info, is_open(files, "pdf"))
+    names = files.select("source", F.spark_partition_id().alias("task")).where("source IS NOT NULL").distinct()
+    keyed = names.join(info, "source", "left").select("task", "source", F.to_json("read_pdf").alias("read_pdf"))
+    # A task's sources in one file.
+    keyed.repartition("task").write.partitionBy("task").parquet(folder)
+    return kind
+
+
+def with_task_info(answers: DataFrame, kind: T.StructType) -> DataFrame:
+    """``pdf`` of answered rows that came with ``read_pdf``."""
+    read = F.from_json("read_pdf", kind)
+    is_read = (F.col("kind") == "pdf") & read.isNotNull()
+    return answers.withColumn("pdf", F.when(is_read, read).otherwise(F.col("pdf").cast(kind))).drop("read_pdf")

@@ -6,19 +6,20 @@ from dataclasses import dataclass
 from typing import Literal
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pageloom.columns import held_column
 from pageloom.functions.media import Transcoder
 from pageloom.functions.paths import file_ext
 from pageloom.operators.admission import admit, fail_on_error, ingest_table, rejected, route_kind
 from pageloom.operators.ocr import BackendFactory, apply_ocr, stored_responses
-from pageloom.operators.pdf_info import attach_pdf_info
+from pageloom.operators.pdf_info import attach_pdf_info, task_info, with_task_info
 from pageloom.operators.request import build_requests
 from pageloom.operators.response import check_responses, response_rejects, to_documents
 from pageloom.options import LoadOptions
 from pageloom.schemas import OPEN_PDF, PDF
 from pageloom.session import release, run_dir, stored
-from pageloom.sources.files import read_sources, scan_files, type_glob
+from pageloom.sources.files import list_files, listable, read_sources, scan_files, type_glob
 
 OnError = Literal["collect", "fail"]
 
@@ -78,15 +79,31 @@ def load_table(
 ) -> LoadResult:
     """Documents and rejects of a table of files.
 
-    ``files`` is read once and the service called once per admitted file,
-    while this function runs. With ``on_error="fail"`` a bad file raises its
-    message.
+    The bytes of ``files`` are read once and the service called once per
+    admitted file, while this function runs; a task that is tried again does
+    not repeat its calls. With ``on_error="fail"`` a bad file raises its message.
+
+    PDF info is joined to names alone, in a job of its own that does not read
+    bytes, and taken up by the tasks that make the calls: neither bytes nor
+    answers are shuffled, however large the info table is.
     """
+    spark = files.sparkSession
     admitted = admit(ingest_table(files), options)
-    if on_error == "fail":
-        admitted = fail_on_error(admitted)
-    answers = apply_ocr(build_requests(admitted, options, transcoder), backend)
-    return load_responses(answers, options, pdf_info, on_error)
+    scratch = run_dir(spark, "calls")
+    try:
+        info = kind = None
+        if pdf_info is not None:
+            info = f"{scratch}/info"
+            kind = task_info(admitted, pdf_info, info)
+        if on_error == "fail":
+            admitted = fail_on_error(admitted)
+        requests = build_requests(admitted, options, transcoder)
+        answers = apply_ocr(requests, backend, journal=f"{scratch}/answers", info=info)
+        if kind is not None:
+            answers = with_task_info(answers, kind)
+        return load_responses(answers, options, None, on_error)
+    finally:
+        release(spark, scratch)
 
 
 def load_stored(
@@ -141,10 +158,47 @@ def load_path(
     transcoder: Transcoder | None = None,
     on_error: OnError = "collect",
 ) -> LoadResult:
-    """Documents and rejects of all files below ``root``.
+    """Documents and rejects of all files below ``root``, whatever their names.
+
+    The tree is listed once, in tasks. Its names are routed and joined to the
+    PDF info; then the files of supported types are opened, where their short
+    rows are. Folders given as patterns, or on file systems that only Spark
+    reads, are scanned by Spark instead (see ``load_scanned``).
+    """
+    if not listable(spark, root):
+        return load_scanned(spark, root, backend, options, pdf_info, transcoder, on_error)
+    listing = list_files(spark, root)
+    try:
+        paths = listed_paths(listing.files, options, pdf_info)
+        if on_error == "fail":
+            _raise_first(rejected(admit(paths, options)))
+        return load_table(read_sources(paths, opened="opened"), backend, options, None, transcoder, on_error)
+    finally:
+        listing.close()
+
+
+def listed_paths(listed: DataFrame, options: LoadOptions, pdf_info: DataFrame | None) -> DataFrame:
+    """Listed names with their PDF info and, in ``opened``, whether they are to be read."""
+    paths = listed.withColumn("kind", route_kind(file_ext("source"), options.types))
+    if pdf_info is not None:
+        paths = attach_pdf_info(paths.withColumn("pdf", F.lit(None).cast(PDF)), pdf_info)
+    return paths.withColumn("opened", F.col("kind").isNotNull()).drop("kind")
+
+
+def load_scanned(
+    spark: SparkSession,
+    root: str | list[str],
+    backend: BackendFactory,
+    options: LoadOptions = LoadOptions(),
+    pdf_info: DataFrame | None = None,
+    transcoder: Transcoder | None = None,
+    on_error: OnError = "collect",
+) -> LoadResult:
+    """As ``load_path``, through Spark's own scan of any file system and pattern.
 
-    Files of other types are not opened: they are found by a second scan that
-    reads names only.
+    The driver lists the tree, and names that start with ``.`` or ``_`` are not
+    seen. Files of other types are not opened: they are found by a second scan
+    that reads names only.
     """
     if type_glob(options.types) is None:
         return load_table(scan_files(spark, root), backend, options, pdf_info, transcoder, on_error)

@@ -1,19 +1,26 @@
-"""File scans: a directory tree, or a table of paths."""
+"""File scans: a directory tree, or a table of paths.
+
+A tree is listed in tasks, a level of folders at a time, so its names never
+pass the driver. ``scan_files`` is Spark's own scan, for file systems that only
+Spark reads.
+"""
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pageloom.functions.paths import plain_path
 from pageloom.operators.admission import FILE_NOT_FOUND, NO_PATH
 from pageloom.options import LoadOptions
-from pageloom.session import spread
+from pageloom.session import release, run_dir, spread
 from pageloom.sources.systems import Systems, default_system
 
 # Bytes of file content per Arrow batch handed back to Spark.
@@ -22,6 +29,13 @@ BATCH_BYTES = 32 << 20
 # Files that a task reads.
 FILES_PER_TASK = 1000
 
+# Folders that a task lists, and names in an Arrow batch.
+FOLDERS_PER_TASK = 100
+NAMES_PER_BATCH = 10_000
+
+# Bytes that a task reads, where they are known beforehand.
+BYTES_PER_TASK = 128 << 20
+
 # Characters with a meaning in a file glob.
 _GLOB_SPECIAL = set("*?[]{}\\,^")
 
@@ -64,7 +78,82 @@ def scan_files(
     return found.select(plain_path("path").alias("source"), "content", "length")
 
 
-def read_sources(paths: DataFrame, partitions: int | None = None) -> DataFrame:
+@dataclass(frozen=True)
+class Listing:
+    """``files(source, length)``, one row for each file, kept in a scratch folder until ``close``."""
+
+    files: DataFrame
+    scratch: str
+
+    def close(self) -> None:
+        release(self.files.sparkSession, self.scratch)
+
+
+def listable(spark: SparkSession, root: str | list[str]) -> bool:
+    """Whether tasks can list these folders: no patterns, and of a file system that pyarrow knows."""
+    systems = Systems(default_system(spark))
+    for path in [root] if isinstance(root, str) else root:
+        try:
+            systems.find(path)
+        except ValueError:
+            return False
+        if _GLOB_SPECIAL & set(path):
+            return False
+    return True
+
+
+def list_files(spark: SparkSession, root: str | list[str]) -> Listing:
+    """All files below ``root``, whatever their names, without opening them.
+
+    Each round lists the folders that the one before it found, in as many tasks
+    as there are folders for. What is found is written to shared storage; only
+    numbers come to the driver. One folder is listed by one task. A root that
+    is a file is that file; one that does not exist is an error.
+    """
+    from pyarrow import fs
+
+    default = default_system(spark)
+    roots = sorted(set([root] if isinstance(root, str) else root))
+    systems = Systems(default)
+    kinds = []
+    for path in roots:
+        system, inner = systems.find(path)
+        info = system.get_file_info(inner)
+        if info.type == fs.FileType.NotFound:
+            raise FileNotFoundError(FILE_NOT_FOUND + re.sub(r"\Afile:/+", "/", path))
+        kinds.append((re.sub(r"\Afile:/+", "/", path), info.size, info.type == fs.FileType.Directory))
+    schema = "source string, length long, folder boolean"
+
+    def below(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        systems = Systems(default)
+        for batch in batches:
+            for folder in batch.column("source").to_pylist():
+                system, inner = systems.find(folder)
+                infos = system.get_file_info(fs.FileSelector(inner, allow_not_found=True))
+                for start in range(0, len(infos), NAMES_PER_BATCH):
+                    some = infos[start : start + NAMES_PER_BATCH]
+                    names = [f"{folder.rstrip('/')}/{info.base_name}" for info in some]
+                    sizes = pa.array([info.size for info in some], pa.int64())
+                    folders = [info.type == fs.FileType.Directory for info in some]
+                    yield pa.RecordBatch.from_arrays([pa.array(names), sizes, pa.array(folders)], ["source", "length", "folder"])
+
+    scratch = run_dir(spark, "listing")
+    found = spark.createDataFrame(kinds, schema)
+    level = 0
+    while True:
+        found.write.parquet(f"{scratch}/level={level}")
+        written = spark.read.schema(schema).parquet(f"{scratch}/level={level}")
+        folders = written.where("folder").select("source")
+        number = folders.count()
+        if not number:
+            break
+        found = spread(folders, -(-number // FOLDERS_PER_TASK)).mapInArrow(below, schema)
+        level += 1
+    files = spark.read.schema(f"{schema}, level int").parquet(scratch).where("NOT folder").select("source", "length")
+    return Listing(files, scratch)
+
+
+def read_sources(paths: DataFrame, partitions: int | None = None, opened: str | None = None) -> DataFrame:
     """Add ``content`` and ``error`` to a table of paths ``(source[, ...])``.
 
     Files are opened where the paths are, so no listing passes the driver and
@@ -73,13 +162,20 @@ def read_sources(paths: DataFrame, partitions: int | None = None) -> DataFrame:
     does not exist is a row with an error. Any other failure, such as a
     throttled read or a file system that is not known, fails the task, so that
     Spark tries it again. Paths may be URIs of any file system pyarrow knows.
+
+    Where ``opened`` names a column, rows in which it is not true pass without
+    content; it is dropped. With a column ``length`` tasks are also made for
+    every BYTES_PER_TASK.
     """
     if partitions is None:
         at_least = int(paths.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        partitions = max(at_least, -(-paths.count() // FILES_PER_TASK))
-    names = paths.columns
+        wanted = F.col(opened) if opened else F.lit(True)
+        length = F.sum(F.when(wanted, F.col("length"))) if "length" in paths.columns else F.lit(0)
+        count, size = paths.agg(F.count("*"), length).first()
+        partitions = max(at_least, -(-count // FILES_PER_TASK), -(-(size or 0) // BYTES_PER_TASK))
+    names = [name for name in paths.columns if name != opened]
     schema = T.StructType(
-        [*paths.schema.fields, T.StructField("content", T.BinaryType()), T.StructField("error", T.StringType())]
+        [*[paths.schema[name] for name in names], T.StructField("content", T.BinaryType()), T.StructField("error", T.StringType())]
     )
     not_found, no_path, batch_bytes = FILE_NOT_FOUND, NO_PATH, BATCH_BYTES
     default = default_system(paths.sparkSession)
@@ -108,10 +204,12 @@ def read_sources(paths: DataFrame, partitions: int | None = None) -> DataFrame:
 
         for batch in batches:
             start, size, contents, errors = 0, 0, [], []
-            for source in batch.column("source").to_pylist():
-                content = read(source) if source else None
+            wanted = batch.column(opened).to_pylist() if opened else [True] * batch.num_rows
+            for source, read_it in zip(batch.column("source").to_pylist(), wanted):
+                content = read(source) if source and read_it else None
                 contents.append(content)
-                errors.append(not_found + (no_path if source is None else source) if content is None else None)
+                missing = content is None and read_it
+                errors.append(not_found + (no_path if source is None else source) if missing else None)
                 size += len(content or b"")
                 if size >= batch_bytes:
                     yield read_rows(batch, start, contents, errors)

@@ -16,6 +16,7 @@ from pageloom.operators.ocr import BackendFactory, apply_ocr
 from pageloom.operators.request import build_requests
 from pageloom.operators.response import check_responses, response_rejects, to_documents
 from pageloom.options import LoadOptions
+from pageloom.session import release
 
 # Columns of Spark's binary file source.
 BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
@@ -49,11 +50,14 @@ def start_loading(
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         place = f"batch={batch_id}"
         requests = build_requests(admit(ingest_table(batch), options), options, transcoder)
-        answers = check_responses(apply_ocr(requests, backend))
+        # A batch that is run again finds the calls it has made.
+        calls = f"{out_dir}/calls/{place}"
+        answers = check_responses(apply_ocr(requests, backend, journal=calls))
         answers.write.mode("overwrite").parquet(f"{out_dir}/answers/{place}")
         checked = batch.sparkSession.read.schema(answers.schema).parquet(f"{out_dir}/answers/{place}")
         to_documents(checked, options.split).write.mode("overwrite").parquet(f"{out_dir}/documents/{place}")
         response_rejects(checked).write.mode("overwrite").parquet(f"{out_dir}/rejects/{place}")
+        release(batch.sparkSession, calls)
 
     return (
         files.writeStream.foreachBatch(load_batch)

@@ -19,11 +19,11 @@ from pageloom.operators.ocr import stored_responses
 from pageloom.operators.request import build_requests, media
 from pageloom.plans import page_images
 from pageloom.options import LoadOptions
-from pageloom.plans.load import load_stored
+from pageloom.plans.load import listed_paths, load_stored
 from pageloom.schemas import PDF
 from pageloom.session import run_dir
 from pageloom.sources.blobs import save_page_images, write_blobs
-from pageloom.sources.files import scan_files
+from pageloom.sources.files import list_files, read_sources, scan_files
 from pageloom.workload import inputs
 from pageloom.workload.inputs import (
     FILES_SQL,
@@ -81,6 +81,59 @@ def scan_files_query(spark, sf_dir):
     )
 
 
+def written_tree(spark, sf_dir, name: str) -> str:
+    """Documents as files in folders by language and number, some with hidden names, of any type; returns the root."""
+    root = run_dir(spark, name)
+    folder = F.concat_ws("/", F.lit(root), "lang", (F.col("doc_id") % 10).cast("string"))
+    start = F.when(F.col("doc_id") % 4 == 1, "_").when(F.col("doc_id") % 4 == 2, ".").otherwise("")
+    path = F.concat(folder, F.lit("/"), start, F.lit("doc-"), F.col("doc_id"), inputs.extension())
+    write_blobs(table(spark, sf_dir, "documents").select(path.alias("path"), F.col("text").cast("binary").alias("content")))
+    return root
+
+
+TREE_SQL = f"""
+tree AS (
+  SELECT *, lang || '/' || (doc_id % 10) || '/' || CASE doc_id % 4 WHEN 1 THEN '_' WHEN 2 THEN '.' ELSE '' END
+    || 'doc-' || doc_id || {inputs.EXTENSION_SQL} AS name
+  FROM documents
+)
+"""
+
+
+@query(f"WITH {TREE_SQL} SELECT name, CAST(octet_length(encode(text)) AS BIGINT) AS length FROM tree")
+def list_files_query(spark, sf_dir):
+    """A tree listed in tasks, hidden names included."""
+    listed = list_files(spark, written_tree(spark, sf_dir, "listed"))
+    return listed.files.select(F.substring_index("source", "/", -3).alias("name"), "length")
+
+
+@query(f"""
+WITH {TREE_SQL},
+typed AS (SELECT *, lower(regexp_extract({inputs.EXTENSION_SQL}, '(\\.[^.]*)$', 1)) AS last FROM tree)
+SELECT name, kind, CASE WHEN kind IS NOT NULL THEN md5(text) END AS digest,
+  CASE WHEN kind = 'pdf' AND doc_id % 3 = 0 THEN doc_id % 9 + 1 END AS total_pages
+FROM (
+  SELECT *, CASE WHEN doc_id % 4 = 2 AND {inputs.EXTENSION_SQL} = '' THEN NULL WHEN last = '.pdf' THEN 'pdf'
+    WHEN last IN ('.jpg', '.jpeg', '.png', '.webp', '.tiff', '.bmp', '.gif') THEN 'image' END AS kind
+  FROM typed
+)
+""")
+def listed_sources(spark, sf_dir):
+    """Listed names joined to their PDF info, then the files of supported types read where their names are."""
+    root = written_tree(spark, sf_dir, "sources")
+    listed = list_files(spark, root).files
+    number = F.regexp_extract("source", r"doc-(\d+)", 1).cast("bigint")
+    info = listed.where(number % 3 == 0).select("source", F.lit("1.0").alias("version"), (number % 9 + 1).cast("int").alias("num_pages"))
+    paths = listed_paths(listed, LoadOptions(), info)
+    admitted = admission.admit(admission.ingest_table(read_sources(paths, opened="opened")))
+    return admitted.select(
+        F.substring_index("source", "/", -3).alias("name"),
+        "kind",
+        F.md5("content").alias("digest"),
+        long(F.when(F.col("kind") == "pdf", F.col("pdf.totalPages")), "total_pages"),
+    )
+
+
 @query("""
 SELECT '/orders/' || o_orderkey || '.pdf' AS source, 'File not found: /orders/' || o_orderkey || '.pdf' AS error,
   count(*) AS requests

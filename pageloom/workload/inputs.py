@@ -34,6 +34,14 @@ def _sql_pick(values: tuple[str, ...], number: str) -> str:
     return f"([{listed}])[{number} % {len(values)} + 1]"
 
 
+def extension() -> Column:
+    """The extension of a document's file."""
+    return _pick(EXTENSIONS, "doc_id")
+
+
+EXTENSION_SQL = _sql_pick(EXTENSIONS, "doc_id")
+
+
 def magic_bytes(number: str) -> Column:
     """How many leading bytes a file of ``files`` has before its text."""
     return F.octet_length(F.unhex(_pick(MAGIC, number)))
