@@ -17,8 +17,9 @@ from pageloom.functions.render import (
     FILE_CONVERSION_FAILED,
 )
 from pageloom.operators.images import Encoder, format_dispatch, page_bounds, page_fanout
+from pageloom.operators.rendering import RendererFactory, render_blocks
 from pageloom.session import materialize
-from pageloom.sources.blobs import fail_on_shared_paths, placed_images, put
+from pageloom.sources.blobs import fail_on_shared_paths, hidden_path, placed_images, put, sweep
 from pageloom.sources.systems import Systems, default_system
 
 SHORT = ("source", "page_no", "path", "error")
@@ -44,11 +45,12 @@ def convert_pages(requests: DataFrame, rasterize: Rasterizer, encoder: Encoder |
 def save_pdf_pages(
     files: DataFrame,
     directory: str,
-    rasterize: Rasterizer,
+    rasterize: Rasterizer | None = None,
     encoder: Encoder | None = None,
     fmt: str | None = None,
     quality: int | None = None,
     scale: float | None = None,
+    renderer: RendererFactory | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Write every page of ``files(source, num_pages[, dir])`` as an image.
 
@@ -56,18 +58,40 @@ def save_pdf_pages(
     ``rejects(source, error)``. A file of which a page fails is rejected with
     the error of its first failing page, and none of its pages is written.
 
+    Pages come from ``rasterize``, a column of each page, or from ``renderer``,
+    which opens a file once for a block of its pages (``render_blocks``).
+
     Images are written once, under hidden names, by the task that makes them.
     Only short rows are brought together to find the failed files; then the
-    images of the others are renamed and theirs are deleted. With a column
-    ``dir`` pages go there below ``directory``, else to a folder of their file.
+    images of the others are renamed and theirs are deleted. Images that lost
+    or repeated tasks have left under hidden names are deleted in the end, also
+    if the run fails. With a column ``dir`` pages go there below ``directory``,
+    else to a folder of their file.
     """
-    pages = page_fanout(files).withColumn("fmt", F.lit(fmt or DEFAULT_FORMAT))
-    pages = pages.withColumn("quality", F.lit(quality or DEFAULT_QUALITY))
-    placed = placed_images(pages, directory)
-    fail_on_shared_paths(placed)
-    drawn = rasterize(F.col("source"), F.col("page_no"), F.lit(float(scale or DEFAULT_SCALE)))
-    images = format_dispatch(placed.withColumn("content", drawn), encoder)
-    default = default_system(files.sparkSession)
+    if (rasterize is None) == (renderer is None):
+        raise ValueError("Either rasterize or renderer makes the pages")
+    factor = float(scale or DEFAULT_SCALE)
+
+    def placed(pages: DataFrame) -> DataFrame:
+        pages = pages.withColumn("fmt", F.lit(fmt or DEFAULT_FORMAT))
+        return placed_images(pages.withColumn("quality", F.lit(quality or DEFAULT_QUALITY)), directory)
+
+    names = placed(page_fanout(files))
+    fail_on_shared_paths(names)
+    if renderer is None:
+        drawn = names.withColumn("content", rasterize(F.col("source"), F.col("page_no"), F.lit(factor)))
+    else:
+        drawn = placed(render_blocks(files, renderer, factor))
+    run = uuid.uuid4().hex
+    try:
+        return _written(format_dispatch(drawn, encoder), run)
+    finally:
+        sweep(names, run)
+
+
+def _written(images: DataFrame, run: str) -> tuple[DataFrame, DataFrame]:
+    """Write images to their paths, those of files without a failed page; the pages written and the files that failed."""
+    default = default_system(images.sparkSession)
 
     def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         systems, made = Systems(default), set()
@@ -77,10 +101,9 @@ def save_pdf_pages(
                 if error.is_valid:
                     staged.append(None)
                     continue
-                folder, _, name = path.as_py().rpartition("/")
-                staged.append(f"{folder}/.{name}.{uuid.uuid4().hex}")
+                staged.append(hidden_path(path.as_py(), run))
                 system, target = systems.find(staged[-1])
-                put(system, target, content.as_buffer(), made)
+                put(system, target, content.as_buffer(), made, run)
             kept = [batch.column(c) for c in ("source", "page_no", "path", "error")]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(staged, pa.string())], [*SHORT, "staged"])
 

@@ -3,14 +3,18 @@
 Spark's ``binaryFile`` format only reads. This data source writes each row's
 bytes to its own path. A file is written under a name of its own and renamed
 into place, so a retried or speculative task leaves whole files only, and
-writing the same table again gives the same files.
+writing the same table again gives the same files. Names not yet renamed carry
+the number of the run; what tasks that were lost have left of them is deleted
+when the run ends.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
@@ -26,16 +30,43 @@ class WrittenFiles(WriterCommitMessage):
     files: int
 
 
-def put(system, target: str, content, made: set[str]) -> None:
-    """Write a file under a hidden name and rename it; a failure leaves nothing behind."""
-    import uuid
+def hidden_path(path: str, run: str) -> str:
+    """A new name beside a path; file scans don't see names with a leading dot."""
+    directory, mark, name = path.rpartition("/")
+    return f"{directory}{mark}.{name}.{run}.{uuid.uuid4().hex}"
+
+
+def sweep(paths: DataFrame, run: str) -> int:
+    """Delete what a run has left under hidden names in the folders of its paths; returns how many files that was.
+
+    Call it when the run's tasks have ended. Each folder is listed once, in a task.
+    """
+    default = default_system(paths.sparkSession)
+    folders = paths.select(F.regexp_extract("path", r"\A(.*)/[^/]*\z", 1).alias("folder")).where("folder <> ''").distinct()
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        systems, gone = Systems(default), 0
+        for batch in batches:
+            for folder in batch.column("folder").to_pylist():
+                system, inner = systems.find(folder)
+                for info in system.get_file_info(fs.FileSelector(inner, allow_not_found=True)):
+                    if info.is_file and info.base_name.startswith(".") and f".{run}." in info.base_name:
+                        system.delete_file(info.path)
+                        gone += 1
+        yield pa.RecordBatch.from_pydict({"gone": [gone]})
+
+    return folders.mapInArrow(clean, "gone long").agg(F.sum("gone")).first()[0] or 0
 
-    directory, _, name = target.rpartition("/")
+
+def put(system, target: str, content, made: set[str], run: str = "") -> None:
+    """Write a file under a hidden name and rename it; a failure leaves nothing behind."""
+    directory = target.rpartition("/")[0]
     if directory and directory not in made:
         system.create_dir(directory, recursive=True)
         made.add(directory)
-    # Names with a leading dot are hidden from file scans.
-    staged = f"{directory}/.{name}.{uuid.uuid4().hex}" if directory else f".{name}.{uuid.uuid4().hex}"
+    staged = hidden_path(target, run)
     try:
         with system.open_output_stream(staged) as stream:
             stream.write(content)
@@ -52,6 +83,8 @@ def put(system, target: str, content, made: set[str]) -> None:
 class BlobWriter(DataSourceArrowWriter):
     #: ``scheme://host`` that paths without a scheme are in.
     default: str = ""
+    #: Number of the run, in the names of files that are not finished.
+    run: str = ""
 
     def write(self, iterator: Iterator) -> WriterCommitMessage:
         files = 0
@@ -61,7 +94,7 @@ class BlobWriter(DataSourceArrowWriter):
                 if not content.is_valid:
                     raise ValueError(f"No content for {path.as_py()}")
                 system, target = systems.find(path.as_py())
-                put(system, target, content.as_buffer(), made)
+                put(system, target, content.as_buffer(), made, self.run)
                 files += 1
         return WrittenFiles(files)
 
@@ -72,19 +105,24 @@ class BlobSink(DataSource):
         return FORMAT
 
     def writer(self, schema, overwrite: bool) -> BlobWriter:
-        return BlobWriter(self.options.get("default", ""))
+        return BlobWriter(self.options.get("default", ""), self.options.get("run", ""))
 
 
 def write_blobs(files: DataFrame) -> None:
     """Write every row ``(path, content)`` as a file of its own.
 
     A path without a scheme is in Spark's default file system, as elsewhere in
-    Spark. A row without content fails.
+    Spark. A row without content fails. Paths are read once more when the files
+    are written, to sweep their folders.
     """
     spark = files.sparkSession
     spark.dataSource.register(BlobSink)
+    run = uuid.uuid4().hex
     writer = files.select("path", "content").write.format(FORMAT).option("default", default_system(spark))
-    writer.mode("append").save()
+    try:
+        writer.option("run", run).mode("append").save()
+    finally:
+        sweep(files, run)
 
 
 def own_folder(source: str = "source") -> Column:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.errors import PySparkException
@@ -10,8 +13,9 @@ from pyspark.sql import functions as F
 
 from pageloom import convert_pages, save_pdf_pages
 from pageloom.operators.images import ImageFormat, format_dispatch, format_fanout, page_blocks, page_bounds, page_fanout
+from pageloom.operators.rendering import render_blocks
 from pageloom.session import run_dir
-from pageloom.sources.blobs import save_page_image, save_page_images, write_blobs
+from pageloom.sources.blobs import save_page_image, save_page_images, sweep, write_blobs
 from pageloom.sources.files import scan_files
 
 FILES = "source string, num_pages int"
@@ -191,3 +195,113 @@ def test_convert_pages(spark):
     assert got[3].error == "Failed to convert PDF to image: Invalid page number: 3. PDF has 2 pages."
     nothing = convert_pages(spark.createDataFrame(rows[:1], schema), lambda *_: F.lit(None).cast("binary"))
     assert nothing.first().error == "Failed to convert PDF to image: page was not rendered"
+
+
+def opening(folder):
+    """A renderer that notes in files when it is made, and which file it opens for which pages."""
+
+    def make():
+        import uuid
+
+        open(f"{folder}/made-{uuid.uuid4().hex}", "w").close()
+
+        def render(source, pages, scale):
+            open(f"{folder}/{source}-{pages[0]}-{pages[-1]}-{uuid.uuid4().hex}", "w").close()
+            if source == "gone":
+                raise OSError("cannot open gone")
+            for page in pages:
+                if source == "torn" and page == 3:
+                    raise ValueError("page tree ends")
+                if source != "short" or page != 2:
+                    yield f"{source}:{page}:{scale}".encode() if source != "blank" else None
+
+        return render
+
+    return make
+
+
+def test_a_file_is_opened_once_for_a_block_of_pages(spark, tmp_path):
+    files = spark.createDataFrame([("a", 7, "x"), ("b", 1, "y"), ("none", 0, "z"), ("gone", 2, "g"), ("torn", 4, "t"), ("blank", 1, "l"), ("short", 2, "s")], f"{FILES}, key string")
+    for block, batch_bytes in ((256, 1 << 20), (3, 1)):
+        folder = tmp_path / str(block)
+        folder.mkdir()
+        rows = render_blocks(files, opening(folder), 2.0, block, batch_bytes).collect()
+        got = {(r.source, r.page_no): (r.content and bytes(r.content).decode(), r.error) for r in rows}
+        assert all(r.key == dict(a="x", b="y", gone="g", torn="t", blank="l", short="s")[r.source] for r in rows)
+        want = {("a", n): (f"a:{n}:2.0", None) for n in range(1, 8)} | {("b", 1): ("b:1:2.0", None), ("blank", 1): (None, None)}
+        want |= {("gone", n): (None, "Failed to convert PDF to image: cannot open gone") for n in (1, 2)}
+        want |= {("torn", 1): ("torn:1:2.0", None), ("torn", 2): ("torn:2:2.0", None)}
+        if block == 256:
+            want |= {("torn", n): (None, "Failed to convert PDF to image: page tree ends") for n in (3, 4)}
+        else:  # the second block is opened anew
+            want |= {("torn", 3): (None, "Failed to convert PDF to image: page tree ends"), ("torn", 4): ("torn:4:2.0", None)}
+        want |= {("short", 1): ("short:1:2.0", None), ("short", 2): (None, None)}
+        assert got == want
+        opened = sorted(name.rsplit("-", 1)[0] for name in os.listdir(folder) if not name.startswith("made"))
+        whole = ["a-1-7", "b-1-1", "blank-1-1", "gone-1-2", "short-1-2", "torn-1-4"]
+        assert opened == (whole if block == 256 else sorted([*whole[1:-1], "a-1-3", "a-4-6", "a-7-7", "torn-1-3", "torn-4-4"]))
+
+
+def test_pages_of_a_renderer_are_saved(spark, tmp_path):
+    files = spark.createDataFrame([("a", 3), ("gone", 2), ("blank", 1)], FILES)
+    root = f"{tmp_path}/out"
+    (tmp_path / "log").mkdir()
+    written, rejects = save_pdf_pages(files, root, renderer=opening(tmp_path / "log"), scale=3)
+    rows = sorted((r.source, r.page_no, r.path) for r in written.collect())
+    assert [(s, n) for s, n, _ in rows] == [("a", 1), ("a", 2), ("a", 3)]
+    assert [open(path).read() for _, _, path in rows] == ["a:1:3.0", "a:2:3.0", "a:3:3.0"]
+    assert sorted((r.source, r.error) for r in rejects.collect()) == [
+        ("blank", "Failed to convert PDF to images: Failed to convert PDF to image: page was not rendered"),
+        ("gone", "Failed to convert PDF to images: Failed to convert PDF to image: cannot open gone"),
+    ]
+    assert len([n for n in os.listdir(tmp_path / "log") if n.startswith("a-")]) == 1
+    with pytest.raises(ValueError, match="Either"):
+        save_pdf_pages(files, root)
+
+
+def test_a_sweep_deletes_the_hidden_files_of_its_run_only(spark, tmp_path):
+    for name in (".p.png.run1.x", ".p.png.run2.x", "p.png", "run1", ".run1"):
+        (tmp_path / name).write_text("x")
+    paths = spark.createDataFrame([(f"{tmp_path}/p.png",), (f"{tmp_path}/q.png",), (f"{tmp_path}/none/q.png",), ("bare",)], "path string")
+    assert sweep(paths, "run1") == 1
+    assert sorted(os.listdir(tmp_path)) == [".p.png.run2.x", ".run1", "p.png", "run1"]
+
+
+DYING = """
+import json, os, sys
+sys.path.insert(0, sys.argv[1])
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+from pageloom import save_pdf_pages
+from pageloom.plans import page_images
+from pageloom.sources import blobs
+folder = sys.argv[2]
+spark = (SparkSession.builder.master("local[2,4]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2")
+    .config("spark.checkpoint.dir", folder + "/shared").getOrCreate())
+spark.sparkContext.setLogLevel("OFF")
+written = blobs.put
+
+def put(system, target, content, made, run=""):
+    written(system, target, content, made, run)
+    mark = folder + "/died"
+    if not os.path.exists(mark):
+        open(mark, "w").close()
+        os._exit(1)
+
+page_images.put = blobs.put = put
+draw = lambda source, page_no, scale: F.concat_ws(":", source, page_no).cast("binary")
+files = spark.createDataFrame([(str(i), 3) for i in range(5)], "source string, num_pages int")
+saved, _ = save_pdf_pages(files, folder + "/out", draw)
+print(json.dumps(sorted([r.source, r.page_no, r.path] for r in saved.collect())))
+"""
+
+
+def test_what_a_lost_task_has_staged_is_deleted(tmp_path):
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run([sys.executable, "-c", DYING, root, str(tmp_path)], capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-3000:]
+    rows = json.loads(done.stdout.splitlines()[-1])
+    assert (tmp_path / "died").exists() and len(rows) == 15
+    there = sorted(os.path.join(at, name) for at, _, names in os.walk(tmp_path / "out") for name in names)
+    assert there == sorted(path for _, _, path in rows)
+    assert all(open(path).read() == f"{source}:{page}" for source, page, path in rows)
