@@ -50,6 +50,8 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
+        # Pages of a task are more than the 128 groups after which gathering goes over to sorting.
+        .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "100000")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -9,6 +9,7 @@ from pageloom.columns import is_open
 from pageloom.functions.json_text import metadata_json
 from pageloom.functions.text import preview_fixed
 from pageloom.operators.response import check_responses
+from pageloom.schemas import CHECKED_RESPONSE
 
 
 def page_report(documents: DataFrame) -> DataFrame:
@@ -33,7 +34,7 @@ def page_total(responses: DataFrame) -> DataFrame:
 
     Counted where the answer is, before pages become rows.
     """
-    checked = check_responses(responses)
+    checked = check_responses(responses, CHECKED_RESPONSE)
     pages = F.when(F.col("kind") == "pdf", F.size("pages")).otherwise(1).cast("bigint")
     counts = F.when(F.col("fault").isNull(), F.array(pages))
     return checked.select("source", F.explode(counts).alias("pages"))

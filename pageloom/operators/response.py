@@ -16,7 +16,7 @@ from pageloom.functions.metadata import caller_keys, image_loc, merged_extra, pd
 from pageloom.functions.regions import image_regions, page_dimensions
 from pageloom.functions.text import page_text
 from pageloom.operators.ocr import wrap_error
-from pageloom.schemas import LOC, OPEN_PDF, PDF, RESPONSE, RESPONSE_PAGE
+from pageloom.schemas import CHECKED_RESPONSE, LOC, OPEN_PDF, PDF, RESPONSE, RESPONSE_PAGE, TEXT_RESPONSE
 
 # Messages.
 MALFORMED_RESPONSE = "Malformed response structure"
@@ -27,9 +27,12 @@ NULL_REGION = "Cannot read properties of null (reading 'id')"
 PAGE_JOINT = "\n\n"
 
 
-def parse_response(responses: DataFrame) -> DataFrame:
-    """Add the typed ``pages`` of the answer; NULL when it has none."""
-    return responses.withColumn("pages", F.from_json("response", RESPONSE)["pages"])
+def parse_response(responses: DataFrame, schema: T.StructType = RESPONSE) -> DataFrame:
+    """Add the typed ``pages`` of the answer; NULL when it has none.
+
+    With a smaller ``schema`` the rest of the answer is skipped.
+    """
+    return responses.withColumn("pages", F.from_json("response", schema)["pages"])
 
 
 def malformed_response(kind: Column, pages: Column) -> Column:
@@ -62,16 +65,17 @@ def combined_text(pages: Column) -> Column:
     return F.array_join(F.transform(pages, lambda page: page_text(page["markdown"])), PAGE_JOINT)
 
 
-def check_responses(responses: DataFrame) -> DataFrame:
+def check_responses(responses: DataFrame, schema: T.StructType = RESPONSE) -> DataFrame:
     """``(source, kind, extra, loc, pdf, pages, fault)``: answers read and checked.
 
     ``fault`` says why a file gives no documents. Written as a table, this is
     what documents and rejects are taken from without parsing again. A table
-    that has been through it passes as it is.
+    that has been through it passes as it is. ``schema`` may be one that reads
+    less; the checks are the same.
     """
     if "fault" in responses.columns:
         return responses
-    parsed = parse_response(responses)
+    parsed = parse_response(responses, schema)
     kind = F.col("kind")
     return parsed.select(
         "source",
@@ -112,7 +116,7 @@ def response_rejects(responses: DataFrame) -> DataFrame:
         return responses.filter(F.col("fault").isNotNull()).select("source", F.col("fault").alias("error"))
     # Not a filter: pushed down, it would parse the answers a second time.
     faults = F.when(F.col("fault").isNotNull(), F.array("fault"))
-    return check_responses(responses).select("source", F.explode(faults).alias("error"))
+    return check_responses(responses, CHECKED_RESPONSE).select("source", F.explode(faults).alias("error"))
 
 
 def page_documents(pages: DataFrame) -> DataFrame:
@@ -134,7 +138,7 @@ def combine_pages(responses: DataFrame) -> DataFrame:
 
     An answer with an empty page list still gives one, empty document.
     """
-    return to_documents(responses.filter(F.col("kind") == "pdf"), split_pages=False)
+    return _whole(check_responses(responses.filter(F.col("kind") == "pdf"), TEXT_RESPONSE), images=False)
 
 
 def to_documents(responses: DataFrame, split_pages: bool = True) -> DataFrame:
@@ -147,14 +151,18 @@ def to_documents(responses: DataFrame, split_pages: bool = True) -> DataFrame:
     if split_pages:
         return page_documents(explode_pages(responses))
 
-    checked = check_responses(responses)
+    return _whole(check_responses(responses))
+
+
+def _whole(checked: DataFrame, images: bool = True) -> DataFrame:
+    """One document per sound answer; without ``images`` all are of PDFs, of which only texts were read."""
     is_pdf = F.col("kind") == "pdf"
     joined = F.struct(
         combined_text(F.col("pages")).alias("markdown"),
         F.lit(None).alias("images"),
         F.lit(None).alias("dimensions"),
     ).cast(RESPONSE_PAGE)
-    units = F.when(is_pdf, F.array(joined)).otherwise(F.col("pages"))
+    units = F.when(is_pdf, F.array(joined)).otherwise(F.col("pages")) if images else F.array(joined)
     rows = checked.select(
         "source",
         "kind",

@@ -37,6 +37,20 @@ RESPONSE_PAGE = T.StructType([
 
 RESPONSE = T.StructType([T.StructField("pages", T.ArrayType(RESPONSE_PAGE))])
 
+
+
+def _answer(*fields: T.StructField) -> T.StructType:
+    """An answer read only as far as is needed: what is not named is skipped, images' base64 above all."""
+    # Of regions it matters whether one is null.
+    region = T.StructType([T.StructField("id", T.StringType())])
+    page = T.StructType([*fields, T.StructField("images", T.ArrayType(region))])
+    return T.StructType([T.StructField("pages", T.ArrayType(page))])
+
+
+# Enough to check an answer and count its pages; enough for the text of its pages as well.
+CHECKED_RESPONSE = _answer()
+TEXT_RESPONSE = _answer(T.StructField("markdown", T.StringType()))
+
 # One region as a document carries it.
 REGION = T.StructType([
     T.StructField("id", T.StringType()),

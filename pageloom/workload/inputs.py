@@ -226,9 +226,11 @@ def text_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pages_with_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same words as pages that hold their items, as an extractor hands them over."""
-    words = F.split("text", " ")
-    first = F.explode(F.sequence(F.lit(0), F.size(words) - 1, F.lit(PAGE_WORDS)))
-    pages = table(spark, sf_dir, "documents").select("doc_id", words.alias("words"), first.alias("first"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.split("text", " ").alias("words"))
+    firsts = F.sequence(F.lit(0), F.size("words") - 1, F.lit(PAGE_WORDS))
+    # Cut inside the array, so that a page's row does not carry the whole document.
+    cut = F.transform(firsts, lambda first: F.struct(first.alias("first"), F.slice("words", first + 1, PAGE_WORDS).alias("words")))
+    pages = docs.select("doc_id", F.explode(cut).alias("page")).select("doc_id", "page.*")
 
     def item(word: Column, i: Column) -> Column:
         line = F.floor(i / LINE_WORDS)
@@ -236,9 +238,8 @@ def pages_with_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         broken = (F.col("doc_id") % 23 == 4) & (F.col("first") + i == 5)
         return F.struct(word.alias("str"), F.when(~broken, y).alias("y"))
 
-    items = F.transform(F.slice("words", F.col("first") + 1, PAGE_WORDS), item)
     page_no = F.expr(f"first div {PAGE_WORDS} + 1").cast("int")
-    return pages.select(text_source(), page_no.alias("page_no"), items.alias("items"))
+    return pages.select(text_source(), page_no.alias("page_no"), F.transform("words", item).alias("items"))
 
 
 def text_source() -> Column:

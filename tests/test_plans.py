@@ -11,8 +11,10 @@ from pageloom.operators.admission import admit, ingest_table, missing_sources, r
 from pageloom.operators.images import page_fanout
 from pageloom.operators.pdf_info import attach_pdf_info
 from pageloom.operators.request import build_requests
+from pageloom.operators.report import page_total
 from pageloom.operators.response import check_responses, combine_pages, response_rejects, to_documents
 from pageloom.operators.text_items import document_parts, page_counts, parse_pdf, parse_pdf_parts, text_lines
+from pageloom.schemas import CHECKED_RESPONSE, TEXT_RESPONSE
 from pageloom.session import materialize, run_dir
 from pageloom.sources.files import scan_files
 
@@ -61,6 +63,36 @@ def test_checked_answers_are_not_parsed_again(responses):
     assert "PushedFilters: [IsNotNull(fault)]" in rejects
 
 
+def test_answers_are_read_as_far_as_they_are_needed(responses):
+    read = lambda df: re.search(r"from_json\((.*)", plan(df)).group(1)
+    for df in (response_rejects(responses), page_total(responses)):
+        assert "StructField(id," in read(df)
+        assert "imageBase64" not in read(df) and "markdown" not in read(df) and "dimensions" not in read(df)
+    text = read(combine_pages(responses))
+    assert "StructField(markdown," in text and "imageBase64" not in text and "dimensions" not in text
+    assert "imageBase64" in read(to_documents(responses)) and "imageBase64" in read(to_documents(responses, False))
+
+
+ODD = [
+    '{"pages":[{"markdown":"x","images":"oops"}]}', '{"pages":[{"markdown":"x","dimensions":{"dpi":"abc"}}]}',
+    '{"pages":[{"markdown":{"a":1},"images":[null]}]}', '{"pages":[{"images":[{"topLeftX":"q"}]},{"markdown":"y"}]}',
+    '{"pages":[null,{}]}', '{"pages":[5]}', '{"pages":"x"}', '{"pages":[{"images":[5]}]}', '{"pages":[{"images":[{"imageBase64":5}]}]}',
+    '{"pages":[{"markdown":"x"', '{"pages":{"markdown":"x"}}', '[{"pages":[]}]', '{"pages":[{"dimensions":7}]}', '{"pages":[]}', "", None,
+]
+
+
+def test_reading_less_checks_the_same(spark):
+    rows = [(f"{i}.{kind}", kind, text) for i, text in enumerate(ODD) for kind in ("pdf", "image")]
+    answers = spark.createDataFrame(rows, "source string, kind string, response string")
+    faults = lambda df: sorted((r.source, r.fault) for r in df.collect())
+    whole = faults(check_responses(answers).select("source", F.coalesce("fault", F.lit("")).alias("fault")))
+    for schema in (CHECKED_RESPONSE, TEXT_RESPONSE):
+        assert faults(check_responses(answers, schema).select("source", F.coalesce("fault", F.lit("")).alias("fault"))) == whole
+    combined = lambda df: sorted((r.source, r.page_content) for r in df.collect())
+    pdfs = to_documents(answers.where("kind = 'pdf'"), False)
+    assert combined(combine_pages(answers)) == combined(pdfs)
+
+
 def test_text_moves_once_per_step(items, info):
     assert exchanges(text_lines(items)) == 2
     assert exchanges(parse_pdf_parts(items, info)) == 2
