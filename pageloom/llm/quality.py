@@ -24,10 +24,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pageloom.llm.common import chunks, offsets, pick, ragged, typed
+from pageloom.llm.common import chunks, give_back, offsets, pick, ragged, typed
 
 PASSAGE = 512
 #: Bytes of text described at a time; each takes about 80 bytes meanwhile.
@@ -161,9 +162,13 @@ class Model:
 
 
 def fit(x: np.ndarray, passages: np.ndarray, labels: np.ndarray, epochs: int = 40, batch: int = 128, rate: float = 3e-3) -> Model:
-    """Adam on shuffled batches of documents, with a little weight decay."""
-    model = Model(x.mean(0), x.std(0) + 1e-3)
-    x, labels = model.scaled(x), labels.astype(np.float32)
+    """Adam on shuffled batches of documents, with a little weight decay; x is scaled in place."""
+    mean = x.mean(0)
+    spread = np.sqrt(sum(((x[i : i + 8192] - mean) ** 2).sum(0, dtype=np.float64) for i in range(0, len(x), 8192)) / len(x))
+    model = Model(mean, spread.astype(np.float32) + np.float32(1e-3))
+    labels = labels.astype(np.float32)
+    for i in range(0, len(x), 8192):  # in place
+        x[i : i + 8192] = model.scaled(x[i : i + 8192])
     starts = np.cumsum(passages) - passages
     rng = np.random.default_rng(2)
     first, second = ({k: np.zeros_like(v) for k, v in model.p.items()} for _ in range(2))
@@ -209,8 +214,21 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
     within = F.col("place") <= F.struct(*[F.lit(v).cast("long").alias(k) for k, v in last.asDict().items()])
     rows = found.where(within).select("text", "place", "label").mapInArrow(described, typed(found, "place", "label") + ", x binary")
     rows = rows.orderBy("place").limit(taken).toArrow()
-    parts = [np.frombuffer(b, np.float32).reshape(-1, FEATURES) for b in rows.column("x").to_pylist()]
-    return fit(np.concatenate(parts), np.array([len(p) for p in parts]), rows.column("label").to_numpy())
+    wanted = rows.column("label").to_numpy()
+    bags = rows.column("x")
+    del rows
+    counts = pc.binary_length(bags).to_numpy() // (4 * FEATURES)
+    ends = offsets(counts)
+    x = np.empty((ends[-1], FEATURES), np.float32)
+    # one array, filled bag by bag: no second copy is held beside the table
+    for i, bag in enumerate(bags):
+        x[ends[i] : ends[i + 1]] = np.frombuffer(bag.as_buffer(), np.float32).reshape(-1, FEATURES)
+    del bags, bag
+    give_back()
+    model = fit(x, counts, wanted)
+    del x
+    give_back()
+    return model
 
 
 def score(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ()) -> DataFrame:
