@@ -13,13 +13,16 @@ are asked for before a pair is verified. Of two documents the smaller m holds.
    sets have one name from here on, so copies cost nothing more.
 2. The sketch gives the global order and the estimates; prefixes are written.
    Buckets with a single set are dropped.
-   A pair's sizes tell how much it has to share, and so how early; and parities
-   of PARITIES groups of shingles how much it differs at least. Both are asked for in the join.
+   A pair's sizes tell how much it has to share, and so how early; and the parities
+   of groups of shingles (more for larger sets) how much it differs at least.
 3. Stars first: each set is verified against the smallest and the largest of
    its buckets, if it shares more than one with them. This links most of a group of near copies with as many pairs as
-   members. Then all pairs of a bucket that are in different components and
-   share enough are verified, so no link between components is lost; pairs
-   within a component can't change the result. (A link inside a component may go
+   members. Buckets of one component are done with. In the others the pairs in
+   different components that pass both tests are found where the bucket is,
+   large buckets in blocks of BUCKET_ROWS, and only those become rows: a group
+   of sets that lie just below the threshold gives no rows for its pairs. They
+   are verified, so no link between components is lost; pairs within a
+   component can't change the result. (A link inside a component may go
    unverified; the components are what is returned.)
 4. Components are found by large-star and small-star rounds over the links, as
    tables; nothing of this comes to the driver.
@@ -54,9 +57,11 @@ TEXT_BITS, KEY_BITS = 1 << 22, 1 << 26
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-#: Two sets differ by at least as many shingles as their parities differ by bits.
-PARITIES = 256
-BITS = tuple(f"bits{i}" for i in range(PARITIES // 64))
+#: Two sets differ by at least as many shingles as their parities differ by bits. Sets of more than half as many
+#: shingles have the next number of bits too; folded by exclusive or, more bits give fewer.
+PARITIES = (256, 1024, 4096)
+#: Sets of a bucket whose pairs are looked at in one go, and pairs at a time.
+BUCKET_ROWS, PAIRS = 2048, 1 << 18
 
 
 def least_overlap(size, percent: int):
@@ -99,11 +104,14 @@ class Sets:
         bounds = (self.starts * 8).tolist()
         self.names = np.array([xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)], np.uint64).view(np.int64)
 
-    def parities(self) -> np.ndarray:
-        """PARITIES bits of each set, as longs: whether an odd number of its shingles falls on each."""
-        place = self.owner * PARITIES + ((self.hashes >> np.uint64(9)) % np.uint64(PARITIES)).astype(np.int64)
-        odd = np.bincount(place, minlength=len(self.sizes) * PARITIES) & 1
-        return np.packbits(odd.astype(np.uint8)).view(np.int64).reshape(len(self.sizes), -1)
+    def parities(self) -> list[bytes]:
+        """Bits of each set, as many as its size asks for: whether an odd number of its shingles falls on each."""
+        widths = np.array(PARITIES)[parity_level(self.sizes)]
+        starts = offsets(widths)
+        place = starts[self.owner] + ((self.hashes >> np.uint64(9)) % widths[self.owner].astype(np.uint64)).astype(np.int64)
+        odd = np.packbits((np.bincount(place, minlength=starts[-1]) & 1).astype(np.uint8)).tobytes()
+        bounds = (starts // 8).tolist()
+        return [odd[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
 
     def distinct(self) -> np.ndarray:
         """The first document of each set that is not empty."""
@@ -111,6 +119,103 @@ class Sets:
         return some[np.unique(self.names[some], return_index=True)[1]]
 
 
+def parity_level(sizes: np.ndarray) -> np.ndarray:
+    return np.searchsorted(np.array(PARITIES[:-1]) * 2, sizes)
+
+
+def folded(parity: bytes, level: int) -> bytes:
+    """The bits of a smaller level."""
+    words = np.frombuffer(parity, np.uint64).reshape(-1, PARITIES[level] // 64)
+    return np.bitwise_xor.reduce(words, axis=0).tobytes()
+
+
+class Candidates:
+    """Pairs of buckets that may link, found from rows (key, low, high, block, name, size, wanted, place, component, parity).
+
+    A bucket's rows of two blocks low and high meet under (key, low, high), in
+    order; each pair of them is looked at once.
+    """
+
+    def __init__(self, rows: pa.Table, percent: int):
+        self.percent = percent
+        columns = {c: rows.column(c).to_numpy() for c in ("key", "low", "high", "block", "name", "size", "wanted", "place", "component")}
+        self.name, self.component, self.block = columns["name"], columns["component"], columns["block"]
+        self.size, self.wanted, self.place = (columns[c].astype(np.int64) for c in ("size", "wanted", "place"))
+        change = np.zeros(max(len(self.name) - 1, 0), bool)
+        for c in ("key", "low", "high"):
+            change |= columns[c][1:] != columns[c][:-1]
+        starts = np.r_[0, np.flatnonzero(change) + 1, len(self.name)]
+        self.end = np.repeat(starts[1:], np.diff(starts))
+        self.alone = columns["low"] == columns["high"]
+        self.level = parity_level(self.size)
+        parities = rows.column("parity").to_pylist()
+        self.bits = []
+        for level, width in enumerate(PARITIES):
+            blank = bytes(width // 8)
+            bits = [folded(p, level) if own >= level else blank for p, own in zip(parities, self.level.tolist(), strict=True)]
+            self.bits.append(np.frombuffer(b"".join(bits), np.uint64).reshape(len(bits), -1))
+
+    def pairs(self) -> Iterator[pa.RecordBatch]:
+        partners = self.end - np.arange(len(self.end)) - 1
+        upto = offsets(partners)
+        first = 0
+        while first < len(partners):
+            last = max(first + 1, int(np.searchsorted(upto, upto[first] + PAIRS, "right")) - 1)
+            some = np.arange(first, last)
+            i = np.repeat(some, partners[some])
+            yield self.alike(i, i + 1 + np.arange(len(i)) - np.repeat(upto[some] - upto[first], partners[some]))
+            first = last
+
+    def alike(self, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
+        apart = (self.component[i] != self.component[j]) & (self.alone[i] | (self.block[i] != self.block[j]))
+        i, j = i[apart], j[apart]
+        both = self.size[i] + self.size[j]
+        # the least overlap of the pair; what they share that often is among the first of both
+        overlap = -(-both * self.percent // (100 + self.percent))
+        m = np.minimum(self.wanted[i], self.wanted[j])
+        early = (overlap <= np.minimum(self.size[i], self.size[j])) & (self.place[i] < self.size[i] - overlap + m) & (self.place[j] < self.size[j] - overlap + m)
+        i, j, m, room = i[early], j[early], m[early], (both - 2 * overlap)[early]
+        for level, bits in enumerate(self.bits):
+            tested = np.flatnonzero(np.minimum(self.level[i], self.level[j]) >= level)
+            unlike = np.bitwise_count(bits[i[tested]] ^ bits[j[tested]]).sum(1, dtype=np.int64) > room[tested]
+            kept = np.ones(len(i), bool)
+            kept[tested[unlike]] = False
+            i, j, m, room = i[kept], j[kept], m[kept], room[kept]
+        a, b = np.minimum(self.name[i], self.name[j]), np.maximum(self.name[i], self.name[j])
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(m.astype(np.int8))], ["a", "b", "m"])
+
+
+def candidates(rows: DataFrame, percent: int) -> DataFrame:
+    """(a, b, m) of the pairs that may link in their buckets; rows: key, name, size, wanted, place, component, parity, times (of the key)."""
+    blocks = F.ceil(F.col("times") / BUCKET_ROWS).cast("int")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("name"), blocks).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    rows = rows.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+    group = ["key", "low", "high"]
+    rows = rows.select(*group, "block", "name", "size", "wanted", "place", "component", "parity")
+    rows = rows.repartition(*group).sortWithinPartitions(*group)
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in (b.slice(i, 4 * BUCKET_ROWS) for b in batches for i in range(0, b.num_rows, 4 * BUCKET_ROWS)):
+            same = np.ones(batch.num_rows, bool)
+            for c in group:
+                column = batch.column(c).to_numpy()
+                same &= column == column[-1]
+            whole = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
+            if whole:  # a new group begins here: what came before is complete
+                yield from Candidates(pa.Table.from_batches([*held, batch.slice(0, whole)]), percent).pairs()
+                held = []
+            elif held and any(batch.column(c)[0] != held[-1].column(c)[-1] for c in group):
+                yield from Candidates(pa.Table.from_batches(held), percent).pairs()
+                held = []
+            held.append(batch.slice(whole))
+        if held:
+            yield from Candidates(pa.Table.from_batches(held), percent).pairs()
+
+    return rows.mapInArrow(found, "a long, b long, m byte")
+
+
 def cells(hashes: np.ndarray) -> np.ndarray:
     return (mixed(hashes) % np.uint64(SKETCH)).astype(np.int64)
 
@@ -149,11 +254,11 @@ def components(links: DataFrame) -> DataFrame:
         edges = small
 
 
-def probed(rows: DataFrame, wanted: DataFrame, column: str, size: int) -> DataFrame:
+def probed(rows: DataFrame, wanted: DataFrame, column: str, size: int, sent: list) -> DataFrame:
     """Rows whose hash in a column may be among the wanted ones, by a bitmap of a fixed size.
 
     It saves shuffling rows that a join would drop; with very many wanted hashes
-    all bits are set and nothing is left out.
+    all bits are set and nothing is left out. sent gets the broadcast, to be destroyed after use.
     """
     bit = F.pmod(column, F.lit(size)) + 1  # buckets and positions count from 1
     maps = wanted.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
@@ -161,6 +266,7 @@ def probed(rows: DataFrame, wanted: DataFrame, column: str, size: int) -> DataFr
     for row in maps.collect():  # size bits altogether
         bits[(row.bucket - 1) * 4096 : row.bucket * 4096] = np.frombuffer(row.bits, np.uint8)
     shared = rows.sparkSession.sparkContext.broadcast(bits)
+    sent.append(shared)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -173,9 +279,10 @@ def probed(rows: DataFrame, wanted: DataFrame, column: str, size: int) -> DataFr
 def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, text_key, n_shingles, component (null without shingles) and component_id of every row."""
     docs = pick(docs, doc_id="long", text="string").select("doc_id", text_key(), "text")
+    sent: list = []
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "text_key", "n_shingles", "name", *BITS, "block", "counts"]
+        names = ["doc_id", "text_key", "n_shingles", "name", "parity", "block", "counts"]
         counts = np.zeros(SKETCH, np.int64)
         for batch, texts in chunks(batches, CHUNK_BYTES):
             sets = Sets(texts, words)
@@ -184,14 +291,13 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
             n = len(texts)
             some = pa.array(sets.names, mask=sets.sizes == 0)
             columns = [batch.column("doc_id"), batch.column("text_key"), pa.array(sets.sizes), some]
-            columns += [*map(pa.array, np.ascontiguousarray(sets.parities().T)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())]
+            columns += [pa.array(sets.parities(), pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names)
         parts = [c.astype("<u4").tobytes() for c in np.split(np.minimum(counts, 0xFFFFFFFF), BLOCKS)]
-        columns = [*[pa.nulls(BLOCKS, pa.int64())] * (4 + len(BITS)), pa.array(range(BLOCKS), pa.int32()), pa.array(parts, pa.binary())]
+        columns = [*[pa.nulls(BLOCKS, pa.int64())] * 4, pa.nulls(BLOCKS, pa.binary()), pa.array(range(BLOCKS), pa.int32()), pa.array(parts, pa.binary())]
         yield pa.RecordBatch.from_arrays(columns, names)
 
-    longs = ", ".join(f"{b} long" for b in BITS)
-    schema = f"doc_id long, text_key long, n_shingles long, name long, {longs}, block int, counts binary"
+    schema = "doc_id long, text_key long, n_shingles long, name long, parity binary, block int, counts binary"
     first = materialize(docs.mapInArrow(hashed, schema), "sets")
 
     def summed(table: pa.Table) -> pa.Table:
@@ -204,7 +310,8 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
         sketch[row.block * (SKETCH // BLOCKS) : (row.block + 1) * (SKETCH // BLOCKS)] = np.frombuffer(row.counts, np.int64)
     noise = sketch.mean() + 3 * np.sqrt(sketch.mean())
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
-    kept = first.where("block IS NULL").select("doc_id", "text_key", "n_shingles", "name", *BITS)
+    sent.append(shared)
+    kept = first.where("block IS NULL").select("doc_id", "text_key", "n_shingles", "name", "parity")
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in chunks(batches, CHUNK_BYTES):
@@ -229,7 +336,7 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     rows = docs.select("text").mapInArrow(prefixes, "key long, name long, size int, wanted byte, place int")
     entries = materialize(rows, "prefixes")
     several = materialize(entries.groupBy("key").count().where("count > 1").select("key"), "several")
-    entries = probed(entries, several, "key", KEY_BITS).join(several, "key").dropDuplicates(["key", "name"])
+    entries = probed(entries, several, "key", KEY_BITS, sent).join(several, "key").dropDuplicates(["key", "name"])
     entries = materialize(entries, "buckets")
     ends = entries.groupBy("key").agg(F.min("name").alias("low"), F.max("name").alias("high"), F.min("wanted").alias("least")).where("low < high")
     entries = entries.join(ends, "key")
@@ -237,9 +344,9 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     met = entries.groupBy("name").agg(F.count("*").alias("n"), F.min(F.least("wanted", "least")).alias("m")).where("n >= m").select("name")
     entries = materialize(entries.join(met, "name"), "buckets")
 
-    sources = kept.join(met, "name").groupBy("name").agg(F.min(F.struct("doc_id", "text_key", *BITS)).alias("row"))
+    sources = kept.join(met, "name").groupBy("name").agg(F.min(F.struct("doc_id", "text_key", "parity")).alias("row"))
     sources = materialize(sources.select("name", "row.*"), "sources")
-    docs = probed(docs, sources, "text_key", TEXT_BITS)
+    docs = probed(docs, sources, "text_key", TEXT_BITS, sent)
     texts = docs.join(sources, same_row(docs, sources)).select("name", "text").dropDuplicates(["name"])
     texts = materialize(texts, "texts")
 
@@ -266,39 +373,32 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
 
     found = components(links)
 
-    def with_components() -> DataFrame:
-        rows = entries.join(found, F.col("name") == F.col("node"), "left").join(sources.select("name", *BITS), "name")
-        rows = rows.select("key", "name", "size", "wanted", "place", *BITS, F.coalesce("component", "name").alias("component"))
-        return materialize(rows, "buckets")
+    def open_buckets(rows: DataFrame) -> DataFrame:
+        """Rows with their components as found so far, of the buckets that several components meet in."""
+        rows = rows.drop("component", "times").join(found, F.col("name") == F.col("node"), "left")
+        rows = materialize(rows.select("key", "name", "size", "wanted", "place", F.coalesce("component", "name").alias("component")), "buckets")
+        counts = rows.groupBy("key").agg(F.min("component").alias("p"), F.max("component").alias("q"), F.count("*").alias("times"))
+        return rows.join(counts.where("p < q").select("key", "times"), "key")
 
     # once more, against the ends of each bucket by component
-    placed = with_components()
+    placed = materialize(open_buckets(entries), "open")
     edge = F.struct("component", "name")
-    ends = placed.groupBy("key").agg(F.min(edge).alias("low"), F.max(edge).alias("high")).where("low.component < high.component")
+    ends = placed.groupBy("key").agg(F.min(edge).alias("low"), F.max(edge).alias("high"))
     again = placed.join(ends, "key").select(F.col("name").alias("b"), "component", F.explode(F.array("low", "high")).alias("hub"))
     again = again.where("hub.component <> component").groupBy(F.col("hub.name").alias("a"), "b").count().where("count > 1")
     again = again.withColumn("place", F.row_number().over(likeliest)).where("place <= 2")
     links = materialize(links.unionByName(verified(again)), "links")
     found = components(links)
-    placed = with_components()
-    mixed_keys = placed.groupBy("key").agg(F.min("component").alias("p"), F.max("component").alias("q")).where("p < q").select("key")
-    open_rows = placed.join(mixed_keys, "key")
-    columns = [c for c in placed.columns if c != "key"]
-    left, right = (open_rows.select("key", *[F.col(c).alias(f"{c}_{side}") for c in columns]) for side in "ab")
-    # the least overlap of this pair; what they share that often is among the first of both
-    overlap = F.ceil((F.col("size_a") + F.col("size_b")) * percent / (100 + percent))
-    wanted = F.least("wanted_a", "wanted_b")
-    early = [F.col(f"place_{side}") < F.col(f"size_{side}") - overlap + wanted for side in "ab"]
-    unlike = sum((F.bit_count(F.col(f"{b}_a").bitwiseXOR(F.col(f"{b}_b"))) for b in BITS), F.lit(0))
-    alike = unlike <= F.col("size_a") + F.col("size_b") - 2 * overlap
-    apart = (F.col("name_a") < F.col("name_b")) & (F.col("component_a") != F.col("component_b"))
-    pairs = left.join(right, "key").where(apart & early[0] & early[1] & alike)
-    pairs = pairs.groupBy(F.col("name_a").alias("a"), F.col("name_b").alias("b")).agg(F.count("*").alias("n"), F.min(F.least("wanted_a", "wanted_b")).alias("m"))
+    placed = open_buckets(placed).join(sources.select("name", "parity"), "name")
+    pairs = candidates(placed, percent).groupBy("a", "b").agg(F.count("*").alias("n"), F.min("m").alias("m"))
     more = verified(pairs.where("n >= m"))
     found = components(links.unionByName(more))
 
-    rows = kept.join(found, kept["name"] == found["node"], "left").select(kept["*"], F.coalesce("component", "name").alias("component"))
+    rows = kept.join(found, kept["name"] == found["node"], "left")
+    rows = rows.select("doc_id", "text_key", "n_shingles", F.coalesce("component", "name").alias("component"))
     rows = materialize(rows, "rows")
+    for broadcast in sent:
+        broadcast.destroy()
     smallest = rows.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     out = rows.join(smallest, "component", "left")
     return out.select("doc_id", "text_key", "n_shingles", "component", F.coalesce("component_id", "doc_id").alias("component_id"))

@@ -77,5 +77,54 @@ def test_prefixes_share_as_many_as_wanted():
         assert len(prefix[0] & prefix[1]) >= min(wanted)
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_candidates_are_all_pairs_that_pass_the_tests(spark, monkeypatch, percent):
+    """Of large sets and of buckets in several blocks; parities never leave out a pair that links."""
+    monkeypatch.setattr(similar, "BUCKET_ROWS", 7)
+    monkeypatch.setattr(similar, "PAIRS", 40)
+    rng = random.Random(percent)
+    texts, rows = [], []
+    for n in (30, 600, 3000, 2040):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+        for _ in range(20):
+            text = list(base)
+            for _ in range(rng.randrange(0, n // 25 + 1)):
+                text[rng.randrange(n)] = f"x{rng.randrange(10**6)}"
+            text[-1] = f"y{len(texts)}"  # no two are the same
+            texts.append(" ".join(text).encode())
+    sets = similar.Sets(texts, 3)
+    parities = sets.parities()
+    for i in range(len(texts)):
+        key = i // 20
+        rows.append((key, int(sets.names[i]), int(sets.sizes[i]), 1, 0, i if i % 5 else key, bytearray(parities[i]), 20))
+    schema = "key long, name long, size int, wanted byte, place int, component long, parity binary, times long"
+    frame = spark.createDataFrame(rows, schema).repartition(3)
+    got = [(r.a, r.b) for r in similar.candidates(frame, percent).collect()]
+    assert len(got) == len(set(got))
+    words = [similar.shingles(t, 3) for t in texts]
+    linked, possible = set(), 0
+    for i in range(len(texts)):
+        for j in range(i // 20 * 20, i):
+            if rows[i][5] == rows[j][5] or rows[i][1] == rows[j][1]:
+                continue
+            possible += 1
+            common = len(words[i] & words[j])
+            if 100 * common >= percent * (len(words[i]) + len(words[j]) - common):
+                linked.add((min(rows[i][1], rows[j][1]), max(rows[i][1], rows[j][1])))
+    assert linked <= set(got) and len(got) < possible
+
+
+def test_more_bits_fold_into_fewer():
+    rng = random.Random(1)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(n)).encode() for n in (10, 700, 5000)]
+    whole = similar.Sets(texts, 3).parities()
+    assert [8 * len(p) for p in whole] == list(similar.PARITIES)
+    odd = similar.Sets(texts, 3)
+    for parity, i in zip(whole, range(3), strict=True):
+        places = (odd.hashes[odd.owner == i] >> np.uint64(9)) % np.uint64(256)
+        want = np.packbits((np.bincount(places.astype(int), minlength=256) & 1).astype(np.uint8)).tobytes()
+        assert similar.folded(parity, 0) == want
+
+
 def test_empty_table(spark):
     assert similar.link(spark.createDataFrame([], SCHEMA)).collect() == []
