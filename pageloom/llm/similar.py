@@ -16,7 +16,7 @@ are asked for before a pair is verified. Of two documents the smaller m holds.
    A pair's sizes tell how much it has to share, and so how early; and the parities
    of groups of shingles (more for larger sets) how much it differs at least.
 3. Stars first: each set is verified against the smallest and the largest of
-   its buckets, if it shares more than one with them. This links most of a group of near copies with as many pairs as
+   its buckets, if it shares more than one with them and passes the tests. This links most of a group of near copies with as many pairs as
    members. Buckets of one component are done with. In the others the pairs in
    different components that pass both tests are found where the bucket is,
    large buckets in blocks of BUCKET_ROWS, and only those become rows: a group
@@ -48,6 +48,8 @@ from pageloom.llm.common import chunks, materialize, mixed, offsets, pick, same_
 
 SKETCH, BLOCKS = 1 << 19, 16
 MOST_MATCHES = 4
+#: Hubs that a set is tested against, by sizes and parities, before two of them are verified.
+HUBS = 4
 #: Cost of verifying a pair, in bucket rows looked up.
 VERIFY = 20
 #: Bytes of text that a task works on at a time.
@@ -153,7 +155,7 @@ class Candidates:
         for level, width in enumerate(PARITIES):
             blank = bytes(width // 8)
             bits = [folded(p, level) if own >= level else blank for p, own in zip(parities, self.level.tolist(), strict=True)]
-            self.bits.append(np.frombuffer(b"".join(bits), np.uint64).reshape(len(bits), -1))
+            self.bits.append(np.frombuffer(b"".join(bits), np.uint64).reshape(len(bits), width // 64))
 
     def pairs(self) -> Iterator[pa.RecordBatch]:
         partners = self.end - np.arange(len(self.end)) - 1
@@ -185,6 +187,29 @@ class Candidates:
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(m.astype(np.int8))], ["a", "b", "m"])
 
 
+def possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b, ...) whose sizes and parities allow a link; sets: name, n_shingles, parity."""
+    sides = [sets.select(F.col("name").alias(c), F.col("n_shingles").alias(f"size_{c}"), F.col("parity").alias(f"parity_{c}")) for c in "ab"]
+    names = pairs.columns
+    rows = pairs.join(sides[0], "a").join(sides[1], "b").select(*names, "size_a", "size_b", "parity_a", "parity_b")
+
+    def tested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b.slice(i, 4096) for b in batches for i in range(0, b.num_rows, 4096)):
+            sizes = [batch.column(f"size_{c}").to_numpy() for c in "ab"]
+            both = sizes[0] + sizes[1]
+            overlap = -(-both * percent // (100 + percent))
+            kept, room = overlap <= np.minimum(*sizes), both - 2 * overlap
+            level = parity_level(np.minimum(*sizes))
+            parities = [batch.column(f"parity_{c}").to_pylist() for c in "ab"]
+            for now in range(len(PARITIES)):
+                some = np.flatnonzero(kept & (level >= now))
+                x, y = (np.frombuffer(b"".join(folded(p[i], now) for i in some.tolist()), np.uint64).reshape(len(some), PARITIES[now] // 64) for p in parities)
+                kept[some] = np.bitwise_count(x ^ y).sum(1, dtype=np.int64) <= room[some]
+            yield batch.select(names).filter(pa.array(kept))
+
+    return rows.mapInArrow(tested, pairs.schema)
+
+
 def candidates(rows: DataFrame, percent: int) -> DataFrame:
     """(a, b, m) of the pairs that may link in their buckets; rows: key, name, size, wanted, place, component, parity, times (of the key)."""
     blocks = F.ceil(F.col("times") / BUCKET_ROWS).cast("int")
@@ -344,7 +369,7 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     met = entries.groupBy("name").agg(F.count("*").alias("n"), F.min(F.least("wanted", "least")).alias("m")).where("n >= m").select("name")
     entries = materialize(entries.join(met, "name"), "buckets")
 
-    sources = kept.join(met, "name").groupBy("name").agg(F.min(F.struct("doc_id", "text_key", "parity")).alias("row"))
+    sources = kept.join(met, "name").groupBy("name").agg(F.min(F.struct("doc_id", "text_key", "n_shingles", "parity")).alias("row"))
     sources = materialize(sources.select("name", "row.*"), "sources")
     docs = probed(docs, sources, "text_key", TEXT_BITS, sent)
     texts = docs.join(sources, same_row(docs, sources)).select("name", "text").dropDuplicates(["name"])
@@ -367,9 +392,14 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
 
     star = entries.select(F.col("name").alias("b"), F.explode(F.array("low", "high")).alias("a")).where("a <> b")
     star = star.groupBy("a", "b").count().where("count > 1")
-    likeliest = Window.partitionBy("b").orderBy(F.desc("count"), "a")
-    star = star.withColumn("place", F.row_number().over(likeliest)).where("place <= 2")
-    links = verified(star)
+
+    def likeliest(pairs: DataFrame) -> DataFrame:
+        """Of the HUBS hubs that a set shares most keys with, the two first that it may link with."""
+        order = Window.partitionBy("b").orderBy(F.desc("count"), "a")
+        first = pairs.withColumn("place", F.row_number().over(order)).where(F.col("place") <= HUBS).drop("place")
+        return possible(first, sources, percent).withColumn("place", F.row_number().over(order)).where("place <= 2")
+
+    links = verified(likeliest(star))
 
     found = components(links)
 
@@ -386,8 +416,7 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     ends = placed.groupBy("key").agg(F.min(edge).alias("low"), F.max(edge).alias("high"))
     again = placed.join(ends, "key").select(F.col("name").alias("b"), "component", F.explode(F.array("low", "high")).alias("hub"))
     again = again.where("hub.component <> component").groupBy(F.col("hub.name").alias("a"), "b").count().where("count > 1")
-    again = again.withColumn("place", F.row_number().over(likeliest)).where("place <= 2")
-    links = materialize(links.unionByName(verified(again)), "links")
+    links = materialize(links.unionByName(verified(likeliest(again))), "links")
     found = components(links)
     placed = open_buckets(placed).join(sources.select("name", "parity"), "name")
     pairs = candidates(placed, percent).groupBy("a", "b").agg(F.count("*").alias("n"), F.min("m").alias("m"))

@@ -112,6 +112,11 @@ def test_candidates_are_all_pairs_that_pass_the_tests(spark, monkeypatch, percen
             if 100 * common >= percent * (len(words[i]) + len(words[j]) - common):
                 linked.add((min(rows[i][1], rows[j][1]), max(rows[i][1], rows[j][1])))
     assert linked <= set(got) and len(got) < possible
+    sets_table = spark.createDataFrame([(r[1], r[2], r[6]) for r in rows], "name long, n_shingles long, parity binary")
+    every = [(rows[i][1], rows[j][1], 3) for i in range(len(rows)) for j in range(i)]
+    pairs = spark.createDataFrame(every, "a long, b long, count long")
+    left = {(min(r.a, r.b), max(r.a, r.b)) for r in similar.possible(pairs, sets_table, percent).collect()}
+    assert linked <= left and len(left) < len(every) / 2
 
 
 def test_more_bits_fold_into_fewer():
