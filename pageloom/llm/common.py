@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,9 +32,9 @@ def pick(df: DataFrame, keep: tuple[str, ...] = (), **types: str) -> DataFrame:
     return plain.select(*[place(n).cast(t).alias(n) for n, t in types.items()], *[place(n).alias(n) for n in keep])
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """The table, written to the shared folder and read back: lineage ends here."""
-    path = run_dir(df.sparkSession, name)
+def materialize(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    """The table, written to the shared folder, or a given one below it, and read back: lineage ends here."""
+    path = f"{folder}/{name}-{uuid.uuid4().hex}" if folder else run_dir(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

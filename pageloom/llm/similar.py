@@ -37,6 +37,7 @@ their own. An empty table gives an empty table.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +45,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pageloom.llm.common import chunks, materialize, mixed, offsets, pick, same_row, text_key
+from pageloom.llm.common import chunks, materialize, mixed, offsets, pick, ragged, same_row, text_key
+from pageloom.session import release, run_dir
 
 SKETCH, BLOCKS = 1 << 19, 16
 MOST_MATCHES = 4
@@ -245,66 +247,62 @@ def cells(hashes: np.ndarray) -> np.ndarray:
     return (mixed(hashes) % np.uint64(SKETCH)).astype(np.int64)
 
 
-def matches_wanted(estimate: np.ndarray, size: int, percent: int) -> int:
-    """The m of least estimated cost for a set whose shingles' estimated counts are given in order."""
+def matches_wanted(estimate: np.ndarray, size, percent: int, start=0) -> np.ndarray:
+    """The m of least estimated cost for sets of a size, each a run of the estimates from its start.
+
+    estimate: whole counts of shingles, ascending within a set.
+    """
+    upto = offsets(estimate)
     short = size - least_overlap(size, percent)
-    best, cost = 1, None
+    best, least = np.ones_like(short), np.full_like(short, np.inf, dtype=float)
     for m in range(1, MOST_MATCHES + 1):
-        if short + m > size:
-            break
-        prefix = estimate[: short + m]
-        looked_up = prefix.sum()
+        end = start + np.minimum(short + m, size)
+        looked_up = upto[end] - upto[start]
         # a candidate shares m shingles: it is looked up m times, and once apart from the m - 1 most frequent
-        candidates = min(looked_up / m, looked_up - np.sort(prefix)[len(prefix) - m + 1 :].sum())
-        if cost is None or looked_up + VERIFY * candidates < cost:
-            best, cost = m, looked_up + VERIFY * candidates
+        cost = looked_up + VERIFY * np.minimum(looked_up / m, upto[np.maximum(end - m + 1, start)] - upto[start])
+        better = (cost < least) & ((m == 1) | (short + m <= size))
+        best, least = np.where(better, m, best), np.where(better, cost, least)
     return best
 
 
-def components(links: DataFrame) -> DataFrame:
-    """node and component (its smallest node) of links (a, b)."""
+def components(links: DataFrame, folder: str | None = None) -> DataFrame:
+    """node and component (its smallest node) of links (a, b); its tables lie in a folder."""
     edges = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    edges = materialize(edges, "edges")
+    edges = materialize(edges, "edges", folder)
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = materialize(large.where("u <> v").distinct(), "edges")
+        large = materialize(large.where("u <> v").distinct(), "edges", folder)
         lower = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(lower, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
-        small = materialize(small.select("e.*").where("u <> v").distinct(), "edges")
+        small = materialize(small.select("e.*").where("u <> v").distinct(), "edges", folder)
         sign = lambda e: e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if sign(small) == sign(edges):
             return small.select(F.col("u").alias("node"), F.col("v").alias("component"))
         edges = small
 
 
-def probed(rows: DataFrame, wanted: DataFrame, column: str, size: int, sent: list) -> DataFrame:
+def probed(rows: DataFrame, wanted: DataFrame, column: str, size: int) -> DataFrame:
     """Rows whose hash in a column may be among the wanted ones, by a bitmap of a fixed size.
 
     It saves shuffling rows that a join would drop; with very many wanted hashes
-    all bits are set and nothing is left out. sent gets the broadcast, to be destroyed after use.
+    all bits are set and nothing is left out. The bitmap comes to the rows as a
+    table of at most size / 32768 rows of 4096 bytes.
     """
     bit = F.pmod(column, F.lit(size)) + 1  # buckets and positions count from 1
-    maps = wanted.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
-    bits = np.zeros(size // 8, np.uint8)
-    for row in maps.collect():  # size bits altogether
-        bits[(row.bucket - 1) * 4096 : row.bucket * 4096] = np.frombuffer(row.bits, np.uint8)
-    shared = rows.sparkSession.sparkContext.broadcast(bits)
-    sent.append(shared)
-
-    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.column(column).to_numpy() % size
-            yield batch.filter(pa.array((shared.value[at >> 3] >> (at & 7) & 1).astype(bool)))
-
-    return rows.mapInArrow(probe, rows.schema)
+    bucket, position = F.bitmap_bucket_number(bit), F.bitmap_bit_position(bit)
+    maps = wanted.groupBy(bucket.alias("bitmap")).agg(F.bitmap_construct_agg(position).alias("bits"))
+    byte = F.substring("bits", (F.shiftright(position, 3) + 1).cast("int"), F.lit(1))
+    is_set = F.getbit(F.conv(F.hex(byte), 16, 10).cast("long"), (position % 8).cast("int")) == 1
+    return rows.join(F.broadcast(maps), bucket == F.col("bitmap")).where(is_set).select(*rows.columns)
 
 
 def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, text_key, n_shingles, component (null without shingles) and component_id of every row."""
     docs = pick(docs, doc_id="long", text="string").select("doc_id", text_key(), "text")
-    sent: list = []
+    folder = run_dir(docs.sparkSession, "similar")  # of all tables but the last; deleted in the end
+    table = partial(materialize, folder=folder)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "text_key", "n_shingles", "name", "parity", "block", "counts"]
@@ -323,19 +321,18 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
         yield pa.RecordBatch.from_arrays(columns, names)
 
     schema = "doc_id long, text_key long, n_shingles long, name long, parity binary, block int, counts binary"
-    first = materialize(docs.mapInArrow(hashed, schema), "sets")
+    first = table(docs.mapInArrow(hashed, schema), "sets")
 
-    def summed(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(b, "<u4").astype(np.int64) for b in table.column("counts").to_pylist())
-        return pa.table({"block": table.column("block").slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
+    def summed(parts: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(b, "<u4").astype(np.int64) for b in parts.column("counts").to_pylist())
+        return pa.table({"block": parts.column("block").slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
 
     blocks = first.where("block IS NOT NULL").select("block", "counts").groupBy("block").applyInArrow(summed, "block int, counts binary")
     sketch = np.zeros(SKETCH, np.int64)
     for row in blocks.collect():  # BLOCKS rows, SKETCH cells
         sketch[row.block * (SKETCH // BLOCKS) : (row.block + 1) * (SKETCH // BLOCKS)] = np.frombuffer(row.counts, np.int64)
-    noise = sketch.mean() + 3 * np.sqrt(sketch.mean())
+    noise = int(sketch.mean() + 3 * np.sqrt(sketch.mean()))
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
-    sent.append(shared)
     kept = first.where("block IS NULL").select("doc_id", "text_key", "n_shingles", "name", "parity")
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -344,37 +341,27 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
             counts = shared.value[cells(sets.hashes)]
             order = np.lexsort((sets.hashes, counts, sets.owner))
             hashes, estimates = sets.hashes[order], np.maximum(counts[order] - noise, 1)
-            keys, docs_of, sizes, wanted, places = [], [], [], [], []
-            for i in sets.distinct():
-                a, n = sets.starts[i], int(sets.sizes[i])
-                m = matches_wanted(estimates[a : a + n], n, percent)
-                taken = n - least_overlap(n, percent) + m
-                keys.append(hashes[a : a + taken])
-                docs_of.append(np.full(taken, sets.names[i]))
-                sizes.append(np.full(taken, n, np.int32))
-                wanted.append(np.full(taken, m, np.int8))
-                places.append(np.arange(taken, dtype=np.int32))
-            if keys:
-                columns = [pa.array(np.concatenate(c)) for c in ([k.view(np.int64) for k in keys], docs_of, sizes, wanted, places)]
-                yield pa.RecordBatch.from_arrays(columns, ["key", "name", "size", "wanted", "place"])
+            some = sets.distinct()
+            start, size = sets.starts[some], sets.sizes[some]
+            wanted = matches_wanted(estimates, size, percent, start)
+            taken = size - least_overlap(size, percent) + wanted
+            at, entry = ragged(start, taken), np.repeat(np.arange(len(some)), taken)
+            columns = [hashes[at].view(np.int64), sets.names[some][entry], size[entry].astype(np.int32), wanted[entry].astype(np.int8), (at - start[entry]).astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "name", "size", "wanted", "place"])
 
     rows = docs.select("text").mapInArrow(prefixes, "key long, name long, size int, wanted byte, place int")
-    entries = materialize(rows, "prefixes")
-    several = materialize(entries.groupBy("key").count().where("count > 1").select("key"), "several")
-    entries = probed(entries, several, "key", KEY_BITS, sent).join(several, "key").dropDuplicates(["key", "name"])
-    entries = materialize(entries, "buckets")
+    entries = table(rows, "prefixes")
+    several = table(entries.groupBy("key").count().where("count > 1").select("key"), "several")
+    entries = probed(entries, several, "key", KEY_BITS).join(several, "key").dropDuplicates(["key", "name"])
+    entries = table(entries, "buckets")
     ends = entries.groupBy("key").agg(F.min("name").alias("low"), F.max("name").alias("high"), F.min("wanted").alias("least")).where("low < high")
     entries = entries.join(ends, "key")
     # sets that share too little with all others together need no look at their texts
     met = entries.groupBy("name").agg(F.count("*").alias("n"), F.min(F.least("wanted", "least")).alias("m")).where("n >= m").select("name")
-    entries = materialize(entries.join(met, "name"), "buckets")
+    entries = table(entries.join(met, "name"), "buckets")
 
     sources = kept.join(met, "name").groupBy("name").agg(F.min(F.struct("doc_id", "text_key", "n_shingles", "parity")).alias("row"))
-    sources = materialize(sources.select("name", "row.*"), "sources")
-    docs = probed(docs, sources, "text_key", TEXT_BITS, sent)
-    texts = docs.join(sources, same_row(docs, sources)).select("name", "text").dropDuplicates(["name"])
-    texts = materialize(texts, "texts")
-
+    sources = table(sources.select("name", "row.*"), "sources")
     def verified(pairs: DataFrame) -> DataFrame:
         def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in (b.slice(i, 256) for b in batches for i in range(0, b.num_rows, 256)):
@@ -385,10 +372,16 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
                     same.append(100 * common >= percent * (len(p) + len(q) - common))
                 yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(same))
 
+        # only texts of pairs move
+        pairs = table(pairs.select("a", "b"), "pairs")
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct()
+        wanted = table(wanted.join(sources.select("name", "doc_id", "text_key"), "name"), "wanted")
+        rows = probed(docs, wanted, "text_key", TEXT_BITS)
+        texts = rows.join(wanted, same_row(rows, wanted)).select("name", "text").dropDuplicates(["name"])
         left = texts.select(F.col("name").alias("a"), F.col("text").alias("x"))
         right = texts.select(F.col("name").alias("b"), F.col("text").alias("y"))
-        both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y")
-        return materialize(both.mapInArrow(check, "a long, b long"), "links")
+        both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
+        return table(both.mapInArrow(check, "a long, b long"), "links")
 
     star = entries.select(F.col("name").alias("b"), F.explode(F.array("low", "high")).alias("a")).where("a <> b")
     star = star.groupBy("a", "b").count().where("count > 1")
@@ -401,33 +394,33 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
 
     links = verified(likeliest(star))
 
-    found = components(links)
+    found = components(links, folder)
 
     def open_buckets(rows: DataFrame) -> DataFrame:
         """Rows with their components as found so far, of the buckets that several components meet in."""
         rows = rows.drop("component", "times").join(found, F.col("name") == F.col("node"), "left")
-        rows = materialize(rows.select("key", "name", "size", "wanted", "place", F.coalesce("component", "name").alias("component")), "buckets")
+        rows = table(rows.select("key", "name", "size", "wanted", "place", F.coalesce("component", "name").alias("component")), "buckets")
         counts = rows.groupBy("key").agg(F.min("component").alias("p"), F.max("component").alias("q"), F.count("*").alias("times"))
         return rows.join(counts.where("p < q").select("key", "times"), "key")
 
     # once more, against the ends of each bucket by component
-    placed = materialize(open_buckets(entries), "open")
+    placed = table(open_buckets(entries), "open")
     edge = F.struct("component", "name")
     ends = placed.groupBy("key").agg(F.min(edge).alias("low"), F.max(edge).alias("high"))
     again = placed.join(ends, "key").select(F.col("name").alias("b"), "component", F.explode(F.array("low", "high")).alias("hub"))
     again = again.where("hub.component <> component").groupBy(F.col("hub.name").alias("a"), "b").count().where("count > 1")
-    links = materialize(links.unionByName(verified(likeliest(again))), "links")
-    found = components(links)
+    links = table(links.unionByName(verified(likeliest(again))), "links")
+    found = components(links, folder)
     placed = open_buckets(placed).join(sources.select("name", "parity"), "name")
     pairs = candidates(placed, percent).groupBy("a", "b").agg(F.count("*").alias("n"), F.min("m").alias("m"))
     more = verified(pairs.where("n >= m"))
-    found = components(links.unionByName(more))
+    found = components(links.unionByName(more), folder)
 
     rows = kept.join(found, kept["name"] == found["node"], "left")
     rows = rows.select("doc_id", "text_key", "n_shingles", F.coalesce("component", "name").alias("component"))
     rows = materialize(rows, "rows")
-    for broadcast in sent:
-        broadcast.destroy()
+    shared.destroy()
+    release(docs.sparkSession, folder)
     smallest = rows.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     out = rows.join(smallest, "component", "left")
     return out.select("doc_id", "text_key", "n_shingles", "component", F.coalesce("component_id", "doc_id").alias("component_id"))
@@ -436,12 +429,19 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The first row by doc_id (null comes last) of each component, and every row without shingles; all columns."""
     linked = link(docs, words, percent)
-    first = linked.where("component IS NOT NULL").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("row"))
-    first = first.select("row.doc_id", "row.text_key", F.lit(True).alias("linked"))
-    alone = linked.where("component IS NULL").select("doc_id", "text_key", F.lit(False).alias("linked")).distinct()
+    groups = linked.groupBy("component", "doc_id", "text_key").agg(F.count("*").alias("times"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key", "times")
+    first = groups.where("component IS NOT NULL").groupBy("component").agg(F.min(order).alias("row")).select("row.doc_id", "row.text_key", "row.times")
+    alone = groups.where("component IS NULL").select("doc_id", "text_key", F.lit(1).cast("long").alias("times"))
     chosen = materialize(first.unionByName(alone), "chosen")
-    rows = docs.withColumn("text_key", F.xxhash64("text"))
-    rows = rows.join(chosen, same_row(rows, chosen)).select(*[rows[c] for c in docs.columns], rows["text_key"], "linked")
-    # of repeated rows one
-    one = rows.where("linked").dropDuplicates(["doc_id", "text_key"])
-    return one.unionByName(rows.where("NOT linked")).select(*docs.columns)
+    # the columns have other names meanwhile, so that none clashes
+    rows = docs.toDF(*[f"_{i}" for i in range(len(docs.columns))])
+    place = lambda c: F.col(f"_{docs.columns.index(c)}")
+    rows = rows.withColumn("doc_id", place("doc_id").cast("long")).withColumn("text_key", F.xxhash64(place("text").cast("string")))
+
+    def taken(groups: DataFrame) -> DataFrame:
+        return rows.join(groups, same_row(rows, groups)).select(*[rows[c] for c in rows.columns])
+
+    # of repeated rows one; no other row has to move for that
+    repeated = taken(chosen.where("times > 1")).dropDuplicates(["doc_id", "text_key"])
+    return taken(chosen.where("times = 1")).unionByName(repeated).drop("doc_id", "text_key").toDF(*docs.columns)
