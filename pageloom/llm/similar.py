@@ -59,6 +59,8 @@ CHUNK_BYTES = 4 << 20
 #: Bits of the maps of texts that are needed to verify pairs, and of shingles that several sets look up.
 TEXT_BITS, KEY_BITS = 1 << 22, 1 << 26
 STEP = np.uint64(0x9E3779B97F4A7C15)
+#: Counts in the order of shingles beyond this are alike.
+MOST_COUNT = 0xFFFFFFFF
 
 
 #: Two sets differ by at least as many shingles as their parities differ by bits. Sets of more than half as many
@@ -80,13 +82,31 @@ def shingles(text: bytes, words: int) -> set[tuple[bytes, ...]]:
     return set(zip(*(split[i:] for i in range(words)), strict=False))
 
 
+def lower_words(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """Words of texts in lower case, one after the other, and how many each text has."""
+    raw = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
+    raw = raw + np.where((raw >= 65) & (raw <= 90), np.uint8(32), np.uint8(0))
+    inside = (raw != 32) & ((raw < 9) | (raw > 13))
+    edges = np.flatnonzero(np.diff(inside, prepend=False))
+    first, after = edges[::2], edges[1::2]  # the last byte is a blank
+    flat = [None, pa.py_buffer(offsets(after - first)), pa.py_buffer(raw[inside])]
+    bounds = offsets([len(t) + 1 for t in texts])
+    return pa.Array.from_buffers(pa.large_binary(), len(first), flat), np.diff(np.searchsorted(first, bounds))
+
+
+def sort_runs(values: np.ndarray, starts: np.ndarray) -> None:
+    """Sorts each of some runs, one after the other, in place."""
+    bounds = starts.tolist()
+    for a, b in zip(bounds, bounds[1:], strict=False):
+        values[a:b].sort()
+
+
 class Sets:
     """Hashed shingle sets of the texts of a chunk, each sorted, one after the other."""
 
     def __init__(self, texts: list[bytes], words: int):
-        split = [t.lower().split() for t in texts]
-        lengths = np.array([len(s) for s in split], np.int64)
-        coded = pa.array([w for s in split for w in s], pa.large_binary()).dictionary_encode()
+        split, lengths = lower_words(texts)
+        coded = split.dictionary_encode()
         named = np.array([xxhash.xxh3_64_intdigest(w) for w in coded.dictionary.to_pylist()], np.uint64)
         names = named[coded.indices.to_numpy()]
         starts = offsets(lengths)
@@ -98,8 +118,7 @@ class Sets:
         for i in range(words):
             inside = size[owner] > i
             hashes[inside] = mixed(hashes[inside] * STEP + names[first[inside] + i])
-        order = np.lexsort((hashes, owner))
-        hashes, owner = hashes[order], owner[order]
+        sort_runs(hashes, offsets(np.bincount(owner, minlength=len(texts))))
         new = np.r_[True, (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])][: len(hashes)]
         self.hashes, self.owner = hashes[new], owner[new]
         self.sizes = np.bincount(self.owner, minlength=len(texts))
@@ -338,9 +357,11 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in chunks(batches, CHUNK_BYTES):
             sets = Sets(texts, words)
-            counts = shared.value[cells(sets.hashes)]
-            order = np.lexsort((sets.hashes, counts, sets.owner))
-            hashes, estimates = sets.hashes[order], np.maximum(counts[order] - noise, 1)
+            order = np.minimum(shared.value[cells(sets.hashes)], MOST_COUNT).astype(np.uint64) << np.uint64(32)
+            order |= (np.arange(len(order)) - sets.starts[sets.owner]).astype(np.uint64)
+            sort_runs(order, sets.starts)  # by count, and by hash, as the sets are sorted
+            counts, place = (order >> np.uint64(32)).astype(np.int64), (order & np.uint64(MOST_COUNT)).astype(np.int64)
+            hashes, estimates = sets.hashes[sets.starts[sets.owner] + place], np.maximum(counts - noise, 1)
             some = sets.distinct()
             start, size = sets.starts[some], sets.sizes[some]
             wanted = matches_wanted(estimates, size, percent, start)
