@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pageloom.llm.common import chunks, offsets, pick, ragged, text_key
+from pageloom.llm.common import chunks, offsets, pick, ragged, shuffle_partitions, text_key
 
 #: Longer documents are encoded in pieces of so many characters.
 PIECE_CHARS = 1 << 16
@@ -287,14 +287,16 @@ def encode(docs: DataFrame, path: str, decode: bool = False, piece_chars: int =
         return pa.Table.from_batches([finished(coder, pa.array(doc_ids, pa.int64()), [ids] * copies)])
 
     short = docs.where(~F.coalesce(long, F.lit(False))).mapInArrow(whole, schema)
-    cut = docs.where(long).select(
-        "doc_id",
-        text_key(),
-        F.col("text").alias("all"),
-        F.explode(F.sequence(F.lit(0), F.floor((F.length("text") - 1) / piece_chars).cast("int"))).alias("piece"),
-    )
-    cut = cut.select("doc_id", "text_key", "piece", F.substring("all", F.col("piece") * piece_chars + 1, F.lit(piece_chars)).alias("text"))
-    done = cut.repartition("doc_id", "text_key", "piece").mapInArrow(
-        pieces, "doc_id long, text_key long, piece int, text string, ids binary, first binary, after binary"
-    )
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc_id, key, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_key", "text")), strict=True):
+                parts = [text[i : i + piece_chars] for i in range(0, len(text), piece_chars)]
+                columns = [pa.array([doc_id] * len(parts), pa.int64()), pa.array([key] * len(parts), pa.int64())]
+                columns += [pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "piece", "text"])
+
+    dealt = docs.where(long).select("doc_id", text_key(), "text").mapInArrow(cut, "doc_id long, text_key long, piece int, text string")
+    # with a given number, as adaptive execution would put the few pieces back into one task
+    dealt = dealt.repartition(shuffle_partitions(docs.sparkSession), "doc_id", "text_key", "piece")
+    done = dealt.mapInArrow(pieces, "doc_id long, text_key long, piece int, text string, ids binary, first binary, after binary")
     return short.unionByName(done.groupBy("doc_id", "text_key").applyInArrow(joined, schema))
