@@ -133,3 +133,21 @@ def test_more_bits_fold_into_fewer():
 
 def test_empty_table(spark):
     assert similar.link(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_keep_one_with_clashing_columns_and_repeated_rows(spark):
+    text = "one two three four five six seven"
+    rows = [(1, text, "a", "k"), (1, text, "a", "k"), (2, text.upper(), "b", "k"), (None, "", "c", None), (None, "", "c", None), (3, "x y", "d", "l")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, linked string, text_key string")
+    kept = similar.keep_one(docs, 5, 80)
+    assert kept.columns == docs.columns
+    got = sorted((tuple(r) for r in kept.collect()), key=str)
+    assert got == sorted([rows[0], rows[3], rows[4], rows[5]], key=str)
+
+
+def test_words_are_those_of_a_split_on_ascii_white_space():
+    texts = [b"", b" ", b"A b\x0bC\x1cd", "É é\tx".encode(), b"\n\nlast"]
+    words, counts = similar.lower_words(texts)
+    split = [t.lower().split() for t in texts]
+    assert words.to_pylist() == [w for s in split for w in s]
+    assert counts.tolist() == [len(s) for s in split]
