@@ -93,6 +93,12 @@ def give_back() -> None:
         trim(0)
 
 
+def give_back_driver(spark: SparkSession) -> None:
+    """The driver lets go of finished plans: their broadcasts and shuffles stay until its JVM collects them."""
+    spark.sparkContext._jvm.System.gc()
+    give_back()
+
+
 def _chunks(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     for batch in batches:
         texts = raw_texts(batch.column("text"))

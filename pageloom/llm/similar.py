@@ -45,7 +45,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pageloom.llm.common import chunks, materialize, mixed, offsets, pick, ragged, same_row, text_key
+from pageloom.llm.common import chunks, give_back_driver, materialize, mixed, offsets, pick, ragged, same_row, text_key
 from pageloom.session import release, run_dir
 
 SKETCH, BLOCKS = 1 << 19, 16
@@ -298,6 +298,7 @@ def components(links: DataFrame, folder: str | None = None) -> DataFrame:
         small = materialize(small.select("e.*").where("u <> v").distinct(), "edges", folder)
         sign = lambda e: e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if sign(small) == sign(edges):
+            give_back_driver(links.sparkSession)
             return small.select(F.col("u").alias("node"), F.col("v").alias("component"))
         edges = small
 
@@ -402,7 +403,9 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
         left = texts.select(F.col("name").alias("a"), F.col("text").alias("x"))
         right = texts.select(F.col("name").alias("b"), F.col("text").alias("y"))
         both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-        return table(both.mapInArrow(check, "a long, b long"), "links")
+        done = table(both.mapInArrow(check, "a long, b long"), "links")
+        give_back_driver(docs.sparkSession)  # of plans with a dozen joins each
+        return done
 
     star = entries.select(F.col("name").alias("b"), F.explode(F.array("low", "high")).alias("a")).where("a <> b")
     star = star.groupBy("a", "b").count().where("count > 1")
@@ -442,6 +445,7 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     rows = materialize(rows, "rows")
     shared.destroy()
     release(docs.sparkSession, folder)
+    give_back_driver(docs.sparkSession)
     smallest = rows.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     out = rows.join(smallest, "component", "left")
     return out.select("doc_id", "text_key", "n_shingles", "component", F.coalesce("component_id", "doc_id").alias("component_id"))
