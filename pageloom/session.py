@@ -2,13 +2,30 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+#: Folders of ``run_dir`` made inside the innermost ``scratch`` block.
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
+@cache
+def _own_dir() -> str:
+    """One temporary folder for a process, deleted when it ends."""
+    folder = tempfile.mkdtemp(prefix="pageloom-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it.
@@ -20,12 +37,33 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError(f"{CHECKPOINT_CONF} is not set")
-    return tempfile.mkdtemp(prefix="pageloom-")
+    return _own_dir()
 
 
 def run_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared one."""
-    return f"{shared_dir(spark)}/pageloom/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/pageloom/{name}-{uuid.uuid4().hex}"
+    made = _made.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Folders that operators make inside the block are deleted at its end, also after a failure.
+
+    Their results read from them, so write results to a folder of your own
+    inside the block. Blocks may be nested; other threads are not concerned.
+    """
+    folders: list[str] = []
+    before = _made.set(folders)
+    try:
+        yield
+    finally:
+        _made.reset(before)
+        for path in folders:
+            release(spark, path)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
