@@ -20,7 +20,8 @@ the training texts and that type.
 Counting, training and scoring cover every row. Tokens have 64-bit names. Null
 texts are empty, with the end as their only token. A null doc_id counts as
 training. Rows that share a doc_id are texts of their own. Without training
-texts every token is the unseen type, and scores are 0.
+texts every token is the unseen type, and scores are 0. An empty table gives an
+empty table.
 """
 
 from __future__ import annotations

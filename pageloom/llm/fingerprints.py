@@ -9,7 +9,9 @@ each bin are packed, 16 bins to a long, and written as 256 hex digits.
 Two fingerprints' share of equal digits is corrected for equality by chance
 (1/16). Texts of fewer than five words are one shingle. Null is empty; an empty
 text's fingerprint is "", which is like another "" (1.0) and like nothing else
-(0.0). Equal texts have equal fingerprints.
+(0.0). Equal texts have equal fingerprints. Repeated rows, and rows that share a
+doc_id or have none, are documents of their own; an empty table gives an empty
+table.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ Everything is done in the row: nothing is shuffled.
 
 Texts are normalised: lower case, and anything but letters and digits is a
 blank. Null and empty texts have no licence. Of a licence's templates the best
-counts. Ties for the best licence go to the smaller name.
+counts. Ties for the best licence go to the smaller name. Repeated rows give
+repeated results, and an empty table gives an empty table.
 """
 
 from __future__ import annotations
