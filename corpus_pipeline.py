@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pageloom.llm import quality, similar, suffixes
 from pageloom.llm.common import materialize
 from pageloom.llm.queries import LEAST_QUALITY, packed, quality_model, table
+from pageloom.session import release, run_dir, scratch
 
 #: What the classifier rejects and which copy stays can't be said in SQL.
 ORACLE_SQL = None
@@ -50,7 +51,19 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """Pieces of the documents that all stages keep.
+
+    A stage's own tables are deleted when its result is written, and that
+    result when the next one is. Null and empty texts, rows without a doc_id
+    and repeated rows are judged by each stage as its operator says; an empty
+    table gives an empty table.
+    """
+    docs, read = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        folder = run_dir(spark, name.replace(" ", "-"))
+        with scratch(spark):
+            docs = materialize(stage(spark, docs, sf_dir), "documents", folder)
+        if read:
+            release(spark, read)
+        read = folder
     return STAGES[-1][1](spark, docs, sf_dir)
