@@ -7,15 +7,22 @@ A page or a file may hold a large share of all items. Items are therefore cut
 into chunks by their number and pages into parts; each chunk and each part
 becomes one row where it lands, and only those rows are brought together. What
 meets in one task is the one string it has to become.
+
+Before anything moves, items that follow each other on one line become one
+string, so that what moves is about the text and not a record for each word.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pageloom.functions.render import page_limit
 from pageloom.operators.pdf_info import doc_info
@@ -32,6 +39,10 @@ PAGE_LEAD = "\n\n"
 # Written before the text of an item on another line than the one before it.
 LINE_BREAK = "\n"
 
+# Between the items of a run; an item that holds it is a run of its own.
+ITEM_MARK = "\x1f"
+RUNS = "array<struct<item_seq: bigint, str: string, y: double, items: int>>"
+
 
 @dataclass(frozen=True)
 class Page:
@@ -74,27 +85,104 @@ def _joined(rows: Column, text: str, start_y: str, end_y: str) -> Column:
     )
 
 
+def item_runs(items: DataFrame, chunk_items: int = CHUNK_ITEMS) -> DataFrame:
+    """``(source, page_no, chunk, runs)``: items that follow each other in the table, put together in place.
+
+    A run ``(item_seq, str, y, items)`` holds items with numbers one after
+    another and one ``y``; ``str`` is their texts with ``ITEM_MARK`` between
+    them. A chunk may have several rows, with runs in any order. Items in no
+    order at all are runs of one item.
+    """
+    rows = items.select(
+        "source",
+        "page_no",
+        F.col("item_seq").cast("bigint").alias("item_seq"),
+        F.coalesce("str", F.lit("")).alias("str"),
+        F.col("y").cast("double").alias("y"),
+    )
+    keys, mark = ["source", "page_no"], ITEM_MARK
+    made = [T.StructField("chunk", T.LongType()), T.StructField("runs", T.DataType.fromDDL(RUNS))]
+    schema = T.StructType([*[rows.schema[key] for key in keys], *made])
+
+    def starts(changed: np.ndarray) -> np.ndarray:
+        return np.flatnonzero(np.concatenate(([True], changed)))
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            seq, y = batch.column("item_seq"), batch.column("y")
+            number, bits = seq.fill_null(0).to_numpy(), y.fill_null(0.0).to_numpy().view(np.int64)
+            chunk = pa.array(np.floor(number / chunk_items).astype(np.int64), mask=seq.is_null().to_numpy(zero_copy_only=False))
+            other = np.zeros(batch.num_rows - 1, bool)
+            for key in (*(batch.column(key) for key in keys), chunk):
+                codes = pc.dictionary_encode(key, null_encoding="encode").indices.to_numpy()
+                other |= codes[1:] != codes[:-1]
+            alone = pc.or_(pc.match_substring(batch.column("str"), mark), pc.or_(seq.is_null(), y.is_null(nan_is_null=True)))
+            alone = alone.to_numpy(zero_copy_only=False)
+            broken = other | (number[1:] != number[:-1] + 1) | (bits[1:] != bits[:-1]) | alone[1:] | alone[:-1]
+            chunk_at, run_at = starts(other), starts(broken)
+            ends = np.append(run_at, batch.num_rows)
+            texts = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), batch.column("str"))
+            first, sizes = pa.array(run_at), pa.array(np.diff(ends), pa.int32())
+            runs = [seq.take(first), pc.binary_join(texts, mark), y.take(first), sizes]
+            runs = pa.StructArray.from_arrays(runs, ["item_seq", "str", "y", "items"])
+            offsets = np.append(np.searchsorted(run_at, chunk_at), len(run_at))
+            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), runs)
+            columns = [column.take(pa.array(chunk_at)) for column in (*(batch.column(key) for key in keys), chunk)]
+            yield pa.RecordBatch.from_arrays([*columns, lists], schema.names)
+
+    return rows.mapInArrow(gather, schema)
+
+
+def _run_items(run: Column) -> Column:
+    """The items of a run."""
+    texts = F.when(run["items"] == 1, F.array(run["str"])).otherwise(F.split(run["str"], ITEM_MARK, -1))
+    return F.transform(texts, lambda text, i: F.struct((run["item_seq"] + i).alias("item_seq"), text.alias("str"), run["y"].alias("y")))
+
+
 def text_chunks(items: DataFrame, chunk_items: int = CHUNK_ITEMS, with_items: bool = False) -> DataFrame:
     """``(source, page_no, chunk, body, first_y, last_y, broken[, items])``.
 
-    Items are gathered per chunk before the exchange already, so what moves is
-    one row per chunk and task. A chunk is bounded by its item numbers.
+    Runs of items are gathered per chunk. A chunk is bounded by its item
+    numbers, which are integers. Runs are taken apart only where their numbers
+    overlap, or for ``with_items``.
     """
-    item = F.struct("item_seq", F.coalesce("str", F.lit("")).alias("str"), F.col("y").cast("double").alias("y"))
     gathered = (
-        items.withColumn("chunk", F.floor(F.col("item_seq") / chunk_items))
+        item_runs(items, chunk_items)
         .groupBy("source", "page_no", "chunk")
-        .agg(F.sort_array(F.collect_list(item)).alias("items"))
+        .agg(F.sort_array(F.flatten(F.collect_list("runs"))).alias("runs"))
+    )
+    runs = F.col("runs")
+    single = F.sort_array(F.flatten(F.transform(runs, _run_items)))
+    whole = F.transform(
+        runs,
+        lambda run: F.struct(
+            run["item_seq"].alias("item_seq"),
+            F.when(run["items"] == 1, run["str"]).otherwise(F.replace(run["str"], F.lit(ITEM_MARK), F.lit(""))).alias("str"),
+            run["y"].alias("y"),
+        ),
+    )
+
+    def begins_inside(run: Column, i: Column) -> Column:
+        before = F.get(runs, i - 1)
+        return run["item_seq"] < before["item_seq"] + before["items"]
+
+    overlap = F.size(F.filter(runs, begins_inside)) > 0
+    placed = gathered.withColumn("items", single if with_items else F.when(overlap, single).otherwise(whole))
+    number = items.schema["item_seq"].dataType
+    listed = F.transform(
+        "items", lambda item: F.struct(item["item_seq"].cast(number).alias("item_seq"), item["str"].alias("str"), item["y"].alias("y"))
     )
-    return gathered.select(
+    return placed.select(
         "source",
         "page_no",
         "chunk",
         _joined(F.col("items"), "str", "y", "y").alias("body"),
         F.get("items", F.lit(0))["y"].alias("first_y"),
         F.element_at("items", -1)["y"].alias("last_y"),
-        F.exists("items", lambda placed: placed["y"].isNull()).alias("broken"),
-        *(["items"] if with_items else []),
+        F.exists("items", lambda item: item["y"].isNull()).alias("broken"),
+        *([listed.alias("items")] if with_items else []),
     )
 
 

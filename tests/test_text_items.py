@@ -16,6 +16,7 @@ from pageloom.operators.text_items import (
     custom_renderer,
     document_parts,
     document_text,
+    item_runs,
     page_counts,
     parse_pdf_parts,
     text_chunks,
@@ -211,3 +212,35 @@ def test_a_hot_file_is_put_together_in_parts(spark):
     want = "".join(f"\n\np{i}" for i in range(pages))
     assert "".join(row.text for row in parts) == want
     assert parse_pdf(items, info, part_pages=per_part).first().text == want
+
+
+def test_what_moves_is_a_row_for_a_chunk_and_a_string_for_a_line(spark):
+    n, line, chunk = 3_000, 10, 500
+    items = spark.range(0, n, 1, 2).select(
+        F.lit("f").alias("source"),
+        F.lit(1).alias("page_no"),
+        F.col("id").cast("int").alias("item_seq"),
+        F.concat(F.lit("w"), F.col("id")).alias("str"),
+        F.floor(F.col("id") / line).cast("double").alias("y"),
+    )
+    rows = item_runs(items, chunk).collect()
+    assert len(rows) == n // chunk
+    assert sum(len(row.runs) for row in rows) == n // line
+    [(run,)] = item_runs(items.where("item_seq < 3")).select("runs").first()
+    assert (run.item_seq, run.str, run.y, run["items"]) == (0, "w0\x1fw1\x1fw2", 0.0, 3)
+
+
+@pytest.mark.parametrize("chunk", [2, 4096])
+@pytest.mark.parametrize("with_items", [False, True])
+def test_runs_that_overlap_or_hold_the_mark(spark, chunk, with_items):
+    """Numbers given twice, in two runs that do not meet, and texts with the mark itself."""
+    words = ["a", "b\x1fc", "", "\x1f", "é", "x", "x", ""]
+    rows = [("f", 1, i, word, 1.0) for i, word in enumerate(words)]
+    again = [("f", 1, i, word + "2", 1.0) for i, word in enumerate(words)]
+    rows += again + [(None, None, 0, "n", 1.0), (None, None, 1, None, 1.0), ("g", 1, None, "q", 1.0), ("g", 1, None, "p", 1.0)]
+    got = text_lines(spark.createDataFrame(rows, ITEMS).coalesce(1), chunk, with_items).collect()
+    both = "".join("".join(sorted((word, word + "2"))) for word in words)
+    assert {(row.source, row.page_no): row.text for row in got} == {("f", 1): both, (None, None): "n", ("g", 1): "pq"}
+    if with_items:
+        items = next(row["items"] for row in got if row.source == "f")
+        assert [(item.item_seq, item.str) for item in items] == [(i, w + e) for i, w in enumerate(words) for e in ("", "2")]
