@@ -218,3 +218,17 @@ def read_sources(paths: DataFrame, partitions: int | None = None, opened: str |
                 yield read_rows(batch, start, contents, errors)
 
     return spread(paths, partitions).mapInArrow(run, schema)
+
+
+def read_tree(spark: SparkSession, root: str) -> DataFrame:
+    """``(source, content, length)`` of all files below ``root``, listed and read in tasks.
+
+    The rows of ``scan_files``, for trees of more files than the driver can
+    hold names of. File systems that only Spark reads are left to its own scan.
+    """
+    if not listable(spark, root):
+        return scan_files(spark, root)
+    top = re.sub(r"\Afile:/+", "/", root).rstrip("/")
+    below = F.expr(f"substring(source, {len(top) + 1})")
+    listed = list_files(spark, root).files.where(~F.rlike(below, F.lit(r"/(\.|_[^/=]*(/|\z))")))
+    return read_sources(listed).select("source", "content", "length")

@@ -23,7 +23,7 @@ from pageloom.plans.load import listed_paths, load_stored
 from pageloom.schemas import PDF
 from pageloom.session import run_dir
 from pageloom.sources.blobs import save_page_images, write_blobs
-from pageloom.sources.files import list_files, read_sources, scan_files
+from pageloom.sources.files import list_files, read_sources, read_tree, scan_files
 from pageloom.workload import inputs
 from pageloom.workload.inputs import (
     FILES_SQL,
@@ -181,7 +181,7 @@ def page_file_paths(spark, sf_dir):
     )
     saved = save_page_images(pages, root)
     relative = F.substring_index("path", "/", -2)
-    found = scan_files(spark, root).select(
+    found = read_tree(spark, root).select(
         F.substring_index("source", "/", -2).alias("path"), F.md5("content").alias("digest")
     )
     return saved.select("source", long("page_no"), relative.alias("path")).join(found, "path", "left")
@@ -204,7 +204,7 @@ def save_pdf_pages_query(spark, sf_dir):
     pages = (F.col("c_custkey") % 4).cast("int")
     files = table(spark, sf_dir, "customer").select(name.alias("source"), pages.alias("num_pages"))
     written, _ = page_images.save_pdf_pages(files, root, draw)
-    found = scan_files(spark, root).select(
+    found = read_tree(spark, root).select(
         F.substring_index("source", root.rpartition("/")[2], -1).alias("place"), F.md5("content").alias("digest")
     )
     place = F.substring_index("path", root.rpartition("/")[2], -1)

@@ -21,9 +21,10 @@ from pageloom.operators.pdf_info import task_info, with_task_info
 from pageloom.operators.request import build_requests
 from pageloom.plans import load
 from pageloom.session import run_dir
-from pageloom.sources.files import list_files, listable, read_sources
+from pageloom.sources.files import list_files, listable, read_sources, read_tree, scan_files
+from pageloom.workload.catalog import QUERIES
 from tests.backends import echo_backend
-from tests.test_plans import settings  # noqa: F401
+from tests.test_plans import plan, settings  # noqa: F401
 
 NAMES = ("a.pdf", "_b.PDF", ".c.pdf", "notes.txt", "deep/x.png", "deep/_er/y z%20é.jpg", "deep/_er/more/z")
 
@@ -200,3 +201,24 @@ def test_a_task_that_dies_half_way_repeats_no_call(tmp_path):
     assert (tmp_path / "died").exists()
     assert sorted((tmp_path / "calls").read_text().split()) == sorted(str(i) for i in range(30))
     assert [name for name in left if name.startswith("calls")] == []  # the journal is gone
+
+
+def test_a_tree_read_in_tasks_has_the_rows_of_the_scan(spark, tree):
+    (tree / "_k=1").mkdir()
+    (tree / "_k=1" / "v.png").write_bytes(b"v")
+    rows = lambda df: sorted((r.source, bytes(r.content), r.length) for r in df.collect())
+    want = rows(scan_files(spark, str(tree)))
+    assert {os.path.relpath(row[0], tree) for row in want} == {"a.pdf", "notes.txt", "deep/x.png", "_k=1/v.png"}
+    for root in (f"{tree}/", f"file://{tree}"):
+        assert rows(read_tree(spark, root)) == want
+
+
+def test_written_pages_are_not_listed_by_the_driver(spark, tmp_path):
+    customers = spark.range(1, 4).withColumnRenamed("id", "c_custkey")
+    customers.write.parquet(f"{tmp_path}/customer.parquet")
+    saved = QUERIES["save_pdf_pages"](spark, str(tmp_path))
+    assert "binaryfile" not in plan(saved).lower()
+    assert sorted((r.source, r.page_no, r.name) for r in saved.collect()) == [
+        ("/cards/1.pdf", 1, "page-1.png"),
+        *(("/cards/3.pdf", n, f"page-{n}.png") for n in (1, 2, 3)),
+    ]
