@@ -17,7 +17,10 @@ are asked for before a pair is verified. Of two documents the smaller m holds.
    of groups of shingles (more for larger sets) how much it differs at least.
 3. Stars first: each set is verified against the smallest and the largest of
    its buckets, if it shares more than one with them and passes the tests. This links most of a group of near copies with as many pairs as
-   members. Buckets of one component are done with. In the others the pairs in
+   members. Buckets of one component are done with. In others that are large each
+   set is verified against the one of another component that its parities are
+   nearest to, again while this links many: pairs that would link what is linked
+   by another way never become rows. Then the pairs in
    different components that pass both tests are found where the bucket is,
    large buckets in blocks of BUCKET_ROWS, and only those become rows: a group
    of sets that lie just below the threshold gives no rows for its pairs. They
@@ -68,6 +71,8 @@ MOST_COUNT = 0xFFFFFFFF
 PARITIES = (256, 1024, 4096)
 #: Sets of a bucket whose pairs are looked at in one go, and pairs at a time.
 BUCKET_ROWS, PAIRS = 2048, 1 << 18
+#: Buckets of more sets are large: there sets look for their nearest first. This is done again if one of so many pairs links.
+LARGE_BUCKET, MANY = 64, 4
 
 
 def least_overlap(size, percent: int):
@@ -178,7 +183,7 @@ class Candidates:
             bits = [folded(p, level) if own >= level else blank for p, own in zip(parities, self.level.tolist(), strict=True)]
             self.bits.append(np.frombuffer(b"".join(bits), np.uint64).reshape(len(bits), width // 64))
 
-    def pairs(self) -> Iterator[pa.RecordBatch]:
+    def passed(self) -> Iterator[tuple[np.ndarray, ...]]:
         partners = self.end - np.arange(len(self.end)) - 1
         upto = offsets(partners)
         first = 0
@@ -189,7 +194,27 @@ class Candidates:
             yield self.alike(i, i + 1 + np.arange(len(i)) - np.repeat(upto[some] - upto[first], partners[some]))
             first = last
 
-    def alike(self, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
+    def pairs(self) -> Iterator[pa.RecordBatch]:
+        for i, j, m, _ in self.passed():
+            yield pa.RecordBatch.from_arrays([*self.ends(i, j), pa.array(m.astype(np.int8))], ["a", "b", "m"])
+
+    def nearest(self) -> pa.RecordBatch:
+        """For each row that may link the one it has most room to spare with."""
+        most, other = np.full(len(self.name), -1, np.int64), np.zeros(len(self.name), np.int64)
+        for i, j, _, spare in self.passed():
+            own, spare = np.r_[i, j], np.r_[spare, spare]
+            order = np.lexsort((spare, own))
+            last = order[np.flatnonzero(np.r_[own[order][1:] != own[order][:-1], True][: len(order)])]
+            last = last[spare[last] > most[own[last]]]
+            most[own[last]], other[own[last]] = spare[last], np.r_[j, i][last]
+        some = np.flatnonzero(most >= 0)
+        return pa.RecordBatch.from_arrays([pa.array(self.name[some]), pa.array(most[some]), *self.ends(some, other[some])], ["name", "spare", "a", "b"])
+
+    def ends(self, i: np.ndarray, j: np.ndarray) -> list[pa.Array]:
+        return [pa.array(end(self.name[i], self.name[j])) for end in (np.minimum, np.maximum)]
+
+    def alike(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Of pairs those that may link: both rows, the smaller m, and how many more bits of their parities might differ."""
         apart = (self.component[i] != self.component[j]) & (self.alone[i] | (self.block[i] != self.block[j]))
         i, j = i[apart], j[apart]
         both = self.size[i] + self.size[j]
@@ -198,14 +223,13 @@ class Candidates:
         m = np.minimum(self.wanted[i], self.wanted[j])
         early = (overlap <= np.minimum(self.size[i], self.size[j])) & (self.place[i] < self.size[i] - overlap + m) & (self.place[j] < self.size[j] - overlap + m)
         i, j, m, room = i[early], j[early], m[early], (both - 2 * overlap)[early]
+        spare = room.copy()
         for level, bits in enumerate(self.bits):
             tested = np.flatnonzero(np.minimum(self.level[i], self.level[j]) >= level)
-            unlike = np.bitwise_count(bits[i[tested]] ^ bits[j[tested]]).sum(1, dtype=np.int64) > room[tested]
-            kept = np.ones(len(i), bool)
-            kept[tested[unlike]] = False
-            i, j, m, room = i[kept], j[kept], m[kept], room[kept]
-        a, b = np.minimum(self.name[i], self.name[j]), np.maximum(self.name[i], self.name[j])
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(m.astype(np.int8))], ["a", "b", "m"])
+            spare[tested] = room[tested] - np.bitwise_count(bits[i[tested]] ^ bits[j[tested]]).sum(1, dtype=np.int64)
+            kept = spare >= 0
+            i, j, m, room, spare = i[kept], j[kept], m[kept], room[kept], spare[kept]
+        return i, j, m, spare
 
 
 def possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -231,6 +255,45 @@ def possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(tested, pairs.schema)
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch], group: list[str]) -> Iterator[pa.Table]:
+    """Tables of one or more groups each, from rows in their order."""
+    held: list[pa.RecordBatch] = []
+    for batch in (b.slice(i, 4 * BUCKET_ROWS) for b in batches for i in range(0, b.num_rows, 4 * BUCKET_ROWS)):
+        same = np.ones(batch.num_rows, bool)
+        for c in group:
+            column = batch.column(c).to_numpy()
+            same &= column == column[-1]
+        whole = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
+        if whole:  # a new group begins here: what came before is complete
+            yield pa.Table.from_batches([*held, batch.slice(0, whole)])
+            held = []
+        elif held and any(batch.column(c)[0] != held[-1].column(c)[-1] for c in group):
+            yield pa.Table.from_batches(held)
+            held = []
+        held.append(batch.slice(whole))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def nearest(rows: DataFrame, percent: int) -> DataFrame:
+    """(a, b): of each set the pair that most likely links it with another component; rows as for ``candidates``.
+
+    Blocks of a bucket are not brought together, so there are at most as many pairs as rows.
+    """
+    block = F.pmod(F.xxhash64("name"), F.ceil(F.col("times") / BUCKET_ROWS).cast("int")).cast("int")
+    group = ["key", "low", "high"]
+    rows = rows.select("key", *(block.alias(c) for c in (*group[1:], "block")), "name", "size", "wanted", "place", "component", "parity")
+    rows = rows.repartition(*group).sortWithinPartitions(*group)
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for groups in whole_groups(batches, group):
+            yield Candidates(groups, percent).nearest()
+
+    pairs = rows.mapInArrow(best, "name long, spare long, a long, b long")
+    first = pairs.groupBy("name").agg(F.max(F.struct("spare", "a", "b")).alias("pair"))
+    return first.select("pair.a", "pair.b").distinct()
+
+
 def candidates(rows: DataFrame, percent: int) -> DataFrame:
     """(a, b, m) of the pairs that may link in their buckets; rows: key, name, size, wanted, place, component, parity, times (of the key)."""
     blocks = F.ceil(F.col("times") / BUCKET_ROWS).cast("int")
@@ -242,22 +305,8 @@ def candidates(rows: DataFrame, percent: int) -> DataFrame:
     rows = rows.repartition(*group).sortWithinPartitions(*group)
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in (b.slice(i, 4 * BUCKET_ROWS) for b in batches for i in range(0, b.num_rows, 4 * BUCKET_ROWS)):
-            same = np.ones(batch.num_rows, bool)
-            for c in group:
-                column = batch.column(c).to_numpy()
-                same &= column == column[-1]
-            whole = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
-            if whole:  # a new group begins here: what came before is complete
-                yield from Candidates(pa.Table.from_batches([*held, batch.slice(0, whole)]), percent).pairs()
-                held = []
-            elif held and any(batch.column(c)[0] != held[-1].column(c)[-1] for c in group):
-                yield from Candidates(pa.Table.from_batches(held), percent).pairs()
-                held = []
-            held.append(batch.slice(whole))
-        if held:
-            yield from Candidates(pa.Table.from_batches(held), percent).pairs()
+        for groups in whole_groups(batches, group):
+            yield from Candidates(groups, percent).pairs()
 
     return rows.mapInArrow(found, "a long, b long, m byte")
 
@@ -420,22 +469,37 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
 
     found = components(links, folder)
 
-    def open_buckets(rows: DataFrame) -> DataFrame:
-        """Rows with their components as found so far, of the buckets that several components meet in."""
+    def open_buckets(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Rows with their components as found so far, and key and times of the buckets that several components meet in."""
         rows = rows.drop("component", "times").join(found, F.col("name") == F.col("node"), "left")
         rows = table(rows.select("key", "name", "size", "wanted", "place", F.coalesce("component", "name").alias("component")), "buckets")
         counts = rows.groupBy("key").agg(F.min("component").alias("p"), F.max("component").alias("q"), F.count("*").alias("times"))
-        return rows.join(counts.where("p < q").select("key", "times"), "key")
+        return rows, counts.where("p < q").select("key", "times")
 
     # once more, against the ends of each bucket by component
-    placed = table(open_buckets(entries), "open")
+    rows, several = open_buckets(entries)
+    placed = table(rows.join(several, "key"), "open")
     edge = F.struct("component", "name")
     ends = placed.groupBy("key").agg(F.min(edge).alias("low"), F.max(edge).alias("high"))
     again = placed.join(ends, "key").select(F.col("name").alias("b"), "component", F.explode(F.array("low", "high")).alias("hub"))
     again = again.where("hub.component <> component").groupBy(F.col("hub.name").alias("a"), "b").count().where("count > 1")
     links = table(links.unionByName(verified(likeliest(again))), "links")
     found = components(links, folder)
-    placed = open_buckets(placed).join(sources.select("name", "parity"), "name")
+    parities, linked_many = sources.select("name", "parity"), True
+    # in large buckets every set against its nearest, while that links many
+    while True:
+        rows, several = open_buckets(placed)
+        several = table(several, "several")
+        large = several.where(F.col("times") > LARGE_BUCKET)
+        if not linked_many or large.isEmpty():
+            break
+        near = table(nearest(rows.join(large, "key").join(parities, "name"), percent), "near")
+        new = verified(near)
+        linked_many = MANY * new.count() >= near.count() > 0
+        links = table(links.unionByName(new), "links")
+        found = components(links, folder)
+        placed = rows
+    placed = rows.join(several, "key").join(parities, "name")
     pairs = candidates(placed, percent).groupBy("a", "b").agg(F.count("*").alias("n"), F.min("m").alias("m"))
     more = verified(pairs.where("n >= m"))
     found = components(links.unionByName(more), folder)

@@ -119,6 +119,50 @@ def test_candidates_are_all_pairs_that_pass_the_tests(spark, monkeypatch, percen
     assert linked <= left and len(left) < len(every) / 2
 
 
+def test_pairs_that_link_by_another_way_are_no_rows(spark, monkeypatch):
+    rng, base = random.Random(7), [f"w{i}" for i in range(150)]
+    rows = []
+    for k in range(200):
+        text = list(base)
+        for at in rng.sample(range(len(base)), 2):
+            text[at] = f"e{k}x{at}"
+        rows.append((k, " ".join(text)))
+    made, candidates = [], similar.candidates
+
+    def counted(*args):
+        pairs = candidates(*args)
+        made.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(similar, "candidates", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = similar.link(docs, 5, 80).select("doc_id", "n_shingles", "component_id").collect()
+    want = brute(rows, 5, 80)
+    assert sorted(map(tuple, got)) == sorted(want)
+    assert made[0] < 1000  # 3865 of the pairs link, and each meets in many buckets
+
+
+def test_nearest_gives_each_set_one_pair(spark):
+    rng = random.Random(5)
+    bits = [bytes(32), bytes([1]) + bytes(31), bytes([3]) + bytes(31), bytes([255] * 9) + bytes(23)]
+    rows = [(1, i, 100, 1, 0, i % 3, rng.choice(bits), 90) for i in range(90)] + [(2, 500, 100, 1, 0, 7, bits[0], 2), (2, 501, 100, 1, 0, 7, bits[0], 2)]
+    frame = spark.createDataFrame(rows, "key long, name long, size int, wanted byte, place int, component long, parity binary, times long")
+    differ = lambda p, q: (int.from_bytes(p) ^ int.from_bytes(q)).bit_count()
+    of = {r[1]: r for r in rows}
+    least = {}
+    for i in range(90):
+        apart = [differ(of[i][6], of[j][6]) for j in range(90) if of[i][5] != of[j][5]]
+        if min(apart) <= 200 - 2 * 89:
+            least[i] = min(apart)
+    got = similar.nearest(frame, 80).collect()
+    assert len(got) <= len(least) and all(of[a][5] != of[b][5] for a, b in got)
+    best = {}
+    for a, b in got:
+        for i in (a, b):
+            best[i] = min(best.get(i, 999), differ(of[a][6], of[b][6]))
+    assert best == least
+
+
 def test_more_bits_fold_into_fewer():
     rng = random.Random(1)
     texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(n)).encode() for n in (10, 700, 5000)]
