@@ -23,7 +23,9 @@ are asked for before a pair is verified. Of two documents the smaller m holds.
    by another way never become rows. Then the pairs in
    different components that pass both tests are found where the bucket is,
    large buckets in blocks of BUCKET_ROWS, and only those become rows: a group
-   of sets that lie just below the threshold gives no rows for its pairs. They
+   of sets that lie just below the threshold gives no rows for its pairs. In
+   small buckets, which are most, parities would outweigh the pairs: there the
+   pairs that share enough are tested by parities. They
    are verified, so no link between components is lost; pairs within a
    component can't change the result. (A link inside a component may go
    unverified; the components are what is returned.)
@@ -161,7 +163,8 @@ class Candidates:
     """Pairs of buckets that may link, found from rows (key, low, high, block, name, size, wanted, place, component, parity).
 
     A bucket's rows of two blocks low and high meet under (key, low, high), in
-    order; each pair of them is looked at once.
+    order; each pair of them is looked at once. Without parities only sizes,
+    places and components are tested.
     """
 
     def __init__(self, rows: pa.Table, percent: int):
@@ -176,8 +179,10 @@ class Candidates:
         self.end = np.repeat(starts[1:], np.diff(starts))
         self.alone = columns["low"] == columns["high"]
         self.level = parity_level(self.size)
-        parities = rows.column("parity").to_pylist()
         self.bits = []
+        if "parity" not in rows.column_names:
+            return
+        parities = rows.column("parity").to_pylist()
         for level, width in enumerate(PARITIES):
             blank = bytes(width // 8)
             bits = [folded(p, level) if own >= level else blank for p, own in zip(parities, self.level.tolist(), strict=True)]
@@ -295,13 +300,13 @@ def nearest(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def candidates(rows: DataFrame, percent: int) -> DataFrame:
-    """(a, b, m) of the pairs that may link in their buckets; rows: key, name, size, wanted, place, component, parity, times (of the key)."""
+    """(a, b, m) of the pairs that may link in their buckets; rows: key, name, size, wanted, place, component, times (of the key), and parity if it is to be tested."""
     blocks = F.ceil(F.col("times") / BUCKET_ROWS).cast("int")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("name"), blocks).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     rows = rows.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
     group = ["key", "low", "high"]
-    rows = rows.select(*group, "block", "name", "size", "wanted", "place", "component", "parity")
+    rows = rows.select(*group, "block", "name", "size", "wanted", "place", "component", *(c for c in rows.columns if c == "parity"))
     rows = rows.repartition(*group).sortWithinPartitions(*group)
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -485,23 +490,26 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     again = again.where("hub.component <> component").groupBy(F.col("hub.name").alias("a"), "b").count().where("count > 1")
     links = table(links.unionByName(verified(likeliest(again))), "links")
     found = components(links, folder)
+    # in large buckets every set against its nearest, while that links many; the others wait
     parities, linked_many = sources.select("name", "parity"), True
-    # in large buckets every set against its nearest, while that links many
+    few, placed = (placed.where(c) for c in (F.col("times") <= LARGE_BUCKET, F.col("times") > LARGE_BUCKET))
     while True:
         rows, several = open_buckets(placed)
         several = table(several, "several")
-        large = several.where(F.col("times") > LARGE_BUCKET)
-        if not linked_many or large.isEmpty():
+        if not linked_many or several.isEmpty():
             break
-        near = table(nearest(rows.join(large, "key").join(parities, "name"), percent), "near")
+        near = table(nearest(rows.join(several, "key").join(parities, "name"), percent), "near")
         new = verified(near)
         linked_many = MANY * new.count() >= near.count() > 0
         links = table(links.unionByName(new), "links")
         found = components(links, folder)
         placed = rows
-    placed = rows.join(several, "key").join(parities, "name")
-    pairs = candidates(placed, percent).groupBy("a", "b").agg(F.count("*").alias("n"), F.min("m").alias("m"))
-    more = verified(pairs.where("n >= m"))
+    pairs = candidates(rows.join(several, "key").join(parities, "name"), percent)
+    # a set has less than LARGE_BUCKET pairs in a small bucket: these are cheaper than a parity in every bucket
+    rows, several = open_buckets(few)
+    pairs = pairs.unionByName(candidates(rows.join(several, "key"), percent))
+    pairs = table(pairs.groupBy("a", "b").agg(F.count("*").alias("n"), F.min("m").alias("m")).where("n >= m").select("a", "b"), "met")
+    more = verified(possible(pairs, sources, percent))
     found = components(links.unionByName(more), folder)
 
     rows = kept.join(found, kept["name"] == found["node"], "left")

@@ -195,3 +195,27 @@ def test_words_are_those_of_a_split_on_ascii_white_space():
     split = [t.lower().split() for t in texts]
     assert words.to_pylist() == [w for s in split for w in s]
     assert counts.tolist() == [len(s) for s in split]
+
+
+def test_rows_of_small_buckets_carry_no_parities(spark, monkeypatch):
+    """They outweighed the pairs themselves; the result is that of all pairs."""
+    rng = random.Random(11)
+    rows, common = [], [f"c{i}" for i in range(300)]
+    for k in range(100):  # pairs that share half or nearly all of what they have, and a line that all have
+        text = [f"w{k // 2}x{i}" for i in range(60)]
+        if k % 2:
+            for at in rng.sample(range(60), 30 if k % 4 == 1 else 1):
+                text[at] = f"e{k}x{at}"
+        rows.append((k, " ".join([*text, *(common[:20] if k % 3 else [])])))
+    seen, candidates = [], similar.candidates
+
+    def noted(rows, percent):
+        seen.append((("parity" in rows.columns), [r.times for r in rows.select("times").distinct().collect()]))
+        return candidates(rows, percent)
+
+    monkeypatch.setattr(similar, "candidates", noted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = similar.link(docs, 3, 90).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got)) == sorted(brute(rows, 3, 90))
+    assert any(times for _, times in seen)
+    assert all(min(times, default=similar.LARGE_BUCKET + 1) > similar.LARGE_BUCKET for parity, times in seen if parity)
