@@ -1,6 +1,9 @@
 import random
+import tracemalloc
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from pageloom.llm import suffixes
@@ -56,3 +59,32 @@ def test_sorting():
 
 def test_empty_table(spark):
     assert suffixes.remove_repeats(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def chunk(texts):
+    n = len(texts)
+    return suffixes.Bytes(pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64()), pa.array([0] * n, pa.int64())], ["doc_id", "text_key"]), texts)
+
+
+@pytest.mark.parametrize("slab", [1, 7, 64, 1000])
+def test_slabs_give_the_same_anchors(monkeypatch, slab):
+    rng = random.Random(slab)
+    texts = [bytes(rng.choice(b"ab ") for _ in range(rng.choice([0, 3, 19, 20, 21, 90, 400]))) for _ in range(30)]
+    whole = chunk(texts).anchors(20)
+    monkeypatch.setattr(suffixes, "SLAB", slab)
+    for a, b in zip(chunk(texts).anchors(20), whole, strict=True):
+        assert a.tolist() == b.tolist()
+
+
+def test_a_chunk_of_short_texts_has_no_anchors():
+    assert [len(x) for x in chunk([b"abc" * 5] * 20).anchors(20)] == [0] * 4
+
+
+def test_anchors_of_a_chunk_take_little_memory():
+    full = chunk([np.random.default_rng(i).integers(97, 123, 1 << 16, np.uint8).tobytes() for i in range(32)])
+    tracemalloc.start()
+    try:
+        assert len(full.anchors(400)[0])
+        assert tracemalloc.get_traced_memory()[1] < 32 << 20  # of a chunk of 2 MB; all at once it was 155 MB
+    finally:
+        tracemalloc.stop()
