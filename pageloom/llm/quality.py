@@ -20,15 +20,15 @@ text. Without any label every score is 0.5. An empty table gives an empty table.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pageloom.llm.common import chunks, give_back, offsets, pick, ragged, typed
+from pageloom.llm.common import chunks, give_back, give_back_driver, offsets, pick, ragged, typed
 
 PASSAGE = 512
 #: Bytes of text described at a time; each takes about 80 bytes meanwhile.
@@ -208,23 +208,25 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
         for batch, texts in chunks(batches, CHUNK_BYTES):
             x, passages = features(texts)
             cut = np.split(x, np.cumsum(passages)[:-1])
-            columns = [batch.column("place"), batch.column("label"), pa.array([c.tobytes() for c in cut], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["place", "label", "x"])
+            # most of a passage's pairs of kinds never occur: deflated, a fraction of it comes to the driver
+            bags = pa.array([zlib.compress(c.tobytes(), 1) for c in cut], pa.binary())
+            columns = [batch.column("place"), batch.column("label"), pa.array(passages), bags]
+            yield pa.RecordBatch.from_arrays(columns, ["place", "label", "passages", "x"])
 
     within = F.col("place") <= F.struct(*[F.lit(v).cast("long").alias(k) for k, v in last.asDict().items()])
-    rows = found.where(within).select("text", "place", "label").mapInArrow(described, typed(found, "place", "label") + ", x binary")
+    rows = found.where(within).select("text", "place", "label").mapInArrow(described, typed(found, "place", "label") + ", passages long, x binary")
     rows = rows.orderBy("place").limit(taken).toArrow()
     wanted = rows.column("label").to_numpy()
     bags = rows.column("x")
+    counts = rows.column("passages").to_numpy()
     del rows
-    counts = pc.binary_length(bags).to_numpy() // (4 * FEATURES)
     ends = offsets(counts)
     x = np.empty((ends[-1], FEATURES), np.float32)
     # one array, filled bag by bag: no second copy is held beside the table
     for i, bag in enumerate(bags):
-        x[ends[i] : ends[i + 1]] = np.frombuffer(bag.as_buffer(), np.float32).reshape(-1, FEATURES)
+        x[ends[i] : ends[i + 1]] = np.frombuffer(zlib.decompress(bag.as_buffer()), np.float32).reshape(-1, FEATURES)
     del bags, bag
-    give_back()
+    give_back_driver(docs.sparkSession)  # of the rows that were collected
     model = fit(x, counts, wanted)
     del x
     give_back()

@@ -351,8 +351,9 @@ def components(links: DataFrame, folder: str | None = None) -> DataFrame:
         small = large.join(lower, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
         small = materialize(small.select("e.*").where("u <> v").distinct(), "edges", folder)
         sign = lambda e: e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if sign(small) == sign(edges):
-            give_back_driver(links.sparkSession)
+        settled = sign(small) == sign(edges)
+        give_back_driver(links.sparkSession)  # of a round's plans: a driver's heap that fills up grows, and stays so
+        if settled:
             return small.select(F.col("u").alias("node"), F.col("v").alias("component"))
         edges = small
 

@@ -81,3 +81,20 @@ def test_documents_are_learned_from_whole(spark, monkeypatch):
     quality.train(docs, labels)
     whole = {len(quality.features([t.encode()])[0]) for _, t, *_ in rows}
     assert len(seen[0][1]) == 3 and set(seen[0][1]) <= whole and seen[0][0] == sum(seen[0][1])
+
+
+def test_a_fraction_of_the_passages_comes_to_the_driver(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    words = ["the", "River", "went", "under", "a", "stone", "bridge,", "and", "people", "walked.", "1907"]
+    docs = spark.createDataFrame([(i, " ".join(rng.choice(words, 300)), 1, "x") for i in range(200)], DOCS)
+    labels = spark.createDataFrame([(i, i % 2, "x") for i in range(200)], LABELS)
+    came, fitted, to_arrow = [], [], type(docs).toArrow
+    monkeypatch.setattr(type(docs), "toArrow", lambda df: came.append(to_arrow(df)) or came[-1])
+    monkeypatch.setattr(quality, "fit", lambda x, passages, labels: fitted.append((x, passages)))
+    quality.train(docs, labels)
+    x, passages = fitted[0]
+    assert 2 * came[0].nbytes < x.nbytes and passages.sum() == len(x)
+    # the same numbers as before they were deflated, in the order of the sample
+    rows = {r.doc_id: r.text for r in docs.collect()}
+    want, _ = quality.features([rows[p["doc_id"]].encode() for p in came[0].column("place").to_pylist()])
+    assert (x == want).all()
